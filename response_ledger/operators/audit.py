@@ -82,9 +82,11 @@ def coverage(ledger: DataFrame, id_column: str, run: tuple[str, ...] = ()) -> Da
     everything still spreads over all tasks.
     """
     total = F.get_json_object("content", "$.RESULTCOUNT").cast("bigint")
+    # Read the body before exploding it: next to the explode it would be read per record.
     ids = (
         ledger.where(F.col("request_type") == SOURCE_TYPE)
-        .select(*run, total.alias("total"), F.explode_outer(record_array([id_column])).alias("record"))
+        .select(*run, total.alias("total"), record_array([id_column]).alias("records"))
+        .select(*run, "total", F.explode_outer("records").alias("record"))
         .select(*run, "total", F.col("record")[id_column.upper()].cast("bigint").alias("id"))
     )
     found = ids.groupBy(*run, "id").agg(F.max("total").alias("total"), F.count("id").alias("copies"))

@@ -40,7 +40,9 @@ def explode_records(pages: DataFrame, fields: list[str], keep: tuple[str, ...] =
     under their lower-cased names. An absent or null field is NULL; a body whose `RESULT`
     is no list has no rows.
     """
-    return pages.select(*keep, F.explode(record_array(fields)).alias("record")).select(
+    # A list read ahead of the explode lets the explode run in generated code.
+    listed = pages.select(*keep, record_array(fields).alias("records"))
+    return listed.select(*keep, F.explode("records").alias("record")).select(
         *keep, *[F.col("record")[name.upper()].alias(name.lower()) for name in fields]
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from response_ledger.operators.numbering import number_rows
@@ -59,10 +59,13 @@ def first_ids(workset: DataFrame, limit: int) -> DataFrame:
     return number_rows(workset, "id").where(F.col("n") <= limit).select("id")
 
 
-def assign_batches(workset: DataFrame, batch_size: int) -> DataFrame:
-    """Each id with its place `n` in id order and its 1-based `batch_no`."""
+def batch_number(place: str, batch_size: int) -> Column:
+    """The 1-based batch of the row at a 1-based place."""
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    return number_rows(workset, "id").withColumn(
-        "batch_no", F.floor((F.col("n") - 1) / batch_size).cast("bigint") + 1
-    )
+    return F.expr(f"({place} - 1) div {int(batch_size)} + 1")
+
+
+def assign_batches(workset: DataFrame, batch_size: int) -> DataFrame:
+    """Each id with its place `n` in id order and its 1-based `batch_no`."""
+    return number_rows(workset, "id").withColumn("batch_no", batch_number("n", batch_size))

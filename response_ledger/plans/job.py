@@ -18,7 +18,7 @@ from response_ledger.operators.outcomes import (
     retry_queue,
     to_ledger,
 )
-from response_ledger.operators.workset import TOP_N_BOUND, create_workset, remaining
+from response_ledger.operators.workset import TOP_N_BOUND, batch_number, create_workset, remaining
 from response_ledger.plans.requests import Filters, plan_ids, plan_pages, plan_probe, plan_single, rows_for
 from response_ledger.schemas import (
     BATCH_SIZE,
@@ -137,21 +137,15 @@ def plan_stage(
     limit: int | None = None,
 ) -> DataFrame:
     """Every call of a stage with its `batch_no`, the limit applied after the resume."""
-    if batch_size < 1:
-        raise ValueError("batch_size must be at least 1")
     endpoint = ENDPOINTS[request_type]
-
-    def batch(place):
-        return (F.floor((place - 1) / batch_size) + 1).cast("bigint").alias("batch_no")
-
     if endpoint.accepts_payload:
         total, size = source_total(spark, calls, filters), rows_for(display_columns, rows)
         pages = plan_pages(spark, calls.base_url, total, display_columns, size, filters)
-        number = F.floor((F.col("start") - 1) / size) + 1
         if limit is not None and limit * size < total:
             logger.warning("Request limit %s reached; the rest are dropped", limit)
-            pages = pages.where(number <= limit)
-        return pages.select("*", batch(number))
+            pages = pages.where(F.col("start") <= limit * size)
+        place = f"((start - 1) div {size} + 1)"
+        return pages.withColumn("batch_no", batch_number(place, batch_size))
     if endpoint.needs_ids:
         ids = stage_ids(spark, request_type, ids_source, directory, force)
         if limit is not None and limit <= TOP_N_BOUND:
@@ -160,7 +154,7 @@ def plan_stage(
         if limit is not None:
             numbered = numbered.where(F.col("n") <= limit)
         return plan_ids(
-            numbered.select("id", batch(F.col("n"))),
+            numbered.withColumn("batch_no", batch_number("n", batch_size)),
             calls.base_url,
             request_type,
             display_columns,
