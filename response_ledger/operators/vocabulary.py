@@ -44,10 +44,12 @@ def heading_columns(described: DataFrame, headings: dict[str, str] = HEADINGS) -
     read = described.withColumn("_elements", inline_elements(F.col("description")))
     for role, heading in headings.items():
         read = read.withColumn(f"_{role}_at", heading_positions(F.col("_elements"), heading))
+    for role in headings:
+        alone = F.when(F.size(f"_{role}_at") == 1, F.get(f"_{role}_at", F.lit(0)))
+        read = read.withColumn(f"_{role}_list", list_after(F.col("_elements"), alone))
     entries = []
     for role, heading in headings.items():
-        found = F.size(f"_{role}_at")
-        text = F.when(found == 1, list_after(F.col("_elements"), F.get(f"_{role}_at", F.lit(0))))
+        found, text = F.size(f"_{role}_at"), F.col(f"_{role}_list")
         error = F.when(
             found != 1,
             F.concat(
@@ -60,7 +62,7 @@ def heading_columns(described: DataFrame, headings: dict[str, str] = HEADINGS) -
             )
         )
     return read.withColumn("lists", F.array(*entries)).drop(
-        "_elements", *[f"_{role}_at" for role in headings]
+        "_elements", *[f"_{role}_{part}" for role in headings for part in ("at", "list")]
     )
 
 
