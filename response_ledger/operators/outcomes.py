@@ -42,11 +42,15 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
 
 def classify(replies: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
     """
-    `replies` with `content`, the envelope fields, `attempts` counted on, `outcome` and,
-    for a failure, `failure` telling why.
+    Each reply as a call record: `raw` gives way to its digest, length and text, `attempts`
+    is counted on, the envelope fields, `outcome` and, for a failure, `failure` are added.
     """
-    tried = replies.withColumn("attempts", F.col("attempts") + 1).withColumn(
-        "content", utf8_text(F.col("raw"))
+    tried = (
+        replies.withColumn("attempts", F.col("attempts") + 1)
+        .withColumn("content_length", body_length(F.col("header_length"), F.col("raw")))
+        .withColumn("sha_256", F.sha2("raw", 256))
+        .withColumn("content", utf8_text(F.col("raw")))
+        .drop("raw", "header_length")
     )
     read = read_envelopes(tried)
     http = http_class(F.col("status"))
@@ -83,12 +87,7 @@ def classify(replies: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFra
 
 def to_ledger(outcomes: DataFrame) -> DataFrame:
     """The responses to keep, as ledger rows."""
-    kept = outcomes.where(F.col("outcome") == OK)
-    computed = {
-        "content_length": body_length(F.col("header_length"), F.col("raw")),
-        "sha_256": F.sha2("raw", 256),
-    }
-    return kept.select(*[computed.get(one.name, F.col(one.name)).alias(one.name) for one in LEDGER])
+    return outcomes.where(F.col("outcome") == OK).select(*LEDGER.names)
 
 
 def dead_letters(outcomes: DataFrame) -> DataFrame:

@@ -40,9 +40,9 @@ def explode_records(pages: DataFrame, fields: list[str], keep: tuple[str, ...] =
     under their lower-cased names. An absent or null field is NULL; a body whose `RESULT`
     is no list has no rows.
     """
-    # A list read ahead of the explode lets the explode run in generated code.
-    listed = pages.select(*keep, record_array(fields).alias("records"))
-    return listed.select(*keep, F.explode("records").alias("record")).select(
+    # The list is read inside the explode: over a column of its own Spark would infer a
+    # not-empty filter from the explode, push it below and read every body again for it.
+    return pages.select(*keep, F.explode(record_array(fields)).alias("record")).select(
         *keep, *[F.col("record")[name.upper()].alias(name.lower()) for name in fields]
     )
 
@@ -64,7 +64,8 @@ def flatten_tabular(pages: DataFrame, columns: dict[str, str], keep: tuple[str,
     )["RESULT"]
     rows = (
         pages.select(*keep, body.alias("body"))
-        .select(*keep, F.col("body.COLUMNS").alias("names"), F.explode("body.DATA").alias("cells"))
+        .select(*keep, F.col("body.COLUMNS").alias("names"), F.explode_outer("body.DATA").alias("cells"))
+        .where(F.col("cells").isNotNull())
     )
 
     def cell(name: str) -> Column:

@@ -31,6 +31,8 @@ from response_ledger.schemas import (
 )
 from response_ledger.session import delete_path, scratch_path
 from response_ledger.sources.ledger import (
+    BODY_GROUP_ROWS,
+    PAGE_GROUP_ROWS,
     append_ledger,
     hadoop_uri,
     ledger_is_empty,
@@ -77,7 +79,7 @@ def settle(requests: DataFrame, calls: CallOptions) -> tuple[str, dict[str, int]
         landed = f"{landing}/try={attempt}"
         replies = fetch_requests(pending, calls.connect, calls.max_workers, calls.cooldown)
         judged = classify(replies, calls.retry)
-        judged.write.parquet(landed)
+        judged.write.option("parquet.block.row.count.limit", PAGE_GROUP_ROWS).parquet(landed)
         tried = spark.read.schema(judged.schema).parquet(landed)
         counts = {one["outcome"]: one["count"] for one in tried.groupBy("outcome").count().collect()}
         again = counts.pop(RETRIABLE, 0)
@@ -190,6 +192,7 @@ def run_stage(
     planned.write.parquet(plan_path)
     plan = spark.read.schema(planned.schema).parquet(plan_path)
     batches = plan.agg(F.max("batch_no")).first()[0] or 0
+    group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].accepts_payload else BODY_GROUP_ROWS
     written = failed = 0
     first = None
     for batch_no in range(1, batches + 1):
@@ -197,7 +200,7 @@ def run_stage(
         outcomes = _settled(spark, landing)
         kept, lost = totals.get(OK, 0), sum(totals.values()) - totals.get(OK, 0)
         if kept:
-            append_ledger(to_ledger(outcomes), directory)
+            append_ledger(to_ledger(outcomes), directory, group_rows)
         if lost:
             letters = dead_letters(outcomes)
             letters.write.mode("append").option("compression", "zstd").parquet(

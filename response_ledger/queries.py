@@ -39,6 +39,7 @@ from response_ledger.plans.requests import plan_ids, plan_pages
 from response_ledger.schemas import LEDGER
 from response_ledger.session import scratch_path
 from response_ledger.sources.ledger import (
+    PAGE_GROUP_ROWS,
     append_ledger,
     hadoop_uri,
     read_ledger,
@@ -294,9 +295,9 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported against found records, per run: one fetched once, one fetched twice."""
     dest = scratch_path(spark, "coverage")
     pages = _pages(spark, sf_dir)
-    append_ledger(pages, target_path(dest, "RECALLS", "plain"))
-    append_ledger(pages, target_path(dest, "RECALLS", "forced"))
-    append_ledger(pages, target_path(dest, "RECALLS", "forced"))
+    append_ledger(pages, target_path(dest, "RECALLS", "plain"), PAGE_GROUP_ROWS)
+    append_ledger(pages, target_path(dest, "RECALLS", "forced"), PAGE_GROUP_ROWS)
+    append_ledger(pages, target_path(dest, "RECALLS", "forced"), PAGE_GROUP_ROWS)
     return audit.coverage(read_runs(spark, dest, "RECALLS"), "productid", run=("run_id",))
 
 

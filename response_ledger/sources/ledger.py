@@ -10,6 +10,12 @@ from pyspark.sql import types as T
 
 from response_ledger.schemas import LEDGER, REQUIRED
 
+# Rows per parquet row group. Spark's vectorized reader takes up to 4,096 rows of a row
+# group at once and must fit their bodies into one buffer of 2 GB; a page of 2,500 records
+# has megabytes, a by-id body kilobytes.
+PAGE_GROUP_ROWS = 8
+BODY_GROUP_ROWS = 1024
+
 _TIMESTAMP_SETTING = "spark.sql.parquet.outputTimestampType"
 
 
@@ -96,18 +102,24 @@ def required_violations(rows: DataFrame) -> DataFrame:
     )
 
 
-def append_ledger(rows: DataFrame, directory: str) -> None:
+def append_ledger(rows: DataFrame, directory: str, group_rows: int = BODY_GROUP_ROWS) -> None:
     """
     Append rows as ZSTD parquet. Nothing is ever cleared: refetching an id adds a row.
 
-    Timestamps are written as UTC microseconds, which other engines read back with a zone.
+    Row groups are bounded in rows, not only in compressed bytes, so that a reader's batch
+    of bodies fits in memory; pages take `PAGE_GROUP_ROWS`. Timestamps are written as UTC
+    microseconds, which other engines read back with a zone.
     """
     spark = rows.sparkSession
     before = spark.conf.get(_TIMESTAMP_SETTING)
     spark.conf.set(_TIMESTAMP_SETTING, "TIMESTAMP_MICROS")
     try:
-        enforce_required(rows).write.mode("append").option("compression", "zstd").parquet(
-            hadoop_uri(directory)
+        (
+            enforce_required(rows)
+            .write.mode("append")
+            .option("compression", "zstd")
+            .option("parquet.block.row.count.limit", group_rows)
+            .parquet(hadoop_uri(directory))
         )
     finally:
         spark.conf.set(_TIMESTAMP_SETTING, before)

@@ -19,7 +19,7 @@ from response_ledger.operators.numbering import number_rows
 from response_ledger.plans.requests import _filters
 from response_ledger.schemas import DEFAULT_FILTERS, LARGE_TEXT_PAGE_CAP, LEDGER, REPLY_FIELDS, REQUEST
 from response_ledger.session import scratch_path
-from response_ledger.sources.ledger import append_ledger
+from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger
 
 BASE_URL = "https://service.example/rest"
 PAGE_ROWS = LARGE_TEXT_PAGE_CAP
@@ -97,7 +97,7 @@ def page_rows_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages_ledger(spark: SparkSession, sf_dir: str) -> str:
     return once(
-        spark, sf_dir, "pages", lambda path: append_ledger(page_rows_of_orders(spark, sf_dir), path)
+        spark, sf_dir, "pages", lambda path: append_ledger(page_rows_of_orders(spark, sf_dir), path, PAGE_GROUP_ROWS)
     )
 
 
