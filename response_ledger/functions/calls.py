@@ -19,7 +19,7 @@ def call_url(base_url: str, path: Column, path_id: Column | None = None) -> Colu
     if path_id is None:
         return F.concat(F.lit(base_url), path)
     known = F.when(path_id.isNotNull(), path_id.cast("string")).otherwise(
-        F.raise_error(F.lit("a by-id endpoint requires a path id")).cast("string")
+        F.raise_error(F.lit("a by-id call without an id")).cast("string")
     )
     return F.concat(F.lit(base_url), F.substring_index(path, "{", 1), known)
 

@@ -52,10 +52,8 @@ def heading_columns(described: DataFrame, headings: dict[str, str] = HEADINGS) -
         found, text = F.size(f"_{role}_at"), F.col(f"_{role}_list")
         error = F.when(
             found != 1,
-            F.concat(
-                F.lit(f"Expected exactly one <b>{heading}</b> heading, found "), found.cast("string")
-            ),
-        ).when(text.isNull(), F.lit(f"No <i> column list follows '{heading}'"))
+            F.format_string(f"heading '{heading}' occurs %s times, not once", found),
+        ).when(text.isNull(), F.lit(f"no list behind heading '{heading}'"))
         entries.append(
             F.struct(
                 F.lit(role).alias("role"), split_columns(text).alias("columns"), error.alias("error")
@@ -75,7 +73,7 @@ def documented_lists(specs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.struct(
             F.lit("display").alias("role"),
             F.lit(None).cast("array<string>").alias("columns"),
-            F.lit("The spec does not describe this endpoint").alias("error"),
+            F.lit("endpoint is not in the spec").alias("error"),
         )
     )
     # Only a paged endpoint's description is markup; the others skip the element scan.

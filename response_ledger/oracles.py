@@ -210,13 +210,13 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT o_orderkey, 'PRODUCT_TYPES', 'display', unnest([1, 2]),
                            unnest(['cust_' || o_custkey, 'status_' || lower(o_orderstatus)]) FROM orders)""",
     "vocabulary_rejects": """
-        SELECT request_type, 'display' AS role, 'The spec does not describe this endpoint' AS error,
+        SELECT request_type, 'display' AS role, 'endpoint is not in the spec' AS error,
                count(*) AS specs, min(o_orderkey) AS first_key
         FROM (SELECT o_orderkey, unnest(['EVENT', 'EVENT_PRODUCTS', 'CODE_INFO', 'PRODUCT_HISTORY',
                 'EVENT_PRODUCT_HISTORY', 'PRESS_RELEASE_URLS']) AS request_type FROM orders)
         GROUP BY request_type
         UNION ALL
-        SELECT 'RECALLS', 'sort', 'Expected exactly one <b>Sort</b> heading, found 2', count(*), min(o_orderkey)
+        SELECT 'RECALLS', 'sort', 'heading ''Sort'' occurs 2 times, not once', count(*), min(o_orderkey)
         FROM orders WHERE o_orderpriority = '1-URGENT' HAVING count(*) > 0""",
     "streamed_workset": """
         SELECT DISTINCT o_custkey AS id FROM orders

@@ -45,7 +45,7 @@ logger = logging.getLogger(__name__)
 
 
 class IncompleteRunError(Exception):
-    """Some requests failed. Every success was written before this is raised."""
+    """Raised at the end of a stage that has failures; its successes are in the ledger by then."""
 
 
 class CallOptions(NamedTuple):
@@ -140,15 +140,15 @@ def plan_stage(
 ) -> DataFrame:
     """Every call of a stage with its `batch_no`, the limit applied after the resume."""
     endpoint = ENDPOINTS[request_type]
-    if endpoint.accepts_payload:
+    if endpoint.paged:
         total, size = source_total(spark, calls, filters), rows_for(display_columns, rows)
         pages = plan_pages(spark, calls.base_url, total, display_columns, size, filters)
         if limit is not None and limit * size < total:
-            logger.warning("Request limit %s reached; the rest are dropped", limit)
+            logger.warning("Only the first %s pages are fetched", limit)
             pages = pages.where(F.col("start") <= limit * size)
         place = f"((start - 1) div {size} + 1)"
         return pages.withColumn("batch_no", batch_number(place, batch_size))
-    if endpoint.needs_ids:
+    if endpoint.by_id:
         ids = stage_ids(spark, request_type, ids_source, directory, force)
         if limit is not None and limit <= TOP_N_BOUND:
             ids = ids.orderBy("id").limit(limit)
@@ -192,7 +192,7 @@ def run_stage(
     planned.write.parquet(plan_path)
     plan = spark.read.schema(planned.schema).parquet(plan_path)
     batches = plan.agg(F.max("batch_no")).first()[0] or 0
-    group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].accepts_payload else BODY_GROUP_ROWS
+    group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].paged else BODY_GROUP_ROWS
     written = failed = 0
     first = None
     for batch_no in range(1, batches + 1):
@@ -209,14 +209,14 @@ def run_stage(
             first = first or letters.select("url", "start", "failure").first()
         delete_path(spark, landing)
         written, failed = written + kept, failed + lost
-        logger.info("Batch %s: appended %s responses, %s failed", batch_no, kept, lost)
+        logger.info("%s batch %s of %s: %s kept, %s lost", request_type, batch_no, batches, kept, lost)
     delete_path(spark, plan_path)
     if not batches:
-        logger.info("Nothing left to fetch for %s at %s", request_type, directory)
+        logger.info("%s holds all of %s already", directory, request_type)
     if failed:
         raise IncompleteRunError(
-            f"{failed} of the {request_type} requests failed; "
-            f"first: {first['url']} start={first['start']}: {first['failure']}"
+            f"{request_type}: {failed} calls without a response, the first "
+            f"{first['url']} (start {first['start']}): {first['failure']}"
         )
     return StageReport(written, batches, failed)
 
@@ -238,7 +238,7 @@ def run_stages(
     reports = {}
     for request_type in stages:
         own = dict(options)
-        if ENDPOINTS[request_type].needs_ids:
+        if ENDPOINTS[request_type].by_id:
             own["ids_source"] = source
         reports[request_type] = run_stage(
             spark, request_type, run_id, dest, calls, vocabulary[request_type], **own

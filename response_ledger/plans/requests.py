@@ -91,7 +91,7 @@ def plan_pages(
 
 def plan_ids(ids: DataFrame, base_url: str, endpoint: str, display_columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """One request per row of `ids` (column `id`), carrying no payload."""
-    if not ENDPOINTS[endpoint].needs_ids:
+    if not ENDPOINTS[endpoint].by_id:
         raise ValueError(f"{endpoint} takes no id")
     url = call_url(base_url, F.lit(ENDPOINTS[endpoint].path), F.col("id"))
     return ids.select(
@@ -101,8 +101,8 @@ def plan_ids(ids: DataFrame, base_url: str, endpoint: str, display_columns: list
 
 def plan_single(spark: SparkSession, base_url: str, endpoint: str, display_columns: list[str]) -> DataFrame:
     """The one request of an endpoint that takes neither payload nor id."""
-    if ENDPOINTS[endpoint].needs_ids:
-        raise ValueError(f"{endpoint} requires a path id")
+    if ENDPOINTS[endpoint].by_id:
+        raise ValueError(f"{endpoint} is called once per id, not once")
     url = call_url(base_url, F.lit(ENDPOINTS[endpoint].path))
     return spark.range(1).select(*_request(endpoint, display_columns, url=url))
 

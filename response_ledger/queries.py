@@ -57,6 +57,7 @@ from response_ledger.table_ledgers import (
     event_replies,
     events_ledger,
     ledger_rows,
+    marked_documents,
     older_schema,
     order_specs,
     pages_ledger,
@@ -359,20 +360,16 @@ def normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def escaped_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents put into markup with their special characters escaped, scanned back whole."""
-    text = F.col("text")
-    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("e", "&#x65;")):
-        text = F.replace(text, F.lit(plain), F.lit(escaped))
-    fragment = F.concat(
-        F.lit("<p>Read <b class='x'> "), F.col("lang"), F.lit(" </b> &#9679; <!-- <i>no</i> --><i>lost <I>"),
-        text, F.lit("<u></u></I> tail <b>open"),
-    )
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.posexplode(inline_elements(fragment)).alias("pos", "element")
-    ).select(
-        "doc_id",
-        "pos",
-        F.col("element.tag").alias("tag"),
-        F.md5(F.col("element.text")).alias("digest"),
+    found = inline_elements(F.col("markup"))
+    return (
+        marked_documents(spark, sf_dir)
+        .select("doc_id", F.posexplode(found).alias("pos", "element"))
+        .select(
+            "doc_id",
+            "pos",
+            F.col("element.tag").alias("tag"),
+            F.md5(F.col("element.text")).alias("digest"),
+        )
     )
 
 

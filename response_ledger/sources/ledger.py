@@ -74,7 +74,7 @@ def ledger_is_empty(spark: SparkSession, directory: str) -> bool:
 def require_ledger(spark: SparkSession, directory: str) -> DataFrame:
     """`read_ledger`, but a source without files is an error."""
     if ledger_is_empty(spark, directory):
-        raise FileNotFoundError(f"No responses found at {directory}")
+        raise FileNotFoundError(f"{directory} holds no parquet file")
     return read_ledger(spark, directory)
 
 

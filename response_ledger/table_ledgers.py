@@ -227,6 +227,27 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def staged(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> DataFrame:
+    """A rendered table, landed in as many files as the session has cores."""
+    cores = spark.sparkContext.defaultParallelism
+    path = once(spark, sf_dir, name, lambda path: frame.repartition(cores).write.parquet(path))
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def marked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` put into markup whole, their special characters (and each e) escaped."""
+    text = F.col("text")
+    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&#62;"), ("e", "&#x65;")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    fragment = F.concat(
+        F.lit("<p>Read <b class='x'> "), F.col("lang"),
+        F.lit(" </b> &#9679; <!-- <i>no</i> --><i>lost <I>"), text,
+        F.lit("<u></u></I> tail <b>open"),
+    )
+    documents = table(spark, sf_dir, "documents").select("doc_id", fragment.alias("markup"))
+    return staged(spark, sf_dir, "markup", documents)
+
+
 def order_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     One spec document per order, describing three endpoints with names made of the order's
@@ -266,9 +287,9 @@ def order_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("/search/producttypes"), operation("get", sentence),
         F.lit("/recalls/product/{productid}"), operation("get", F.lit("Gets a product.")),
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.to_json(F.struct(F.lit("2.0").alias("swagger"), paths.alias("paths"))).alias("text")
-    )
+    text = F.to_json(F.struct(F.lit("2.0").alias("swagger"), paths.alias("paths")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return staged(spark, sf_dir, "specs", orders)
 
 
 class NumberedService:

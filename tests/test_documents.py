@@ -36,9 +36,9 @@ def elements(spark, *texts):
 
 def test_elements_keep_document_order(spark):
     (found,) = elements(
-        spark, "<b>Sort </b>- text &#9679; more <i>a, b</i> tail <b>Filter</b> <i>c</i>"
+        spark, "Start <b>One &#9679; </b> between <i>x, y &lt; z</i><b>Two</b>, <i>w</i> end"
     )
-    assert found == [("b", "Sort "), ("i", "a, b"), ("b", "Filter"), ("i", "c")]
+    assert found == [("b", "One ● "), ("i", "x, y < z"), ("b", "Two"), ("i", "w")]
 
 
 def test_elements_of_odd_markup(spark):
@@ -110,7 +110,7 @@ def test_sentences(spark):
         spark,
         [
             "Gets it in JSON format including the following columns:  centercd, ProductTypeShortTxt.\n",
-            "Gets the list of product types.",
+            "Gets nothing in particular.",
             "the following columns:a",
             "following columns: .",
         ],
@@ -125,17 +125,17 @@ def lists(spark, fragment, **headings):
 
 
 def test_heading_lists(spark):
-    assert lists(spark, "<b>Sort </b>- the values: <i> ProductId,  recalleventid ,rid</i>", sort="Sort") == [
-        ("sort", ["productid", "recalleventid", "rid"], None)
+    assert lists(spark, "<b> Order\n by</b>: <i>CenterCd ,  Rid,PHASETXT </i> <i>more</i>", sort="Order by") == [
+        ("sort", ["centercd", "rid", "phasetxt"], None)
     ]
 
 
 @pytest.mark.parametrize(
     "fragment, heading, error",
     [
-        ("<b>Sort</b><i>a</i>", "Rows", "exactly one"),
-        ("<b>Sort</b><b>Sort</b><i>a</i>", "Sort", "exactly one"),
-        ("<b>Sort</b> no list", "Sort", "No <i> column list"),
+        ("<b>One</b><i>x</i>", "Two", "occurs 0 times"),
+        ("<b>One</b><i>x</i><b> One</b><i>y</i>", "One", "occurs 2 times"),
+        ("<i>x</i><b>One</b> and no more", "One", "no list behind"),
     ],
 )
 def test_heading_errors(spark, fragment, heading, error):
@@ -193,5 +193,5 @@ def test_vocabulary(spark, tmp_path):
     assert documented_columns(specs, "RECALLS") == ["productid", "rid", "codeinformation"]
     assert documented_columns(specs, "PRODUCT") == []
     assert documented_columns(specs, "PRODUCT_TYPES", "sort") == []
-    with pytest.raises(ValueError, match="does not describe"):
+    with pytest.raises(ValueError, match="not in the spec"):
         documented_columns(specs, "EVENT")

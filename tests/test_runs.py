@@ -141,7 +141,7 @@ def test_force_appends_again(spark, tmp_path):
 
 def test_a_failed_id_comes_back(spark, tmp_path):
     paged(spark, tmp_path)
-    with pytest.raises(IncompleteRunError, match="1 of the PRODUCT requests failed; first: .*/103 "):
+    with pytest.raises(IncompleteRunError, match="PRODUCT: 1 calls without .*/103 "):
         by_id(spark, tmp_path, Service(tmp_path / "first", failing=("103",)), batch_size=2)
     assert held(spark, tmp_path) == [int(one) for one in IDS if one != "103"]
     letters = spark.read.parquet(target_path(str(tmp_path), "PRODUCT", "r1", "api_failures")).collect()
@@ -177,7 +177,7 @@ def test_transient_failures_are_tried_again(spark, tmp_path):
         "103": (ConnectionRefusedError("refused"), 2), "104": (TimeoutError("slow"), 9),
     }
     service = Service(tmp_path / "log", flaky=flaky, broken=("105",))
-    with pytest.raises(IncompleteRunError, match="2 of the PRODUCT"):
+    with pytest.raises(IncompleteRunError, match="PRODUCT: 2 calls"):
         by_id(spark, tmp_path, service)
     assert held(spark, tmp_path) == [100, 101, 102, 103, 106]
     counts = {one: service.calls().count(one) for one in IDS}
@@ -222,7 +222,7 @@ def test_call_records(spark, tmp_path):
 BODIES = {
     b'{"MESSAGE":"success"}': "ok",
     b' {"RESULT":[],"MESSAGE":"success","N":NaN}\n': "ok",
-    b'{"MESSAGE":"rows should be less","STATUSCODE":417}': "api",
+    b'{"MESSAGE":"page too long","STATUSCODE":417}': "api",
     b'{"STATUSCODE":417}': "api",
     b'{"MESSAGE":["success"]}': "api",
     b'{"MESSAGE":"success","RESULT":[1': "malformed",
