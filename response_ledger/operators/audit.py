@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from response_ledger.operators.outcomes import read_envelopes
 from response_ledger.operators.records import record_array
 from response_ledger.schemas import SOURCE_TYPE
+from response_ledger.session import scratch_path
+
+# A place is a file path and a number, some 200 bytes: about 40 MB at most.
+BROADCAST_ROWS = 200_000
 
 LEDGER_KEY = ("request_type", "response_key")
 
@@ -42,10 +46,12 @@ def current_responses(ledger: DataFrame) -> DataFrame:
 
     The bodies are the bulk of a ledger and most rows are current, so the bodies are not
     sorted or shuffled to find that out. The latest place per key is taken from the narrow
-    columns, the places that are not the latest follow by an anti-join, and only those are
-    taken off the full rows. Both joins are on (file, row), which no key can skew; with few
-    superseded rows the last one becomes a broadcast at run time.
+    columns, and the places that are not the latest are written to the scratch folder. Only
+    then, knowing how many there are, they are taken off the full rows: by a broadcast up to
+    `BROADCAST_ROWS`, beyond by a merge join. (Left to adapt at run time, Spark would have
+    shuffled the bodies before it knew.) Joins are on (file, row), which no key can skew.
     """
+    spark = ledger.sparkSession
     rows = located(ledger)
     narrow = rows.select(*LEDGER_KEY, "fetched_at", "sha_256", "_file", "_row")
     best = narrow.groupBy(*LEDGER_KEY).agg(
@@ -53,9 +59,12 @@ def current_responses(ledger: DataFrame) -> DataFrame:
     )
     kept = best.select(F.col("best._file").alias("_file"), F.col("best._row").alias("_row"))
     superseded = narrow.select("_file", "_row").join(kept, ["_file", "_row"], "left_anti")
-    return rows.join(superseded, ["_file", "_row"], "left_anti").drop(
-        "_file", "_row", "response_key"
-    )
+    path = scratch_path(spark, "superseded")
+    superseded.write.parquet(path)
+    stored = spark.read.schema(superseded.schema).parquet(path)
+    few = stored.count() <= BROADCAST_ROWS
+    taken = F.broadcast(stored) if few else stored.hint("merge")
+    return rows.join(taken, ["_file", "_row"], "left_anti").drop("_file", "_row", "response_key")
 
 
 def integrity(ledger: DataFrame) -> DataFrame:

@@ -98,8 +98,14 @@ def dead_letters(outcomes: DataFrame) -> DataFrame:
 
 
 def retry_queue(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
-    """Requests to try again, with the tries so far and when the next one is due."""
-    pause = backoff_seconds(F.col("attempts"), policy) + F.rand()
+    """
+    Requests to try again, with the tries so far and when the next one is due.
+
+    The jitter below a second is hashed from the request and its tries: it spreads requests
+    as a random number would, but a recomputed task finds the same rows again.
+    """
+    spread = F.pmod(F.xxhash64("url", "start", "attempts"), F.lit(1_000_000)) / 1_000_000
+    pause = backoff_seconds(F.col("attempts"), policy) + spread
     due = F.timestamp_micros(F.unix_micros("fetched_at") + (pause * 1_000_000).cast("bigint"))
     return outcomes.where(F.col("outcome") == RETRIABLE).select(
         *REQUEST.names, "batch_no", "attempts", due.alias("next_attempt_at")

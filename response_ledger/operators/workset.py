@@ -9,8 +9,9 @@ from response_ledger.operators.numbering import number_rows
 from response_ledger.operators.records import explode_records
 from response_ledger.schemas import SOURCE_TYPE
 
-# Up to here the first N ids come from a top-N; beyond, from their global numbers.
-TOP_N_BOUND = 10_000
+# Up to here the first N ids come from a top-N, which merges N rows per task in one task;
+# beyond, from their global numbers.
+TOP_N_BOUND = 1_000
 
 
 def record_ids(ledger: DataFrame, id_column: str) -> DataFrame:
@@ -25,6 +26,19 @@ def create_workset(ledger: DataFrame, id_column: str) -> DataFrame:
     return ids.select(F.col(id_column.lower()).cast("bigint").alias("id")).distinct()
 
 
+def create_worksets(ledger: DataFrame, id_columns: list[str]) -> DataFrame:
+    """The worksets of several id columns out of one pass over the bodies: (id_column, id)."""
+    pages = ledger.where(F.col("request_type") == SOURCE_TYPE)
+    kinds = F.array(
+        *[
+            F.struct(F.lit(name).alias("id_column"), F.col(name).cast("bigint").alias("id"))
+            for name in id_columns
+        ]
+    )
+    ids = explode_records(pages, id_columns).select(F.inline(kinds))
+    return ids.where(F.col("id").isNotNull()).distinct()
+
+
 def rejected_ids(ledger: DataFrame, id_column: str) -> DataFrame:
     """Id texts `create_workset` would fail on, with how often each occurs."""
     text = F.col(id_column.lower())

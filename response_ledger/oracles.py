@@ -50,6 +50,9 @@ ORACLES: dict[str, str] = {
         GROUP BY (n - 1) // 2500""",
     "workset_events": "SELECT DISTINCT o_custkey AS id FROM orders",
     "workset_products": "SELECT DISTINCT o_orderkey AS id FROM orders",
+    "workset_kinds": """
+        SELECT DISTINCT 'productid' AS id_column, o_orderkey AS id FROM orders
+        UNION ALL SELECT DISTINCT 'recalleventid', o_custkey FROM orders""",
     "workset_size": """
         SELECT 'productid' AS id_column, count(DISTINCT o_orderkey) AS ids FROM orders
         UNION ALL SELECT 'recalleventid', count(DISTINCT o_custkey) FROM orders""",

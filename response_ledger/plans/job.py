@@ -18,7 +18,7 @@ from response_ledger.operators.outcomes import (
     retry_queue,
     to_ledger,
 )
-from response_ledger.operators.workset import TOP_N_BOUND, batch_number, create_workset, remaining
+from response_ledger.operators.workset import TOP_N_BOUND, batch_number, create_workset, create_worksets, remaining
 from response_ledger.plans.requests import Filters, plan_ids, plan_pages, plan_probe, plan_single, rows_for
 from response_ledger.schemas import (
     BATCH_SIZE,
@@ -114,12 +114,18 @@ def source_total(spark: SparkSession, calls: CallOptions, filters: Filters | Non
 
 
 def stage_ids(
-    spark: SparkSession, request_type: str, ids_source: str | None, directory: str, force: bool
+    spark: SparkSession,
+    request_type: str,
+    ids_source: str | None,
+    directory: str,
+    force: bool,
+    workset: DataFrame | None = None,
 ) -> DataFrame:
     """The ids a by-id stage has to fetch: its workset, less what the target holds."""
-    if ids_source is None:
+    if workset is None and ids_source is None:
         raise ValueError(f"{request_type} needs ids_source, the directory of a prior {SOURCE_TYPE} run")
-    workset = create_workset(require_ledger(spark, ids_source), ENDPOINTS[request_type].id_column)
+    if workset is None:
+        workset = create_workset(require_ledger(spark, ids_source), ENDPOINTS[request_type].id_column)
     if force or ledger_is_empty(spark, directory):
         return workset
     return remaining(workset, read_ledger(spark, directory), request_type)
@@ -134,11 +140,15 @@ def plan_stage(
     filters: Filters | None = DEFAULT_FILTERS,
     rows: int | None = None,
     ids_source: str | None = None,
+    workset: DataFrame | None = None,
     batch_size: int = BATCH_SIZE,
     force: bool = False,
     limit: int | None = None,
 ) -> DataFrame:
-    """Every call of a stage with its `batch_no`, the limit applied after the resume."""
+    """
+    Every call of a stage with its `batch_no`, the limit applied after the resume. The ids
+    come from the paged run at `ids_source`, or ready-made as `workset`.
+    """
     endpoint = ENDPOINTS[request_type]
     if endpoint.paged:
         total, size = source_total(spark, calls, filters), rows_for(display_columns, rows)
@@ -149,7 +159,7 @@ def plan_stage(
         place = f"((start - 1) div {size} + 1)"
         return pages.withColumn("batch_no", batch_number(place, batch_size))
     if endpoint.by_id:
-        ids = stage_ids(spark, request_type, ids_source, directory, force)
+        ids = stage_ids(spark, request_type, ids_source, directory, force, workset)
         if limit is not None and limit <= TOP_N_BOUND:
             ids = ids.orderBy("id").limit(limit)
         numbered = number_rows(ids, "id")
@@ -233,13 +243,22 @@ def run_stages(
     """
     Stages in order under one run id; the by-id ones draw on this run's paged stage. A
     stage that ends incomplete ends the run, and the next run resumes.
+
+    The pages are the bulk of a run, so the ids of all by-id stages are drawn in one pass
+    when the first of them is reached, and kept as a narrow table for the others.
     """
-    source = target_path(dest, SOURCE_TYPE, run_id)
-    reports = {}
+    id_columns = sorted({ENDPOINTS[one].id_column for one in stages if ENDPOINTS[one].by_id})
+    worksets, reports = None, {}
     for request_type in stages:
-        own = dict(options)
-        if ENDPOINTS[request_type].by_id:
-            own["ids_source"] = source
+        own, id_column = dict(options), ENDPOINTS[request_type].id_column
+        if id_column is not None:
+            if worksets is None:
+                pages = require_ledger(spark, target_path(dest, SOURCE_TYPE, run_id))
+                found = create_worksets(pages, id_columns)
+                path = scratch_path(spark, "worksets")
+                found.write.parquet(path)
+                worksets = spark.read.schema(found.schema).parquet(path)
+            own["workset"] = worksets.where(F.col("id_column") == id_column).select("id")
         reports[request_type] = run_stage(
             spark, request_type, run_id, dest, calls, vocabulary[request_type], **own
         )

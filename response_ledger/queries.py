@@ -30,6 +30,7 @@ from response_ledger.operators.vocabulary import vocabulary, vocabulary_errors
 from response_ledger.operators.workset import (
     assign_batches,
     create_workset,
+    create_worksets,
     first_ids,
     rejected_ids,
     remaining,
@@ -106,14 +107,14 @@ def workset_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return create_workset(_pages(spark, sf_dir), "productid")
 
 
+def workset_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds of ids out of one pass over the pages."""
+    return create_worksets(_pages(spark, sf_dir), ["productid", "recalleventid"])
+
+
 def workset_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many ids of each kind there are to fetch."""
-    pages = _pages(spark, sf_dir)
-    sizes = [
-        create_workset(pages, name).agg(F.count(F.lit(1)).alias("ids")).select(F.lit(name).alias("id_column"), "ids")
-        for name in ("productid", "recalleventid")
-    ]
-    return sizes[0].unionByName(sizes[1])
+    return workset_kinds(spark, sf_dir).groupBy("id_column").agg(F.count(F.lit(1)).alias("ids"))
 
 
 def remaining_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +462,7 @@ def forced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     one.__name__: one
     for one in (
-        page_plan, page_payloads, page_members, workset_events, workset_products, workset_size,
+        page_plan, page_payloads, page_members, workset_events, workset_products, workset_kinds, workset_size,
         remaining_events, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
         page_sizes, page_counts, call_outcomes, kept_responses, failed_calls, retry_schedule,
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,

@@ -269,6 +269,13 @@ def test_a_due_time_is_waited_for(spark):
     queue = retry_queue(classify(busy), RetryPolicy(min_delay_seconds=1.0))
     again = fetch_requests(queue, lambda: lambda call: Reply(200, b"{}"), 1, (0.0, 0.0)).collect()
     assert again[0]["attempts"] == 1
+    # Whoever recomputes the queue finds the same due time.
+    landed = classify(busy).select("*").collect()
+    frozen = spark.createDataFrame(landed, classify(busy).schema)
+    first, second = (retry_queue(frozen).collect() for _ in range(2))
+    assert first == second
+    pause = (first[0]["next_attempt_at"] - landed[0]["fetched_at"]).total_seconds()
+    assert 1.5 <= pause < 2.5
     assert again[0]["fetched_at"] >= again[0]["next_attempt_at"]
 
 
