@@ -74,8 +74,7 @@ ORACLES: dict[str, str] = {
     "id_requests": f"""
         SELECT 'EVENT' AS request_type, 'GET' AS method,
                '{_BASE}/recalls/event/' || o_custkey AS url, o_custkey AS path_id,
-               'recalleventid,firmlegalnam' AS columns, CAST(NULL AS INT) AS start,
-               CAST(NULL AS VARCHAR) AS body
+               'recalleventid,firmlegalnam' AS columns, true AS bare
         FROM (SELECT DISTINCT o_custkey FROM orders
               WHERE NOT EXISTS (SELECT 1 FROM customer
                                 WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING'))""",
@@ -95,9 +94,9 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, {_GOOD_BODY} AS body FROM ({_ATTEMPTS}) WHERE outcome = 'ok')""",
     "failed_calls": f"""
         SELECT event_id AS path_id, CAST(tries AS INT) AS attempts,
-               CAST(CASE event_type WHEN 'signup' THEN 503 WHEN 'view' THEN 404
-                    WHEN 'purchase' THEN NULL ELSE 200 END AS INT) AS status,
-               CAST(CASE outcome WHEN 'api' THEN 417 END AS INT) AS api_status,
+               CASE event_type WHEN 'signup' THEN '503' WHEN 'view' THEN '404'
+                    WHEN 'purchase' THEN 'none' ELSE '200' END AS status,
+               CASE outcome WHEN 'api' THEN '417' ELSE 'none' END AS api_status,
                outcome,
                CASE WHEN event_type = 'purchase' THEN 'transport: connection refused'
                     WHEN event_type = 'signup' THEN 'HTTP 503'
@@ -131,13 +130,13 @@ ORACLES: dict[str, str] = {
     "flattened_records": """
         SELECT o_orderkey AS productid, o_custkey AS recalleventid, o_orderstatus AS centercd,
                o_orderpriority AS productshortreasontxt, o_totalprice AS productdistributedquantity,
-               CAST(o_orderdate AS DATE) AS recallinitiationdt
+               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS recallinitiationdt
         FROM orders""",
     "flattened_tables": """
         SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'EVENT' WHEN 'MACHINERY' THEN 'EVENT'
                  WHEN 'AUTOMOBILE' THEN 'CODE_INFO' ELSE 'EVENT_PRODUCTS' END AS request_type,
                c_custkey AS recalleventid, c_name AS firmlegalnam, c_acctbal AS amount,
-               CAST(NULL AS VARCHAR) AS phasetxt
+               'not in the body' AS phasetxt
         FROM customer""",
     "current_responses": """
         SELECT upper(event_type) AS request_type, user_id AS path_id,

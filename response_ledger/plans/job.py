@@ -64,13 +64,28 @@ class StageReport(NamedTuple):
     failed: int
 
 
-def settle(requests: DataFrame, calls: CallOptions) -> tuple[str, dict[str, int]]:
+class Settled(NamedTuple):
+    """Landed requests: exactly one row per request, where it is, and rows per outcome."""
+
+    outcomes: DataFrame
+    landing: str
+    totals: dict[str, int]
+
+    @property
+    def kept(self) -> int:
+        return self.totals.get(OK, 0)
+
+    @property
+    def lost(self) -> int:
+        return sum(self.totals.values()) - self.kept
+
+
+def settle(requests: DataFrame, calls: CallOptions) -> Settled:
     """
     Make every call until it succeeds, fails for good or runs out of tries.
 
     Each try is landed once and read back, so no reply is asked for twice: Spark would call
-    the service again for every use of an unlanded frame. Returns the landing path, where
-    exactly one row per request is not `retriable`, and the requests per final outcome.
+    the service again for every use of an unlanded frame.
     """
     spark = requests.sparkSession
     landing = scratch_path(spark, "landing")
@@ -88,27 +103,17 @@ def settle(requests: DataFrame, calls: CallOptions) -> tuple[str, dict[str, int]
         if not again:
             break
         pending = retry_queue(tried, calls.retry)
-    return landing, totals
-
-
-def _settled(spark: SparkSession, landing: str) -> DataFrame:
-    """The final outcomes of a landing path; its tries share one schema."""
-    schema = spark.read.parquet(f"{landing}/try=1").schema
-    return (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .parquet(landing)
-        .where(F.col("outcome") != RETRIABLE)
-    )
+    tries = spark.read.schema(judged.schema).option("recursiveFileLookup", "true").parquet(landing)
+    return Settled(tries.where(F.col("outcome") != RETRIABLE), landing, totals)
 
 
 def source_total(spark: SparkSession, calls: CallOptions, filters: Filters | None = DEFAULT_FILTERS) -> int:
     """How many records the filters match; the probe is not kept."""
     probe = plan_probe(spark, calls.base_url, filters).withColumn("batch_no", F.lit(0).cast("bigint"))
-    landing, totals = settle(probe, calls)
-    row = _settled(spark, landing).select("result_count", "url", "failure").first()
-    delete_path(spark, landing)
-    if totals.get(OK, 0) != 1 or row["result_count"] is None:
+    settled = settle(probe, calls)
+    row = settled.outcomes.select("result_count", "url", "failure").first()
+    delete_path(spark, settled.landing)
+    if settled.kept != 1 or row["result_count"] is None:
         raise IncompleteRunError(f"No record count from {row['url']}: {row['failure']}")
     return row["result_count"]
 
@@ -206,18 +211,17 @@ def run_stage(
     written = failed = 0
     first = None
     for batch_no in range(1, batches + 1):
-        landing, totals = settle(plan.where(F.col("batch_no") == batch_no), calls)
-        outcomes = _settled(spark, landing)
-        kept, lost = totals.get(OK, 0), sum(totals.values()) - totals.get(OK, 0)
+        settled = settle(plan.where(F.col("batch_no") == batch_no), calls)
+        kept, lost = settled.kept, settled.lost
         if kept:
-            append_ledger(to_ledger(outcomes), directory, group_rows)
+            append_ledger(to_ledger(settled.outcomes), directory, group_rows)
         if lost:
-            letters = dead_letters(outcomes)
+            letters = dead_letters(settled.outcomes)
             letters.write.mode("append").option("compression", "zstd").parquet(
                 hadoop_uri(target_path(dest, request_type, run_id, "api_failures"))
             )
             first = first or letters.select("url", "start", "failure").first()
-        delete_path(spark, landing)
+        delete_path(spark, settled.landing)
         written, failed = written + kept, failed + lost
         logger.info("%s batch %s of %s: %s kept, %s lost", request_type, batch_no, batches, kept, lost)
     delete_path(spark, plan_path)

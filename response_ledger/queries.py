@@ -147,7 +147,7 @@ def id_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_ids(remaining_events(spark, sf_dir), BASE_URL, "EVENT", ["recalleventid", "firmlegalnam"])
     return plan.select(
         "request_type", "method", "url", "path_id", F.array_join("display_columns", ",").alias("columns"),
-        "start", "body",
+        (F.col("start").isNull() & F.col("filters").isNull() & F.col("body").isNull()).alias("bare"),
     )
 
 
@@ -183,7 +183,8 @@ def kept_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The attempts that came to an end without a response, and why."""
     letters = dead_letters(classify(event_replies(spark, sf_dir)))
-    return letters.select("path_id", "attempts", "status", "api_status", "outcome", "failure")
+    codes = [F.coalesce(F.col(one).cast("string"), F.lit("none")).alias(one) for one in ("status", "api_status")]
+    return letters.select("path_id", "attempts", *codes, "outcome", "failure")
 
 
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,13 +253,17 @@ def flattened_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "productdistributedquantity": "double",
         "recallinitiationdt": "date",
     }
-    return flatten_records(_pages(spark, sf_dir), kinds)
+    return flatten_records(_pages(spark, sf_dir), kinds).withColumn(
+        "recallinitiationdt", F.col("recallinitiationdt").cast("string")
+    )
 
 
 def flattened_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The COLUMNS/DATA bodies as a typed table; one asked column is in none of them."""
     kinds = {"recalleventid": "bigint", "firmlegalnam": "string", "amount": "double", "phasetxt": "string"}
-    return flatten_tabular(_customers(spark, sf_dir), kinds, keep=("request_type",))
+    return flatten_tabular(_customers(spark, sf_dir), kinds, keep=("request_type",)).withColumn(
+        "phasetxt", F.coalesce("phasetxt", F.lit("not in the body"))
+    )
 
 
 def current_responses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,6 +161,23 @@ def test_a_batch_without_success_writes_nothing(spark, tmp_path):
     assert not Path(target_path(str(tmp_path), "PRODUCT_TYPES", "r1")).exists()
 
 
+def test_an_interrupted_run_keeps_its_batches(spark, tmp_path):
+    paged(spark, tmp_path)
+    whole = Service(tmp_path / "first")
+
+    def connect():
+        if len(whole.calls()) >= 3:
+            raise RuntimeError("machine lost")
+        return whole()
+
+    with pytest.raises(Exception, match="machine lost"):
+        by_id(spark, tmp_path, connect, batch_size=3)
+    assert held(spark, tmp_path) == [100, 101, 102]
+    service = Service(tmp_path / "second")
+    assert by_id(spark, tmp_path, service, batch_size=3) == (4, 2, 0)
+    assert service.calls() == IDS[3:]
+
+
 def test_sources_are_needed(spark, tmp_path):
     service = Service(tmp_path / "log")
     with pytest.raises(ValueError, match="ids_source"):
@@ -195,8 +212,8 @@ def test_each_request_is_called_once_with_few_connections(spark, tmp_path):
     service = Service(tmp_path / "log")
     ids = spark.range(100, 140)
     requests = plan_ids(ids, BASE_URL, "PRODUCT", ["productid"]).withColumn("batch_no", F.lit(1))
-    landing, totals = settle(requests, options(service, max_workers=3))
-    assert totals == {"ok": 40}
+    settled = settle(requests, options(service, max_workers=3))
+    assert settled.totals == {"ok": 40} and settled.outcomes.count() == 40
     assert len(service.calls()) == 40
     names = [one.name.split("-")[0] for one in (tmp_path / "log").iterdir()]
     assert 1 <= names.count("connected") <= 3 and names.count("connected") == names.count("closed")
