@@ -28,11 +28,14 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
     parsed = F.from_json(
         listed, "array<struct<MESSAGE:string,STATUSCODE:string,RESULTCOUNT:string>>", STRICT_JSON
     )
-    only = F.when(F.size("_parsed") == 1, F.get("_parsed", F.lit(0)))
+    # One object counts 1, anything else next to it or instead of it makes more or none.
+    objects = F.aggregate(
+        "_parsed", F.lit(0), lambda seen, one: seen + F.when(one.isNull(), 2).otherwise(1)
+    )
     return (
         bodies.withColumn("_parsed", parsed)
-        .withColumn("_envelope", only)
-        .withColumn("well_formed", F.col("_envelope").isNotNull())
+        .withColumn("well_formed", objects.eqNullSafe(1))
+        .withColumn("_envelope", F.when(F.col("well_formed"), F.get("_parsed", F.lit(0))))
         .withColumn("api_message", F.col("_envelope.MESSAGE"))
         .withColumn("api_status", F.col("_envelope.STATUSCODE").try_cast("int"))
         .withColumn("result_count", F.col("_envelope.RESULTCOUNT").try_cast("bigint"))
@@ -44,6 +47,9 @@ def classify(replies: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFra
     """
     Each reply as a call record: `raw` gives way to its digest, length and text, `attempts`
     is counted on, the envelope fields, `outcome` and, for a failure, `failure` are added.
+
+    Land the records before filtering them: Spark pushes a filter on `outcome` below the
+    parse it comes from and would read each body again for it.
     """
     tried = (
         replies.withColumn("attempts", F.col("attempts") + 1)

@@ -60,6 +60,7 @@ from response_ledger.table_ledgers import (
     ledger_rows,
     marked_documents,
     older_schema,
+    once,
     order_specs,
     pages_ledger,
     table,
@@ -74,6 +75,13 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ledger(spark, customers_ledger(spark, sf_dir))
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempts judged and landed, as a run does before it splits them."""
+    judged = classify(event_replies(spark, sf_dir))
+    path = once(spark, sf_dir, "judged", judged.write.parquet)
+    return spark.read.schema(judged.schema).parquet(path)
+
+
 def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offset pages that cover all orders."""
     total = table(spark, sf_dir, "orders").count()
@@ -176,32 +184,32 @@ def call_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger rows of the attempts that succeeded."""
-    kept = to_ledger(classify(event_replies(spark, sf_dir)))
+    kept = to_ledger(_judged(spark, sf_dir))
     return kept.select("request_type", "url", "path_id", "content_length", "sha_256", "content")
 
 
 def failed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The attempts that came to an end without a response, and why."""
-    letters = dead_letters(classify(event_replies(spark, sf_dir)))
+    letters = dead_letters(_judged(spark, sf_dir))
     codes = [F.coalesce(F.col(one).cast("string"), F.lit("none")).alias(one) for one in ("status", "api_status")]
     return letters.select("path_id", "attempts", *codes, "outcome", "failure")
 
 
 def retry_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The attempts to make again and their pause before jitter."""
-    queue = retry_queue(classify(event_replies(spark, sf_dir)))
+    queue = retry_queue(_judged(spark, sf_dir))
     return queue.select("path_id", "attempts", backoff_seconds(F.col("attempts")).alias("delay_seconds"))
 
 
 def attempt_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals over all settled attempts, the first failure named."""
-    totals = run_totals(classify(event_replies(spark, sf_dir)))
+    totals = run_totals(_judged(spark, sf_dir))
     return totals.select("written", "failed", "batches", F.col("first_failure.url").alias("first_failed_url"))
 
 
 def requeued_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids whose call was not kept: failures stage nothing, so they are asked for again."""
-    judged = classify(event_replies(spark, sf_dir))
+    judged = _judged(spark, sf_dir)
     ids = judged.select(F.col("path_id").alias("id")).distinct()
     return remaining(ids, to_ledger(judged), "EVENT")
 
