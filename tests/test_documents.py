@@ -47,6 +47,8 @@ def test_elements_of_odd_markup(spark):
         "<b>lost <i>kept</b> on</i>",
         "<B class='a>b'>x <u>y</u>&amp;z</B >",
         "<i/>after<br><b>open",
+        "<b title=it's>don't</b><i a = 'x>y' b=\">\">u <a href='>'>v</a></i>",
+        "<b " + "a='>' " * 20_000 + ">end</b>",
         "<!-- <b>no</b> --><base><i>1 < 2</i><img>",
         "",
         "<b></b><script>'<b>no</b>'</script>",
@@ -55,6 +57,8 @@ def test_elements_of_odd_markup(spark):
         [("i", "kept on")],
         [("b", "x y&z")],
         [("i", "")],
+        [("b", "don't"), ("i", "u v")],
+        [("b", "end")],
         [("i", "1 < 2")],
         [],
         [("b", "")],
