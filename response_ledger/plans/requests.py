@@ -31,7 +31,8 @@ def _columns(names: list[str]) -> Column:
     return F.array(*[F.lit(one) for one in names]).cast("array<string>")
 
 
-def _filters(filters: Filters | None) -> Column:
+def filter_maps(filters: Filters | None) -> Column:
+    """Filters as the ledger keeps them: one single-key map each, NULL for none."""
     kind = REQUEST["filters"].dataType
     if filters is None:
         return F.lit(None).cast(kind)
@@ -70,7 +71,7 @@ def plan_pages(
     start = F.col("id").cast("int")
     given = {
         "url": call_url(base_url, F.lit(ENDPOINTS[SOURCE_TYPE].path)),
-        "filters": _filters(filters),
+        "filters": filter_maps(filters),
         "sort": F.lit(sort),
         "sort_order": F.lit(sort_order),
         "start": start,

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from response_ledger.operators.fetch import Reply
 from response_ledger.operators.numbering import number_rows
-from response_ledger.plans.requests import _filters
+from response_ledger.plans.requests import filter_maps
 from response_ledger.schemas import DEFAULT_FILTERS, LARGE_TEXT_PAGE_CAP, LEDGER, REPLY_FIELDS, REQUEST
 from response_ledger.session import scratch_path
 from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger
@@ -86,7 +86,7 @@ def page_rows_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger_rows(
         pages.select("page", content.alias("content")),
         request_type=F.lit("RECALLS"),
-        filters=_filters(DEFAULT_FILTERS),
+        filters=filter_maps(DEFAULT_FILTERS),
         sort=F.lit("productid"),
         sort_order=F.lit("asc"),
         start=F.col("page") * PAGE_ROWS + 1,

@@ -197,5 +197,7 @@ def test_vocabulary(spark, tmp_path):
     assert documented_columns(specs, "RECALLS") == ["productid", "rid", "codeinformation"]
     assert documented_columns(specs, "PRODUCT") == []
     assert documented_columns(specs, "PRODUCT_TYPES", "sort") == []
+    with pytest.raises(ValueError, match="more than one"):
+        documented_columns(specs.union(specs), "RECALLS")
     with pytest.raises(ValueError, match="not in the spec"):
         documented_columns(specs, "EVENT")

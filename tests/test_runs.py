@@ -324,6 +324,21 @@ def test_all_stages_in_order(spark, tmp_path):
     again = run_stages(spark, "r1", str(tmp_path), options(service), columns, stages)
     # Endpoints without ids are fetched whole each time, the others resume.
     assert [one.written for one in again.values()] == [1, 1, 0, 0]
+    forced = run_stages(spark, "r1", str(tmp_path), options(service), columns, stages, force=True)
+    assert [one.written for one in forced.values()] == [1, 1, 7, 7]
+
+
+def test_by_id_stages_need_the_paged_run(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        run_stages(spark, "r1", str(tmp_path), options(Service(tmp_path / "log")), {}, ("PRODUCT",))
+
+
+def test_a_large_limit_takes_the_first_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("response_ledger.plans.job.TOP_N_BOUND", 2)
+    paged(spark, tmp_path)
+    service = Service(tmp_path / "first")
+    assert by_id(spark, tmp_path, service, limit=4, batch_size=3) == (4, 2, 0)
+    assert service.calls() == IDS[:4]
 
 
 def test_stream_emits_each_new_id_once(spark, tmp_path):
