@@ -220,11 +220,12 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "error_message": F.when(kind == "purchase", "connection refused"),
     }
     kinds = [*REQUEST.fields, *REPLY_FIELDS]
-    return table(spark, sf_dir, "events").select(
+    replies = table(spark, sf_dir, "events").select(
         *[given.get(one.name, F.lit(None)).cast(one.dataType).alias(one.name) for one in kinds],
         F.col("user_id").alias("batch_no"),
         F.get_json_object("props", "$.k").cast("int").alias("attempts"),
     )
+    return staged(spark, sf_dir, "replies", replies)
 
 
 def staged(spark: SparkSession, sf_dir: str, name: str, frame: DataFrame) -> DataFrame:
