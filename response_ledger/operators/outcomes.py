@@ -21,20 +21,20 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
     The status fields of each body as `api_message`, `api_status`, `result_count`, and
     `well_formed`: whether the whole text is exactly one JSON object.
 
-    The text is parsed once, as the only element of a list: a cut-off body and anything
-    behind the object then make the parse fail or the list longer.
+    The text is parsed once, as the first element of a list of two: a cut-off body and
+    anything behind the object then make the parse fail or the list shorter or longer.
     """
-    listed = F.concat(F.lit("["), F.col(content), F.lit("]"))
+    listed = F.concat(F.lit("["), F.col(content), F.lit(",{}]"))
     parsed = F.from_json(
         listed, "array<struct<MESSAGE:string,STATUSCODE:string,RESULTCOUNT:string>>", STRICT_JSON
     )
-    # One object counts 1, anything else next to it or instead of it makes more or none.
+    # An object counts 1, a null too much.
     objects = F.aggregate(
-        "_parsed", F.lit(0), lambda seen, one: seen + F.when(one.isNull(), 2).otherwise(1)
+        "_parsed", F.lit(0), lambda seen, one: seen + F.when(one.isNull(), 3).otherwise(1)
     )
     return (
         bodies.withColumn("_parsed", parsed)
-        .withColumn("well_formed", objects.eqNullSafe(1))
+        .withColumn("well_formed", objects.eqNullSafe(2))
         .withColumn("_envelope", F.when(F.col("well_formed"), F.get("_parsed", F.lit(0))))
         .withColumn("api_message", F.col("_envelope.MESSAGE"))
         .withColumn("api_status", F.col("_envelope.STATUSCODE").try_cast("int"))

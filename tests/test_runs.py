@@ -250,6 +250,8 @@ BODIES = {
     b"null": "malformed",
     b'{"MESSAGE":"success"},null': "malformed",
     b'null,{"MESSAGE":"success"}': "malformed",
+    b'{"MESSAGE":"success"}],[': "malformed",
+    b'{"MESSAGE":"success"},': "malformed",
     b"": "malformed",
     b'{"MESSAGE":"success","X":"\xff"}': "undecodable",
     b'{"MESSAGE":"success","X":"\xed\xa0\x80"}': "undecodable",
