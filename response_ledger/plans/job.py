@@ -41,6 +41,8 @@ from response_ledger.sources.ledger import (
     target_path,
 )
 
+CHUNK_BATCHES = 256
+
 logger = logging.getLogger(__name__)
 
 
@@ -195,8 +197,8 @@ def run_stage(
     """
     Fetch one endpoint and append its responses under `dest`; `options` are `plan_stage`'s.
 
-    The plan is written once, ordered by batch, so picking a batch reads that batch's row
-    groups. Each batch is settled, then its successes are appended in one write and its
+    The plan is written once, a folder per `CHUNK_BATCHES` batches, so picking a batch opens
+    that folder's files and no others. Each batch is settled, then its successes are appended in one write and its
     failures go to the dead-letter table beside the ledger; an interrupted run loses one
     batch. The ledger is the only resume state. Raises after the last batch if any request
     failed; a stage with nothing left to fetch writes nothing.
@@ -204,14 +206,16 @@ def run_stage(
     directory = target_path(dest, request_type, run_id)
     planned = plan_stage(spark, request_type, directory, calls, display_columns, **options)
     plan_path = scratch_path(spark, "plan")
-    planned.write.parquet(plan_path)
-    plan = spark.read.schema(planned.schema).parquet(plan_path)
+    chunked = planned.withColumn("chunk", F.expr(f"batch_no div {CHUNK_BATCHES}"))
+    chunked.write.partitionBy("chunk").parquet(plan_path)
+    plan = spark.read.schema(chunked.schema).parquet(plan_path)
     batches = plan.agg(F.max("batch_no")).first()[0] or 0
     group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].paged else BODY_GROUP_ROWS
     written = failed = 0
     first = None
     for batch_no in range(1, batches + 1):
-        settled = settle(plan.where(F.col("batch_no") == batch_no), calls)
+        chunk = plan.where(F.col("chunk") == batch_no // CHUNK_BATCHES).drop("chunk")
+        settled = settle(chunk.where(F.col("batch_no") == batch_no), calls)
         kept, lost = settled.kept, settled.lost
         if kept:
             append_ledger(to_ledger(settled.outcomes), directory, group_rows)

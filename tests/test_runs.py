@@ -335,6 +335,14 @@ def test_by_id_stages_need_the_paged_run(spark, tmp_path):
         run_stages(spark, "r1", str(tmp_path), options(Service(tmp_path / "log")), {}, ("PRODUCT",))
 
 
+def test_plans_of_many_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("response_ledger.plans.job.CHUNK_BATCHES", 2)
+    paged(spark, tmp_path)
+    service = Service(tmp_path / "first")
+    assert by_id(spark, tmp_path, service, batch_size=1) == (7, 7, 0)
+    assert service.calls() == IDS and held(spark, tmp_path) == [int(one) for one in IDS]
+
+
 def test_a_large_limit_takes_the_first_ids(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("response_ledger.plans.job.TOP_N_BOUND", 2)
     paged(spark, tmp_path)
