@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from response_ledger.operators.outcomes import read_envelopes
-from response_ledger.operators.records import record_array
+from response_ledger.operators.records import read_pages
 from response_ledger.schemas import SOURCE_TYPE
 from response_ledger.session import scratch_path
 
@@ -87,14 +87,13 @@ def coverage(ledger: DataFrame, id_column: str, run: tuple[str, ...] = ()) -> Da
     """
     Per run, how many records the service reported and how many distinct ids the pages hold.
 
-    `run` names the columns that tell runs apart. The distinct count is aggregated per (run, id) first, so one run holding
-    everything still spreads over all tasks.
+    `run` names the columns that tell runs apart. The distinct count is aggregated per
+    (run, id) first, so one run holding everything still spreads over all tasks.
     """
-    total = F.get_json_object("content", "$.RESULTCOUNT").cast("bigint")
-    # Read the body before exploding it: next to the explode it would be read per record.
+    pages = ledger.where(F.col("request_type") == SOURCE_TYPE)
+    # Outer, so that a page without records still reports its total.
     ids = (
-        ledger.where(F.col("request_type") == SOURCE_TYPE)
-        .select(*run, total.alias("total"), record_array([id_column]).alias("records"))
+        read_pages(pages, [id_column], run)
         .select(*run, "total", F.explode_outer("records").alias("record"))
         .select(*run, "total", F.col("record")[id_column.upper()].cast("bigint").alias("id"))
     )

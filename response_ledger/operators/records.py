@@ -12,6 +12,17 @@ def _field_struct(fields: list[str]) -> str:
     return "struct<" + ",".join(f"`{name.upper()}`:string" for name in fields) + ">"
 
 
+def _mixed_array(fields: list[str]) -> Column:
+    """`RESULT` element by element: each kept as text, then asked for the fields."""
+    texts = F.from_json("content", "struct<RESULT:array<string>>", STRICT_JSON)["RESULT"]
+    return F.transform(
+        texts,
+        lambda one: F.struct(
+            *[F.get_json_object(one, f"$['{name.upper()}']").alias(name.upper()) for name in fields]
+        ),
+    )
+
+
 def record_array(fields: list[str]) -> Column:
     """
     A body's `RESULT` list as structs of the asked fields, texts under upper-cased names;
@@ -19,19 +30,25 @@ def record_array(fields: list[str]) -> Column:
 
     The parser is given the asked fields only, so the others (large texts among them) are
     skipped as they are read. A list with elements that are no objects cannot be read that
-    way; only for such a body each element is kept as text and asked for its fields.
+    way; only such a body is read again element by element.
     """
-    typed = F.from_json(
-        "content", f"struct<RESULT:array<{_field_struct(fields)}>>", STRICT_JSON
-    )["RESULT"]
-    texts = F.from_json("content", "struct<RESULT:array<string>>", STRICT_JSON)["RESULT"]
-    mixed = F.transform(
-        texts,
-        lambda one: F.struct(
-            *[F.get_json_object(one, f"$['{name.upper()}']").alias(name.upper()) for name in fields]
-        ),
+    typed = F.from_json("content", f"struct<RESULT:array<{_field_struct(fields)}>>", STRICT_JSON)
+    return F.coalesce(typed["RESULT"], _mixed_array(fields))
+
+
+def read_pages(pages: DataFrame, fields: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per page: `keep`, the reported `total` and the `records`, out of one parse."""
+    body = F.from_json(
+        "content",
+        f"struct<RESULTCOUNT:string,RESULT:array<{_field_struct(fields)}>>",
+        STRICT_JSON,
+    )
+    total = F.coalesce("body.RESULTCOUNT", F.get_json_object("content", "$.RESULTCOUNT"))
+    return pages.select(*keep, "content", body.alias("body")).select(
+        *keep,
+        total.cast("bigint").alias("total"),
+        F.coalesce("body.RESULT", _mixed_array(fields)).alias("records"),
     )
-    return F.coalesce(typed, mixed)
 
 
 def explode_records(pages: DataFrame, fields: list[str], keep: tuple[str, ...] = ()) -> DataFrame:

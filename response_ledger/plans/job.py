@@ -18,8 +18,21 @@ from response_ledger.operators.outcomes import (
     retry_queue,
     to_ledger,
 )
-from response_ledger.operators.workset import TOP_N_BOUND, batch_number, create_workset, create_worksets, remaining
-from response_ledger.plans.requests import Filters, plan_ids, plan_pages, plan_probe, plan_single, rows_for
+from response_ledger.operators.workset import (
+    TOP_N_BOUND,
+    batch_number,
+    create_workset,
+    create_worksets,
+    remaining,
+)
+from response_ledger.plans.requests import (
+    Filters,
+    plan_ids,
+    plan_pages,
+    plan_probe,
+    plan_single,
+    rows_for,
+)
 from response_ledger.schemas import (
     BATCH_SIZE,
     COOLDOWN_SECONDS,
@@ -198,10 +211,10 @@ def run_stage(
     Fetch one endpoint and append its responses under `dest`; `options` are `plan_stage`'s.
 
     The plan is written once, a folder per `CHUNK_BATCHES` batches, so picking a batch opens
-    that folder's files and no others. Each batch is settled, then its successes are appended in one write and its
-    failures go to the dead-letter table beside the ledger; an interrupted run loses one
-    batch. The ledger is the only resume state. Raises after the last batch if any request
-    failed; a stage with nothing left to fetch writes nothing.
+    that folder's files and no others. Each batch is settled, then its successes are
+    appended in one write and its failures go to the dead-letter table beside the ledger; an
+    interrupted run loses one batch. The ledger is the only resume state. Raises after the
+    last batch if any request failed; a stage with nothing left to fetch writes nothing.
     """
     directory = target_path(dest, request_type, run_id)
     planned = plan_stage(spark, request_type, directory, calls, display_columns, **options)

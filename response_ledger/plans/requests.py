@@ -90,7 +90,13 @@ def plan_pages(
     )
 
 
-def plan_ids(ids: DataFrame, base_url: str, endpoint: str, display_columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+def plan_ids(
+    ids: DataFrame,
+    base_url: str,
+    endpoint: str,
+    display_columns: list[str],
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """One request per row of `ids` (column `id`), carrying no payload."""
     if not ENDPOINTS[endpoint].by_id:
         raise ValueError(f"{endpoint} takes no id")
