@@ -52,6 +52,8 @@ def test_elements_of_odd_markup(spark):
         "<!-- <b>no</b> --><base><i>1 < 2</i><img>",
         "",
         "<b></b><script>'<b>no</b>'</script>",
+        "<i>a</i><style-x><i>b</i><style>x</style><i>c</i><script><i>d</i>",
+        "<i>a</i><!-- <i>b</i>" + "<!-- <i>b</i>" * 50_000,
     )
     assert found == [
         [("i", "kept on")],
@@ -62,6 +64,8 @@ def test_elements_of_odd_markup(spark):
         [("i", "1 < 2")],
         [],
         [("b", "")],
+        [("i", "a"), ("i", "b"), ("i", "c")],
+        [("i", "a")],
     ]
 
 
