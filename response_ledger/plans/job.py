@@ -42,7 +42,13 @@ from response_ledger.schemas import (
     SOURCE_TYPE,
     RetryPolicy,
 )
-from response_ledger.session import delete_path, scratch_path
+from response_ledger.session import (
+    READER_BATCH,
+    READER_BATCH_ROWS,
+    delete_path,
+    scratch_path,
+    setting,
+)
 from response_ledger.sources.ledger import (
     BODY_GROUP_ROWS,
     PAGE_GROUP_ROWS,
@@ -217,10 +223,12 @@ def run_stage(
     last batch if any request failed; a stage with nothing left to fetch writes nothing.
     """
     directory = target_path(dest, request_type, run_id)
-    planned = plan_stage(spark, request_type, directory, calls, display_columns, **options)
     plan_path = scratch_path(spark, "plan")
-    chunked = planned.withColumn("chunk", F.expr(f"batch_no div {CHUNK_BATCHES}"))
-    chunked.write.partitionBy("chunk").parquet(plan_path)
+    # The source of the ids may be the work of another writer, see READER_BATCH.
+    with setting(spark, READER_BATCH, READER_BATCH_ROWS):
+        planned = plan_stage(spark, request_type, directory, calls, display_columns, **options)
+        chunked = planned.withColumn("chunk", F.expr(f"batch_no div {CHUNK_BATCHES}"))
+        chunked.write.partitionBy("chunk").parquet(plan_path)
     plan = spark.read.schema(chunked.schema).parquet(plan_path)
     batches = plan.agg(F.max("batch_no")).first()[0] or 0
     group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].paged else BODY_GROUP_ROWS
@@ -277,7 +285,8 @@ def run_stages(
                 pages = require_ledger(spark, target_path(dest, SOURCE_TYPE, run_id))
                 found = create_worksets(pages, id_columns)
                 path = scratch_path(spark, "worksets")
-                found.write.parquet(path)
+                with setting(spark, READER_BATCH, READER_BATCH_ROWS):
+                    found.write.parquet(path)
                 worksets = spark.read.schema(found.schema).parquet(path)
             own["workset"] = worksets.where(F.col("id_column") == id_column).select("id")
         reports[request_type] = run_stage(

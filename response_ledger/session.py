@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +17,20 @@ READER_BATCH = "spark.sql.parquet.columnarReaderBatchSize"
 READER_BATCH_ROWS = "32"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs started inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def local_session(cores: str = "8", app: str = "response_ledger") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     spark = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from response_ledger.schemas import LEDGER, REQUIRED
+from response_ledger.session import setting
 
 # Rows per parquet row group. Spark's vectorized reader takes up to 4,096 rows of a row
 # group at once and must fit their bodies into one buffer of 2 GB; a page of 2,500 records
@@ -16,8 +17,6 @@ from response_ledger.schemas import LEDGER, REQUIRED
 PAGE_GROUP_ROWS = 8
 BODY_GROUP_ROWS = 1024
 
-_TIMESTAMP_SETTING = "spark.sql.parquet.outputTimestampType"
-
 
 def target_path(dest: str, request_type: str, run_id: str, area: str = "api_responses") -> str:
     """Directory of one endpoint's run: `<dest>/raw/<area>/<endpoint>/run_id=<id>`."""
@@ -110,10 +109,7 @@ def append_ledger(rows: DataFrame, directory: str, group_rows: int = BODY_GROUP_
     of bodies fits in memory; pages take `PAGE_GROUP_ROWS`. Timestamps are written as UTC
     microseconds, which other engines read back with a zone.
     """
-    spark = rows.sparkSession
-    before = spark.conf.get(_TIMESTAMP_SETTING)
-    spark.conf.set(_TIMESTAMP_SETTING, "TIMESTAMP_MICROS")
-    try:
+    with setting(rows.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
         (
             enforce_required(rows)
             .write.mode("append")
@@ -121,5 +117,3 @@ def append_ledger(rows: DataFrame, directory: str, group_rows: int = BODY_GROUP_
             .option("parquet.block.row.count.limit", group_rows)
             .parquet(hadoop_uri(directory))
         )
-    finally:
-        spark.conf.set(_TIMESTAMP_SETTING, before)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from response_ledger.operators.workset import record_ids, remaining
 from response_ledger.schemas import ENDPOINTS, LEDGER
+from response_ledger.session import READER_BATCH, READER_BATCH_ROWS, setting
 from response_ledger.sources.ledger import hadoop_uri, ledger_is_empty, read_ledger
 
 EMITTED = T.StructType([T.StructField("id", T.LongType()), T.StructField("epoch", T.LongType())])
@@ -62,9 +63,11 @@ def stream_workset(
             fresh = fresh.join(earlier.select("id"), "id", "left_anti")
         fresh.write.mode("overwrite").parquet(f"{emitted_directory}/epoch={epoch}")
 
-    return (
+    writer = (
         ids.writeStream.foreachBatch(emit)
         .option("checkpointLocation", checkpoint_directory)
         .trigger(availableNow=True)
-        .start()
     )
+    # A stream keeps the settings it was started with.
+    with setting(spark, READER_BATCH, READER_BATCH_ROWS):
+        return writer.start()
