@@ -13,6 +13,8 @@ from response_ledger.session import scratch_path
 # A place is a file path and a number, some 200 bytes: about 40 MB at most.
 BROADCAST_ROWS = 200_000
 
+_NO_KEY = -(1 << 63)
+
 LEDGER_KEY = ("request_type", "response_key")
 
 
@@ -31,40 +33,68 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], latest: tuple[str, ...
 
 
 def located(ledger: DataFrame) -> DataFrame:
-    """A ledger read from files, with the file and row number each response sits at."""
+    """
+    A ledger read from files with each response's key (id, page offset, or a constant for an
+    endpoint that has neither) and the file and row number it sits at.
+    """
     return ledger.select(
         "*",
-        F.coalesce("path_id", F.col("start").cast("bigint")).alias("response_key"),
+        F.coalesce("path_id", F.col("start").cast("bigint"), F.lit(_NO_KEY)).alias("response_key"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
 
 
+def _landed(frame: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    return stored, stored.count()
+
+
+def superseded_places(rows: DataFrame) -> DataFrame:
+    """
+    (file, row) of every located response that is not the latest of its key.
+
+    Most keys have one response, so keys are counted first, which shuffles nothing but
+    partial counts. The few that repeat are broadcast to pick their rows out. If too many
+    repeat for that, places are compared instead: an anti-join on (file, row) against the
+    latest place of every key, which a key with any share of the rows cannot skew.
+    """
+    narrow = rows.select(*LEDGER_KEY, "fetched_at", "sha_256", "_file", "_row")
+    counted = narrow.groupBy(*LEDGER_KEY).agg(F.count(F.lit(1)).alias("responses"))
+    repeated, keys = _landed(
+        counted.where(F.col("responses") > 1).select(*LEDGER_KEY), "repeated"
+    )
+    few = keys <= BROADCAST_ROWS
+    if few:
+        narrow = narrow.join(F.broadcast(repeated), list(LEDGER_KEY), "left_semi")
+    latest = F.max(F.struct("fetched_at", "sha_256", "_file", "_row")).alias("latest")
+    best = narrow.groupBy(*LEDGER_KEY).agg(latest)
+    if few:
+        place, kept = F.struct("_file", "_row"), F.struct("latest._file", "latest._row")
+        return (
+            narrow.join(F.broadcast(best), list(LEDGER_KEY)).where(place != kept).select("_file", "_row")
+        )
+    kept = best.select(F.col("latest._file").alias("_file"), F.col("latest._row").alias("_row"))
+    return narrow.select("_file", "_row").join(kept, ["_file", "_row"], "left_anti")
+
+
 def current_responses(ledger: DataFrame) -> DataFrame:
     """
-    The latest response per endpoint and key (id, or page offset) of a ledger read from files.
+    The latest response per endpoint and key of a ledger read from files.
 
     The bodies are the bulk of a ledger and most rows are current, so the bodies are not
-    sorted or shuffled to find that out. The latest place per key is taken from the narrow
-    columns, and the places that are not the latest are written to the scratch folder. Only
-    then, knowing how many there are, they are taken off the full rows: by a broadcast up to
-    `BROADCAST_ROWS`, beyond by a merge join. (Left to adapt at run time, Spark would have
-    shuffled the bodies before it knew.) Joins are on (file, row), which no key can skew.
+    sorted or shuffled to find that out. The places of the superseded rows are written to
+    the scratch folder, and only then, knowing how many there are, taken off the full rows:
+    by a broadcast up to `BROADCAST_ROWS`, beyond by a merge join. (Left to adapt at run
+    time, Spark would have shuffled the bodies before it knew.)
     """
-    spark = ledger.sparkSession
     rows = located(ledger)
-    narrow = rows.select(*LEDGER_KEY, "fetched_at", "sha_256", "_file", "_row")
-    best = narrow.groupBy(*LEDGER_KEY).agg(
-        F.max(F.struct("fetched_at", "sha_256", "_file", "_row")).alias("best")
-    )
-    kept = best.select(F.col("best._file").alias("_file"), F.col("best._row").alias("_row"))
-    superseded = narrow.select("_file", "_row").join(kept, ["_file", "_row"], "left_anti")
-    path = scratch_path(spark, "superseded")
-    superseded.write.parquet(path)
-    stored = spark.read.schema(superseded.schema).parquet(path)
-    few = stored.count() <= BROADCAST_ROWS
-    taken = F.broadcast(stored) if few else stored.hint("merge")
-    return rows.join(taken, ["_file", "_row"], "left_anti").drop("_file", "_row", "response_key")
+    superseded, count = _landed(superseded_places(rows), "superseded")
+    taken = F.broadcast(superseded) if count <= BROADCAST_ROWS else superseded.hint("merge")
+    current = rows.join(taken, ["_file", "_row"], "left_anti") if count else rows
+    return current.drop("_file", "_row", "response_key")
 
 
 def integrity(ledger: DataFrame) -> DataFrame:
