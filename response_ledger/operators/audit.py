@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from response_ledger.operators.outcomes import read_envelopes
@@ -46,10 +46,13 @@ def located(ledger: DataFrame) -> DataFrame:
 
 
 def _landed(frame: DataFrame, purpose: str) -> tuple[DataFrame, int]:
-    path = scratch_path(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
-    return stored, stored.count()
+    """
+    A frame written to the scratch folder, and its rows as counted by the write. A task run
+    twice may count twice: good enough to choose a join by, and none stays none.
+    """
+    path, seen = scratch_path(frame.sparkSession, purpose), Observation()
+    frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), seen.get["rows"]
 
 
 def superseded_places(rows: DataFrame) -> DataFrame:
