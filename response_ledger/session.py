@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Page ledgers of other writers may hold a whole run in one row group. With rows of
@@ -48,23 +51,65 @@ def local_session(cores: str = "8", app: str = "response_ledger") -> SparkSessio
     return spark
 
 
-def scratch_path(spark: SparkSession, purpose: str) -> str:
+# Scratch folders this process wrote and has not removed yet.
+_written: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
     """
-    A new path in the shared folder the cluster names in `spark.checkpoint.dir`.
+    The shared folder the cluster names in `spark.checkpoint.dir`.
 
     Only a local master may fall back to a temporary folder of its own: on a cluster that
-    folder would exist on one machine only.
+    folder would exist on one machine only. Nothing of the caller's session is changed.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="response-ledger-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+def scratch_path(spark: SparkSession, purpose: str) -> str:
+    """
+    A new path in the scratch folder. Whoever reads the table written there calls
+    `delete_path` when done; `scratch` does it for all that is written inside its block.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="response-ledger-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _written.add(path)
+    return path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table this library wrote."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    _written.discard(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables written inside the block, also when it fails."""
+    before = set(_written)
+    try:
+        yield
+    finally:
+        for path in _written - before:
+            delete_path(spark, path)
+
+
+def landed(frame: DataFrame, purpose: str) -> DataFrame:
+    """
+    A frame written to the scratch folder and read back: evaluated once, its lineage cut,
+    and safe against lost executors.
+    """
+    path = scratch_path(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

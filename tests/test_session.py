@@ -1,43 +1,41 @@
-import pytest
-
-from response_ledger.session import scratch_path
-
+from pathlib import Path
 
-class Conf:
-    def __init__(self, folder):
-        self.folder = folder
+import pytest
 
-    def get(self, name, default=None):
-        assert name == "spark.checkpoint.dir"
-        return self.folder or default
+from response_ledger.session import landed, scratch, scratch_path
 
 
 class Session:
     """As much of a session as the choice of the scratch folder looks at."""
 
-    def __init__(self, folder, master):
-        self.conf = Conf(folder)
-        self.sparkContext = self
-        self.master, self.checkpoint = master, None
+    def __init__(self, **settings):
+        self.settings, self.conf = settings, self
 
-    def getCheckpointDir(self):
-        return self.checkpoint
-
-    def setCheckpointDir(self, folder):
-        self.checkpoint = folder
+    def get(self, name, default=None):
+        return self.settings.get(name.replace("spark.", "").replace(".", "_"), default)
 
 
 def test_the_named_folder_is_used():
-    first, second = (scratch_path(Session("s3a://shared/scratch/", "yarn"), "plan") for _ in range(2))
+    cluster = Session(checkpoint_dir="s3a://shared/scratch/", master="yarn")
+    first, second = (scratch_path(cluster, "plan") for _ in range(2))
     assert first.startswith("s3a://shared/scratch/plan-") and first != second
 
 
 def test_a_cluster_without_a_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(Session(None, "spark://host:7077"), "plan")
+        scratch_path(Session(master="spark://host:7077"), "plan")
+
+
+def test_a_local_session_has_a_folder_of_its_own():
+    first, second = (scratch_path(Session(master="local[2]"), name) for name in ("plan", "x"))
+    assert Path(first).parent == Path(second).parent and Path(first).parent.is_dir()
 
 
-def test_a_local_session_makes_its_own():
-    session = Session(None, "local[2]")
-    path = scratch_path(session, "plan")
-    assert path.startswith(session.checkpoint) and scratch_path(session, "x").startswith(session.checkpoint)
+def test_scratch_tables_go_with_their_block(spark):
+    with pytest.raises(ValueError, match="stop"), scratch(spark):
+        table = landed(spark.range(3), "three")
+        (folder,) = {Path(name.removeprefix("file:")).parent for name in table.inputFiles()}
+        assert folder.is_dir()
+        raise ValueError("stop")
+    assert not folder.exists()
+    assert spark.sparkContext.getCheckpointDir() is None
