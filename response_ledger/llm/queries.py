@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from response_ledger.llm import byte_bpe, resync_counts
+from response_ledger.llm import byte_bpe, fair_mix, host_rules, resync_counts
+from response_ledger.llm.oracles import ORACLES as ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +27,23 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode_documents(encoded, ranks))
 
 
+def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return fair_mix.mix(documents, keep_text=False).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return host_rules.judge(documents, keep_text=False).select(
+        "doc_id", *host_rules.MEASURES, "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_fair_mix": op7_fair_mix,
+    "op9_host_rules": op9_host_rules,
 }
-
-ORACLES: dict[str, str] = {}
