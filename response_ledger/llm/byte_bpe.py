@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from response_ledger.llm.splitting import Splitter, portions
+from response_ledger.llm.splitting import Splitter, text_portions
 
-# Code points worked on at once: bounds a task's memory, not what a text may have.
+# Bytes of text worked on at once: bounds a task's memory, not what a text may have.
 PORTION = 1 << 20
 # Distinct pieces a task keeps; when full it starts anew.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
 # From this length on a piece is merged with a queue, as scanning for the best pair is quadratic.
 LONG_PIECE = 128
 
@@ -197,9 +197,8 @@ def encode_documents(documents: DataFrame, ranks_path: str, text: str = "text")
         ranks = read_ranks(ranks_path)
         splitter, encoder, lengths = Splitter(), PieceEncoder(ranks), Vocabulary(ranks).lengths
         for batch in batches:
-            texts = batch.column(len(kept)).to_pylist()
-            for first, last in portions(texts, PORTION):
-                ids = encoder.encode_texts(splitter.pieces(texts[first:last]))
+            for first, last, texts in text_portions(batch.column(len(kept)), PORTION):
+                ids = encoder.encode_texts(splitter.pieces(texts))
                 ends = [np.cumsum(lengths[one]) for one in ids]
                 sizes = np.array([len(one) for one in ids])
                 columns = batch.slice(first, last - first).columns[: len(kept)]

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -31,6 +32,9 @@ ADDED = (*MEASURES, "base_failed", "host_rate", "kept")
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 
+# Bytes of text worked on at once.
+PORTION = 1 << 20
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10
@@ -69,9 +73,9 @@ def measure(documents: DataFrame, text: str = "text") -> DataFrame:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array(
-                [measure_text(one) for one in batch.column(len(kept)).to_pylist()], np.int64
-            ).reshape(-1, len(MEASURES))
+            texts = text_portions(batch.column(len(kept)), PORTION)
+            found = [measure_text(one) for _, _, some in texts for one in some]
+            rows = np.array(found, np.int64).reshape(-1, len(MEASURES))
             columns = [*batch.columns[: len(kept)], *map(pa.array, rows.T.copy())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 

@@ -91,4 +91,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged JOIN verdicts v ON judged.source IS NOT DISTINCT FROM v.source
 """
 
-ORACLES = {"op7_fair_mix": OP7, "op9_host_rules": OP9}
+OP8 = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 1))) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM pairs p JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * p.n >= 85 * (a.n + b.n - p.n)
+), ways AS (
+    SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+    SELECT x, y FROM ways UNION SELECT r.x, w.y FROM reached r JOIN ways w ON r.y = w.x
+), groups AS (
+    SELECT x, least(x, min(y)) AS component FROM reached GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+    coalesce(component, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN groups ON x = doc_id
+"""
+
+ORACLES = {"op7_fair_mix": OP7, "op8_near_duplicates": OP8, "op9_host_rules": OP9}

@@ -7,8 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from response_ledger.llm import byte_bpe, fair_mix, host_rules, resync_counts
-from response_ledger.llm.oracles import ORACLES as ORACLES
+from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +33,10 @@ def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return host_rules.judge(documents, keep_text=False).select(
@@ -45,5 +48,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_fair_mix": op7_fair_mix,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
 }
+
+ORACLES = oracles.ORACLES

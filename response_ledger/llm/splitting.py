@@ -11,8 +11,11 @@ from block to block, then replay all blocks side by side.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # The code points Unicode calls White_Space.
 WHITE_SPACE = (
@@ -192,12 +195,18 @@ class Splitter:
         ]
 
 
-def portions(texts: list[str], chars: int) -> list[tuple[int, int]]:
-    """Ranges of consecutive texts of about `chars` code points together, one text at least."""
+def portions(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Ranges of consecutive texts of about `most` in size together, one text at least."""
     cuts, held = [0], 0
-    for i, text in enumerate(texts):
-        if held and held + len(text) > chars:
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
             cuts.append(i)
             held = 0
-        held += len(text) + 1
-    return list(zip(cuts, [*cuts[1:], len(texts)])) if texts else []
+        held += size + 1
+    return list(zip(cuts, [*cuts[1:], len(sizes)])) if sizes else []
+
+
+def text_portions(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[str]]]:
+    """A column's texts in portions of about `most` bytes, so that few are Python strings at a time."""
+    for first, last in portions(pc.binary_length(texts).to_pylist(), most):
+        yield first, last, texts.slice(first, last - first).to_pylist()
