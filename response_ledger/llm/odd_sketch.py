@@ -78,11 +78,15 @@ class Shingler:
                 steps[1:] = factor
                 setattr(self, name, np.multiply.accumulate(steps))
 
-    def sets(self, texts: list[str]) -> list[np.ndarray]:
-        """Each text's distinct shingle hashes, sorted."""
-        raw = [t.encode().lower() for t in texts]
-        buffer = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-        ends = np.cumsum([len(r) + 1 for r in raw])
+    def words_of(
+        self, raw: list[bytes]
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """
+        The texts' bytes with a line feed behind each, where each text ends, and where the
+        words of all begin and end, with their hashes (A-Z in either case).
+        """
+        buffer = np.frombuffer(b"\n".join([*raw, b""]).lower(), np.uint8)
+        ends = np.cumsum([len(one) + 1 for one in raw])
         space = _SPACE[buffer]
         # A word's hash: its bytes' numbers times powers of the base, from prefix sums.
         self._grow(len(buffer))
@@ -91,6 +95,11 @@ class Shingler:
         starts, stops = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
         before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
         hashes = mixed((sums[stops - 1] - before) * self.inverses[starts])
+        return buffer, ends, starts, stops, hashes
+
+    def sets(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's distinct shingle hashes, sorted."""
+        _, ends, starts, _, hashes = self.words_of([t.encode() for t in texts])
         cuts = np.searchsorted(starts, ends).tolist()
         found = []
         for first, last in zip([0, *cuts], cuts):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts
+from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts, sentence_spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,11 +19,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_sentences", "n_removed"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = byte_bpe.encode_documents(documents, ranks).drop("text")
-    return byte_bpe.digests(byte_bpe.decode_documents(encoded, ranks))
+    return byte_bpe.digests(byte_bpe.round_trip(documents, ranks))
 
 
 def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +51,7 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_sentence_spans": op4_sentence_spans,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_fair_mix": op7_fair_mix,
     "op8_near_duplicates": op8_near_duplicates,

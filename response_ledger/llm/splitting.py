@@ -208,5 +208,5 @@ def portions(sizes: list[int], most: int) -> list[tuple[int, int]]:
 
 def text_portions(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[str]]]:
     """A column's texts in portions of about `most` bytes, so that few are Python strings at a time."""
-    for first, last in portions(pc.binary_length(texts).to_pylist(), most):
+    for first, last in portions(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most):
         yield first, last, texts.slice(first, last - first).to_pylist()
