@@ -181,53 +181,75 @@ def list_array(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
+def encode_batches(batches: Iterator[pa.RecordBatch], ranks_path: str) -> Iterator[pa.RecordBatch]:
+    """Batches whose last column is the text, with it replaced by `ids` and `byte_ends`."""
+    ranks = read_ranks(ranks_path)
+    splitter, encoder, lengths = Splitter(), PieceEncoder(ranks), Vocabulary(ranks).lengths
+    for batch in batches:
+        kept = batch.num_columns - 1
+        names = [*batch.schema.names[:kept], "ids", "byte_ends"]
+        for first, last, texts in text_portions(batch.column(kept), PORTION):
+            ids = encoder.encode_texts(splitter.pieces(texts))
+            ends = [np.cumsum(lengths[one]) for one in ids]
+            sizes = np.array([len(one) for one in ids])
+            columns = batch.slice(first, last - first).columns[:kept]
+            columns += [list_array(np.concatenate(one), sizes) for one in (ids, ends)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def decode_batches(batches: Iterator[pa.RecordBatch], ranks_path: str) -> Iterator[pa.RecordBatch]:
+    """Batches with `ids` and `byte_ends`, with `decoded` added."""
+    vocabulary = Vocabulary(read_ranks(ranks_path))
+    for batch in batches:
+        ids, ends = (batch.column(batch.schema.get_field_index(c)) for c in ("ids", "byte_ends"))
+        cuts = ids.offsets.to_numpy()
+        flat, flat_ends = (one.values.to_numpy(zero_copy_only=False) for one in (ids, ends))
+        texts = [vocabulary.decode(flat[a:b], flat_ends[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+        names = [*batch.schema.names, "decoded"]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=names)
+
+
+def _with_text_last(documents: DataFrame, text: str, added: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    kept = [c for c in documents.columns if c not in added]
+    return documents.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text")), kept
+
+
+_INTEGERS = T.ArrayType(T.IntegerType(), False)
+
+
 def encode_documents(documents: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     """
     `documents` with `ids`, the token ids of the whole text, and `byte_ends`, the end of each
     id's bytes in the text.
     """
-    kept = [c for c in documents.columns if c not in ("ids", "byte_ends")]
-    source = documents.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    schema = T.StructType(
-        [*documents.select(*kept).schema.fields]
-        + [T.StructField(name, T.ArrayType(T.IntegerType(), False)) for name in ("ids", "byte_ends")]
-    )
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(ranks_path)
-        splitter, encoder, lengths = Splitter(), PieceEncoder(ranks), Vocabulary(ranks).lengths
-        for batch in batches:
-            for first, last, texts in text_portions(batch.column(len(kept)), PORTION):
-                ids = encoder.encode_texts(splitter.pieces(texts))
-                ends = [np.cumsum(lengths[one]) for one in ids]
-                sizes = np.array([len(one) for one in ids])
-                columns = batch.slice(first, last - first).columns[: len(kept)]
-                columns += [list_array(np.concatenate(one), sizes) for one in (ids, ends)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return source.mapInArrow(encode, schema)
+    source, kept = _with_text_last(documents, text, ("ids", "byte_ends"))
+    fields = documents.select(*kept).schema.fields
+    fields += [T.StructField("ids", _INTEGERS), T.StructField("byte_ends", _INTEGERS)]
+    return source.mapInArrow(lambda batches: encode_batches(batches, ranks_path), T.StructType(fields))
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """`encoded`, which has `ids` and `byte_ends`, with the text's bytes as `decoded`."""
-    kept = [c for c in encoded.columns if c != "decoded"]
-    schema = T.StructType(
-        [*encoded.select(*kept).schema.fields, T.StructField("decoded", T.BinaryType())]
-    )
+    source = encoded.drop("decoded")
+    fields = [*source.schema.fields, T.StructField("decoded", T.BinaryType())]
+    return source.mapInArrow(lambda batches: decode_batches(batches, ranks_path), T.StructType(fields))
+
+
+def round_trip(documents: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """
+    `documents` less the text, with its `ids` and the bytes they were `decoded` to: both
+    operators in one task, so that offsets never leave it.
+    """
+    source, kept = _with_text_last(documents, text, (text, "ids", "decoded"))
+    fields = documents.select(*kept).schema.fields
+    fields += [T.StructField("ids", _INTEGERS), T.StructField("decoded", T.BinaryType())]
+    names = [field.name for field in fields]
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in decode_batches(encode_batches(batches, ranks_path), ranks_path):
+            yield batch.select(names)
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(read_ranks(ranks_path))
-        for batch in batches:
-            ids, ends = (batch.column(batch.schema.get_field_index(c)) for c in ("ids", "byte_ends"))
-            cuts = ids.offsets.to_numpy()
-            flat, flat_ends = (one.values.to_numpy(zero_copy_only=False) for one in (ids, ends))
-            texts = [
-                vocabulary.decode(flat[a:b], flat_ends[a:b]) for a, b in zip(cuts[:-1], cuts[1:])
-            ]
-            columns = [*batch.columns, pa.array(texts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return encoded.mapInArrow(decode, schema)
+    return source.mapInArrow(both, T.StructType(fields))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
