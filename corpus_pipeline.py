@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, sentence_spans
+from response_ledger.llm.batches import evaluated
 from response_ledger.session import landed
 
 
@@ -41,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and of the decoded texts."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.digests(byte_bpe.round_trip(docs.select("doc_id", "text"), ranks))
+    return evaluated(byte_bpe.digests(byte_bpe.round_trip(docs.select("doc_id", "text"), ranks)), "digests")
 
 
 STAGES = [

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from response_ledger.llm.batches import evaluated
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
 
@@ -124,7 +125,7 @@ def judge(documents: DataFrame, text: str = "text", host: str = "source", keep_t
     a host that holds much of all rows.
     """
     measured = measure(documents, text)
-    measured = landed(measured if keep_text else measured.drop(text), "measured")
+    measured = evaluated(measured if keep_text else measured.drop(text), "measured")
     rates = landed(host_rates(measured, host).select(F.col(host).alias("__host"), "host_rate"), "rates")
     joined = measured.join(rates, F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
     return joined.withColumn("base_failed", base_failed()).withColumn(

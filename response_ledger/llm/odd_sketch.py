@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from response_ledger.llm.batches import evaluated
 from response_ledger.llm.components import connected_components
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
@@ -357,7 +358,7 @@ def links(documents: DataFrame, classes: DataFrame, families: DataFrame, words:
 def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85, text: str = "text") -> DataFrame:
     """Per row of `documents`: doc_id, n_shingles, component_id and whether it is the one kept."""
     documents = documents.select("doc_id", F.col(text).alias("text"))
-    rows = landed(features(documents, words), "features")
+    rows = evaluated(features(documents, words), "features")
     sets = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     key = ["n_shingles", "set_a", "set_b"]
     least = F.min(F.struct("doc_id", "buckets", "sketch")).alias("one")

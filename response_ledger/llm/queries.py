@@ -7,7 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts, sentence_spans
+from response_ledger.llm import (
+    byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts, sentence_spans,
+    subword_quality, toxicity_cnn,
+)
+from response_ledger.llm.batches import evaluated
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxicity_cnn.classify(documents, labels)
+
+
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.without_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "n_sentences", "n_removed"
@@ -28,7 +37,7 @@ def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return byte_bpe.digests(byte_bpe.round_trip(documents, ranks))
+    return evaluated(byte_bpe.digests(byte_bpe.round_trip(documents, ranks)), "digests")
 
 
 def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +51,11 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return subword_quality.classify(documents, labels)
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return host_rules.judge(documents, keep_text=False).select(
@@ -51,11 +65,13 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_fair_mix": op7_fair_mix,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = oracles.ORACLES

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from response_ledger.llm.batches import evaluated
 from response_ledger.llm.odd_sketch import Shingler, mixed
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
@@ -151,7 +152,7 @@ def runs(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, places, hashes): the runs of each document that are not the first of their kind."""
-    known = landed(runs(documents, text), "runs")
+    known = evaluated(runs(documents, text), "runs")
     each = known.select("doc_id", F.posexplode("runs").alias("place", "run"))
     often = each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
     # Written, so that what follows reads few rows and the joins see its size.
