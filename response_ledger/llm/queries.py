@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from response_ledger.llm import (
-    byte_bpe, fair_mix, host_rules, odd_sketch, oracles, resync_counts, sentence_spans,
-    subword_quality, toxicity_cnn,
+    byte_bpe, fair_mix, host_rules, odd_sketch, oracles, prefix_forest, resync_counts,
+    sentence_spans, subword_quality, toxicity_cnn,
 )
 from response_ledger.llm.batches import evaluated
 
@@ -23,6 +23,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resync_counts.count_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     return toxicity_cnn.classify(documents, labels)
@@ -65,6 +69,7 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_prefix_forest": op2_prefix_forest,
     "op3_toxicity": op3_toxicity,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_byte_bpe": op5_byte_bpe,
