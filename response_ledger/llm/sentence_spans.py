@@ -156,7 +156,7 @@ def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
     each = known.select("doc_id", F.posexplode("runs").alias("place", "run"))
     often = each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
     # Written, so that what follows reads few rows and the joins see its size.
-    again = landed(each.join(often, "run"), "again")
+    again = landed(each.join(often.hint("merge"), "run"), "again")
     order = F.struct(F.col("doc_id").isNotNull().alias("a"), F.col("doc_id").alias("b"), F.col("place").alias("c"))
     first = landed(again.groupBy("run").agg(F.min(order).alias("first")), "first")
     later = again.join(first, "run").where(order != F.col("first"))
@@ -172,8 +172,9 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     kept = [c for c in documents.columns if c not in ADDED]
     later = later_runs(documents, text).withColumnRenamed("doc_id", "__doc")
+    # One plan for any size: left to itself Spark broadcasts a small table of runs.
     joined = documents.select(*kept).join(
-        later, F.col("doc_id").eqNullSafe(F.col("__doc")), "left"
+        later.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left"
     ).select(*kept, "places", "hashes")
     fields = documents.select(*kept).schema.fields
     fields += [T.StructField(name, T.LongType()) for name in ADDED]
