@@ -10,7 +10,7 @@ from response_ledger.schemas import (
     LARGE_TEXT_PAGE_CAP,
     PAGE_CAP,
     RETRIABLE_STATUSES,
-    RetryPolicy,
+    Retries,
 )
 
 
@@ -75,11 +75,10 @@ def http_class(status: Column) -> Column:
     )
 
 
-def backoff_seconds(tries: Column, policy: RetryPolicy = RetryPolicy()) -> Column:
-    """Clamped exponential pause before the try after `tries`, jitter not included."""
-    floor = F.lit(policy.min_delay_seconds)
-    grown = floor * F.pow(F.lit(policy.factor), tries)
-    return F.least(F.greatest(grown, floor), F.lit(policy.max_delay_seconds))
+def backoff_seconds(tries: Column, retries: Retries = Retries()) -> Column:
+    """The pause after this many tries, without jitter."""
+    least, most = (F.lit(bound) for bound in retries.pause)
+    return F.least(F.greatest(least * F.pow(F.lit(retries.growth), tries), least), most)
 
 
 def body_length(header_length: Column, raw: Column) -> Column:

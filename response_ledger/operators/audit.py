@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from response_ledger.operators.outcomes import read_envelopes
 from response_ledger.operators.records import read_pages
 from response_ledger.schemas import SOURCE_TYPE
-from response_ledger.session import scratch_path
-
-# A place is a file path and a number, some 200 bytes: about 40 MB at most.
-BROADCAST_ROWS = 200_000
+from response_ledger.session import landed
 
 _NO_KEY = -(1 << 63)
+_NO_START = -1
 
-LEDGER_KEY = ("request_type", "response_key")
+# What tells responses apart that hold different things.
+RESPONSE_KEY = ("request_type", "response_id", "scope", "page_set", "page_start")
 
 
 def latest_per_key(rows: DataFrame, key: tuple[str, ...], latest: tuple[str, ...]) -> DataFrame:
@@ -32,72 +31,99 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], latest: tuple[str, ...
     )
 
 
+def canonical_filters(filters: Column) -> Column:
+    """Filters as a text that does not depend on the order of names and values; '' for none."""
+    entries = F.transform(
+        filters,
+        lambda one: F.array_sort(
+            F.transform(
+                F.map_entries(one),
+                lambda entry: F.struct(entry["key"].alias("name"), F.sort_array(entry["value"]).alias("values")),
+            )
+        ),
+    )
+    return F.coalesce(F.to_json(F.array_sort(entries)), F.lit(""))
+
+
 def located(ledger: DataFrame) -> DataFrame:
     """
-    A ledger read from files with each response's key (id, page offset, or a constant for an
-    endpoint that has neither) and the file and row number it sits at.
+    The narrow columns of a ledger read from files: what a response is of, and the file and
+    row number it sits at.
+
+    A by-id response is told by its id. A page is told by its filters (`scope`), by the set of
+    pages it was cut with (run folder, page size, order, columns) and by its offset.
     """
+    paged, file = F.col("start").isNotNull(), F.col("_metadata.file_path")
+    page_set = F.to_json(
+        F.struct(
+            F.regexp_extract(file, "/run_id=([^/]*)/", 1).alias("run"),
+            "rows", "sort", "sort_order", "display_columns",
+        )
+    )
     return ledger.select(
-        "*",
-        F.coalesce("path_id", F.col("start").cast("bigint"), F.lit(_NO_KEY)).alias("response_key"),
-        F.col("_metadata.file_path").alias("_file"),
+        "request_type",
+        F.coalesce("path_id", F.lit(_NO_KEY)).alias("response_id"),
+        F.when(paged, canonical_filters(F.col("filters"))).otherwise("").alias("scope"),
+        F.when(paged, page_set).otherwise("").alias("page_set"),
+        F.coalesce(F.col("start").cast("bigint"), F.lit(_NO_START)).alias("page_start"),
+        "fetched_at",
+        "sha_256",
+        file.alias("_file"),
         F.col("_metadata.row_index").alias("_row"),
     )
 
 
-def _landed(frame: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+def superseded_places(ledger: DataFrame) -> DataFrame:
     """
-    A frame written to the scratch folder, and its rows as counted by the write. A task run
-    twice may count twice: good enough to choose a join by, and none stays none.
-    """
-    path, seen = scratch_path(frame.sparkSession, purpose), Observation()
-    frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path), seen.get["rows"]
-
+    (file, row) of every response of a ledger read from files that is no longer current.
 
-def superseded_places(rows: DataFrame) -> DataFrame:
-    """
-    (file, row) of every located response that is not the latest of its key.
+    Of the page sets with the same filters the one fetched last is current as a whole: pages
+    of an earlier run, of another page size or beyond a total that has shrunk hold records
+    the current set has again, or has no more. Within a set, and for by-id responses, the
+    latest response of a key is current.
 
-    Most keys have one response, so keys are counted first, which shuffles nothing but
-    partial counts. The few that repeat are broadcast to pick their rows out. If too many
-    repeat for that, places are compared instead: an anti-join on (file, row) against the
-    latest place of every key, which a key with any share of the rows cannot skew.
+    Only narrow columns are read. Keys are counted first, by partial aggregates, and only
+    responses of keys that repeat are looked at further; the joins are by key, sized and split
+    by Spark, on rows of some hundred bytes.
     """
-    narrow = rows.select(*LEDGER_KEY, "fetched_at", "sha_256", "_file", "_row")
-    counted = narrow.groupBy(*LEDGER_KEY).agg(F.count(F.lit(1)).alias("responses"))
-    repeated, keys = _landed(
-        counted.where(F.col("responses") > 1).select(*LEDGER_KEY), "repeated"
+    places = located(ledger)
+    scope, paged = ["request_type", "scope"], F.col("page_start") != _NO_START
+    sets = places.where(paged).groupBy(*scope, "page_set").agg(F.max("fetched_at").alias("at"))
+    current = sets.groupBy(*scope).agg(F.max(F.struct("at", "page_set"))["page_set"].alias("current_set"))
+    pages = places.where(paged).join(current, scope)
+    outdated = pages.where(F.col("page_set") != F.col("current_set"))
+    standing = pages.where(F.col("page_set") == F.col("current_set")).drop("current_set")
+    candidates = places.where(~paged).unionByName(standing.select(*places.columns))
+    repeated = landed(
+        candidates.groupBy(*RESPONSE_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated"
     )
-    few = keys <= BROADCAST_ROWS
-    if few:
-        narrow = narrow.join(F.broadcast(repeated), list(LEDGER_KEY), "left_semi")
-    latest = F.max(F.struct("fetched_at", "sha_256", "_file", "_row")).alias("latest")
-    best = narrow.groupBy(*LEDGER_KEY).agg(latest)
-    if few:
-        place, kept = F.struct("_file", "_row"), F.struct("latest._file", "latest._row")
-        return (
-            narrow.join(F.broadcast(best), list(LEDGER_KEY)).where(place != kept).select("_file", "_row")
-        )
-    kept = best.select(F.col("latest._file").alias("_file"), F.col("latest._row").alias("_row"))
-    return narrow.select("_file", "_row").join(kept, ["_file", "_row"], "left_anti")
+    again = candidates.join(repeated, list(RESPONSE_KEY), "left_semi")
+    latest = again.groupBy(*RESPONSE_KEY).agg(
+        F.max(F.struct("fetched_at", "sha_256", "_file", "_row")).alias("latest")
+    )
+    earlier = again.join(latest, list(RESPONSE_KEY)).where(
+        F.struct("_file", "_row") != F.struct("latest._file", "latest._row")
+    )
+    return outdated.select("_file", "_row").unionByName(earlier.select("_file", "_row"))
 
 
 def current_responses(ledger: DataFrame) -> DataFrame:
     """
-    The latest response per endpoint and key of a ledger read from files.
+    The current responses of a ledger read from files, see `superseded_places`.
 
-    The bodies are the bulk of a ledger and most rows are current, so the bodies are not
-    sorted or shuffled to find that out. The places of the superseded rows are written to
-    the scratch folder, and only then, knowing how many there are, taken off the full rows:
-    by a broadcast up to `BROADCAST_ROWS`, beyond by a merge join. (Left to adapt at run
-    time, Spark would have shuffled the bodies before it knew.)
+    The places of superseded responses are written to the scratch folder first. Files without
+    any pass straight through, bodies and all, with no exchange; only the rows of files that
+    have some meet the places, by (file, row). The names of those files come to the driver,
+    which lists every file of a scan anyway.
     """
-    rows = located(ledger)
-    superseded, count = _landed(superseded_places(rows), "superseded")
-    taken = F.broadcast(superseded) if count <= BROADCAST_ROWS else superseded.hint("merge")
-    current = rows.join(taken, ["_file", "_row"], "left_anti") if count else rows
-    return current.drop("_file", "_row", "response_key")
+    superseded = landed(superseded_places(ledger), "superseded")
+    touched = [one["_file"] for one in superseded.select("_file").distinct().collect()]
+    if not touched:
+        return ledger
+    placed = ledger.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    untouched = placed.where(~F.col("_file").isin(touched))
+    rest = placed.where(F.col("_file").isin(touched)).join(superseded, ["_file", "_row"], "left_anti")
+    return untouched.unionByName(rest.select(*placed.columns)).drop("_file", "_row")
 
 
 def integrity(ledger: DataFrame) -> DataFrame:

@@ -35,6 +35,15 @@ class Reply(NamedTuple):
 Send = Callable[[dict], Reply]
 Connect = Callable[[], Send]
 
+# Which failures of a transport are worth another try.
+Transient = Callable[[Exception], bool]
+
+
+def is_connection_error(error: Exception) -> bool:
+    """Refused, reset, timed out: the standard library's own errors of that kind."""
+    return isinstance(error, OSError)
+
+
 # Replies are handed to the JVM in pieces of about this many body bytes.
 _FLUSH_BYTES = 32 << 20
 
@@ -52,7 +61,7 @@ _REPLY_TYPES = pa.schema(
 )
 
 
-def _call(send: Send, request: dict) -> dict:
+def _call(open_transport: Callable[[], Send], request: dict, transient: Transient) -> dict:
     signature = str(int(time.time()))
     call = {
         "method": request["method"],
@@ -62,11 +71,10 @@ def _call(send: Send, request: dict) -> dict:
     }
     reply, error_class, error_message = None, None, None
     try:
-        reply = send(call)
-    except OSError as error:  # refused, reset, timed out: the next try may get through
-        error_class, error_message = "transport", str(error)
-    except Exception as error:  # any other failure is this request's, never the batch's
-        error_class, error_message = type(error).__name__, str(error)
+        reply = open_transport()(call)
+    except Exception as error:  # a failure is this request's, never the batch's
+        error_class = "transport" if transient(error) else type(error).__name__
+        error_message = str(error)
     return {
         "signature": signature,
         "status": None if reply is None else reply.status,
@@ -84,12 +92,14 @@ def fetch_requests(
     connect: Connect,
     max_workers: int = MAX_WORKERS,
     cooldown: tuple[float, float] = COOLDOWN_SECONDS,
+    transient: Transient = is_connection_error,
 ) -> DataFrame:
     """
     One try of every request, failures included: the request's columns plus `REPLY_FIELDS`.
 
-    At most `max_workers` tasks call at a time. Each connects once and pauses before every
-    call; a request with `next_attempt_at` also waits until then. Spark may run a task
+    At most `max_workers` tasks call at a time. Each connects once, at its first call and
+    again if that failed, and pauses before every call. An error for which `transient` holds
+    is the transport's and worth another try; any other is the request's. A request with `next_attempt_at` also waits until then. Spark may run a task
     again, so a call is made at least once: write the result before using it twice.
     """
     carried = requests.columns
@@ -98,10 +108,15 @@ def fetch_requests(
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         send = None
+
+        def open_transport() -> Send:
+            nonlocal send
+            if send is None:
+                send = connect()
+            return send
+
         try:
             for batch in batches:
-                if send is None:
-                    send = connect()
                 calls = batch.select(asked).to_pylist()
                 due = (
                     batch.column("next_attempt_at").to_pylist()
@@ -115,7 +130,7 @@ def fetch_requests(
                         pause = max(pause, due[place].timestamp() - time.time())
                     if pause > 0:
                         time.sleep(pause)
-                    reply = _call(send, request)
+                    reply = _call(open_transport, request, transient)
                     replies.append(reply)
                     size += len(reply["raw"] or b"")
                     if size >= _FLUSH_BYTES or place == len(calls) - 1:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from response_ledger.functions.calls import backoff_seconds, body_length, http_class, utf8_text
 from response_ledger.operators.records import STRICT_JSON
-from response_ledger.schemas import LEDGER, REQUEST, SUCCESS_MESSAGE, RetryPolicy
+from response_ledger.schemas import LEDGER, REQUEST, SUCCESS_MESSAGE, Retries
 
 OK = "ok"
 RETRIABLE = "retriable"
@@ -21,20 +21,25 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
     The status fields of each body as `api_message`, `api_status`, `result_count`, and
     `well_formed`: whether the whole text is exactly one JSON object.
 
-    The text is parsed once, as the first element of a list of two: a cut-off body and
-    anything behind the object then make the parse fail or the list shorter or longer.
+    The text is parsed once, as the first element of a list. The list's second and last
+    element holds the text's own digest, which no text can hold: a cut-off body, a list or
+    object it closes by itself, and anything behind it keep that element from being second.
     """
-    listed = F.concat(F.lit("["), F.col(content), F.lit(",{}]"))
+    mark = F.md5(F.col(content).cast("binary"))
+    listed = F.concat(F.lit("["), F.col(content), F.lit(',{"body_digest":"'), mark, F.lit('"}]'))
     parsed = F.from_json(
-        listed, "array<struct<MESSAGE:string,STATUSCODE:string,RESULTCOUNT:string>>", STRICT_JSON
+        listed,
+        "array<struct<MESSAGE:string,STATUSCODE:string,RESULTCOUNT:string,body_digest:string>>",
+        STRICT_JSON,
     )
-    # An object counts 1, a null too much.
-    objects = F.aggregate(
-        "_parsed", F.lit(0), lambda seen, one: seen + F.when(one.isNull(), 3).otherwise(1)
+    whole = (
+        (F.size("_parsed") == 2)
+        & F.get("_parsed", F.lit(0)).isNotNull()
+        & F.get("_parsed", F.lit(1))["body_digest"].eqNullSafe(mark)
     )
     return (
         bodies.withColumn("_parsed", parsed)
-        .withColumn("well_formed", objects.eqNullSafe(2))
+        .withColumn("well_formed", F.coalesce(whole, F.lit(False)))
         .withColumn("_envelope", F.when(F.col("well_formed"), F.get("_parsed", F.lit(0))))
         .withColumn("api_message", F.col("_envelope.MESSAGE"))
         .withColumn("api_status", F.col("_envelope.STATUSCODE").try_cast("int"))
@@ -43,7 +48,7 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def classify(replies: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
+def classify(replies: DataFrame, retries: Retries = Retries()) -> DataFrame:
     """
     Each reply as a call record: `raw` gives way to its digest, length and text, `attempts`
     is counted on, the envelope fields, `outcome` and, for a failure, `failure` are added.
@@ -64,7 +69,7 @@ def classify(replies: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFra
         F.col("error_class") == "transport"
     )
     outcome = (
-        F.when(transient & (F.col("attempts") >= policy.max_tries), "exhausted")
+        F.when(transient & (F.col("attempts") >= retries.tries), "exhausted")
         .when(transient, RETRIABLE)
         .when(F.col("error_class").isNotNull(), "error")
         .when(http != OK, "terminal")
@@ -103,7 +108,7 @@ def dead_letters(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def retry_queue(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
+def retry_queue(outcomes: DataFrame, retries: Retries = Retries()) -> DataFrame:
     """
     Requests to try again, with the tries so far and when the next one is due.
 
@@ -111,7 +116,7 @@ def retry_queue(outcomes: DataFrame, policy: RetryPolicy = RetryPolicy()) -> Dat
     as a random number would, but a recomputed task finds the same rows again.
     """
     spread = F.pmod(F.xxhash64("url", "start", "attempts"), F.lit(1_000_000)) / 1_000_000
-    pause = backoff_seconds(F.col("attempts"), policy) + spread
+    pause = backoff_seconds(F.col("attempts"), retries) + spread
     due = F.timestamp_micros(F.unix_micros("fetched_at") + (pause * 1_000_000).cast("bigint"))
     return outcomes.where(F.col("outcome") == RETRIABLE).select(
         *REQUEST.names, "batch_no", "attempts", due.alias("next_attempt_at")

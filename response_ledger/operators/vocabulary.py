@@ -13,7 +13,7 @@ from response_ledger.functions.text import (
     sentence_columns,
     split_columns,
 )
-from response_ledger.schemas import endpoint_rows
+from response_ledger.schemas import ENDPOINTS, endpoint_rows
 
 
 def endpoint_descriptions(specs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -114,6 +114,8 @@ def vocabulary_errors(specs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 
 def documented_columns(specs: DataFrame, request_type: str, role: str = "display") -> list[str]:
     """One endpoint's names out of one spec; a documentation of the wrong shape raises."""
+    if request_type not in ENDPOINTS:
+        raise ValueError(f"{request_type} is no endpoint of the catalogue")
     # An endpoint has three lists at most.
     found = (
         documented_lists(specs)

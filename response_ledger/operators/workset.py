@@ -9,9 +9,12 @@ from response_ledger.operators.numbering import number_rows
 from response_ledger.operators.records import explode_records
 from response_ledger.schemas import SOURCE_TYPE
 
-# Up to here the first N ids come from a top-N, which merges N rows per task in one task;
-# beyond, from their global numbers.
-TOP_N_BOUND = 1_000
+
+def id_value(text: Column) -> Column:
+    """Id text as a number; text that is no integer fails the job, whatever the session's settings."""
+    value = text.try_cast("bigint")
+    refused = F.raise_error(F.concat(F.lit("id is no integer: "), text)).cast("bigint")
+    return F.when(text.isNull() | value.isNotNull(), value).otherwise(refused)
 
 
 def record_ids(ledger: DataFrame, id_column: str) -> DataFrame:
@@ -23,7 +26,7 @@ def record_ids(ledger: DataFrame, id_column: str) -> DataFrame:
 def create_workset(ledger: DataFrame, id_column: str) -> DataFrame:
     """Distinct ids of a paged run, as `id bigint`; text that is no number is an error."""
     ids = record_ids(ledger, id_column)
-    return ids.select(F.col(id_column.lower()).cast("bigint").alias("id")).distinct()
+    return ids.select(id_value(F.col(id_column.lower())).alias("id")).distinct()
 
 
 def create_worksets(ledger: DataFrame, id_columns: list[str]) -> DataFrame:
@@ -31,7 +34,7 @@ def create_worksets(ledger: DataFrame, id_columns: list[str]) -> DataFrame:
     pages = ledger.where(F.col("request_type") == SOURCE_TYPE)
     kinds = F.array(
         *[
-            F.struct(F.lit(name).alias("id_column"), F.col(name).cast("bigint").alias("id"))
+            F.struct(F.lit(name).alias("id_column"), id_value(F.col(name)).alias("id"))
             for name in id_columns
         ]
     )
@@ -68,8 +71,6 @@ def remaining(workset: DataFrame, fetched: DataFrame, request_type: str) -> Data
 
 def first_ids(workset: DataFrame, limit: int) -> DataFrame:
     """The first `limit` ids in id order."""
-    if limit <= TOP_N_BOUND:
-        return workset.orderBy("id").limit(limit)
     return number_rows(workset, "id").where(F.col("n") <= limit).select("id")
 
 

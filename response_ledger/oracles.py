@@ -16,6 +16,7 @@ _ATTEMPTS = """
          WHEN event_type = 'error' THEN 'api'
          WHEN value < 10 THEN 'malformed'
          WHEN value < 20 THEN 'undecodable'
+         WHEN value < 30 THEN 'malformed'
          ELSE 'ok' END AS outcome
   FROM events
 """
@@ -143,6 +144,13 @@ ORACLES: dict[str, str] = {
                '{"event_id":' || event_id || ',"props":"' || replace(props, '"', '\\"') || '"}' AS content
         FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "current_pages": """
+        SELECT status, CAST(size AS INT) AS rows, CAST(page * size + 1 AS INT) AS start, count(*) AS records,
+               min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
+        FROM (SELECT o_orderstatus AS status, o_orderkey, size,
+                     (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // size AS page
+              FROM orders JOIN (VALUES ('F', 300), ('O', 500)) sizes(kind, size) ON o_orderstatus = kind)
+        GROUP BY ALL""",
     "latest_events": """
         SELECT event_type, user_id, event_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -152,7 +160,7 @@ ORACLES: dict[str, str] = {
         FROM documents WHERE contains(text, chr(10))""",
     "malformed_bodies": """
         SELECT upper(event_type) AS request_type, event_id AS path_id FROM events
-        WHERE event_type IN ('view', 'click')""",
+        WHERE event_type <> 'purchase'""",
     "coverage_report": """
         SELECT run_id, count(*) AS reported, count(DISTINCT o_orderkey) AS distinct_ids,
                CASE run_id WHEN 'plain' THEN count(*) ELSE 2 * count(*) END AS records
@@ -225,11 +233,13 @@ ORACLES: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM customer
                           WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')""",
     "resumed_run": f"""
-        SELECT n AS path_id, '{_BASE}/recalls/product/' || n AS url,
+        SELECT o_orderkey AS path_id, '{_BASE}/recalls/product/' || o_orderkey AS url,
                octet_length(encode(body)) AS content_length, body AS content
-        FROM (SELECT n, '{{"MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400, '
-                || '"RESULT": {{"COLUMNS": ["PRODUCTID"], "DATA": [["' || n || '"]]}}}}' AS body
-              FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS n FROM orders))""",
+        FROM (SELECT o_orderkey, '{{"MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400, '
+                || '"RESULT": {{"COLUMNS": ["ID"], "DATA": [["' || o_orderkey || '"]]}}}}' AS body
+              FROM orders)""",
     "forced_run": """
-        SELECT row_number() OVER (ORDER BY o_orderkey) AS path_id, CAST(2 AS BIGINT) AS copies FROM orders""",
+        SELECT 'PRODUCT' AS request_type, o_orderkey AS path_id, CAST(2 AS BIGINT) AS copies FROM orders
+        UNION ALL
+        SELECT DISTINCT 'EVENT', o_custkey, CAST(2 AS BIGINT) FROM orders""",
 }

@@ -8,7 +8,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from response_ledger.operators.fetch import Connect, fetch_requests, with_attempts
+from response_ledger.operators.fetch import (
+    Connect,
+    Transient,
+    fetch_requests,
+    is_connection_error,
+    with_attempts,
+)
 from response_ledger.operators.numbering import number_rows
 from response_ledger.operators.outcomes import (
     OK,
@@ -19,7 +25,6 @@ from response_ledger.operators.outcomes import (
     to_ledger,
 )
 from response_ledger.operators.workset import (
-    TOP_N_BOUND,
     batch_number,
     create_workset,
     create_worksets,
@@ -40,12 +45,13 @@ from response_ledger.schemas import (
     ENDPOINTS,
     MAX_WORKERS,
     SOURCE_TYPE,
-    RetryPolicy,
+    Retries,
 )
 from response_ledger.session import (
     READER_BATCH,
     READER_BATCH_ROWS,
     delete_path,
+    scratch,
     scratch_path,
     setting,
 )
@@ -76,7 +82,9 @@ class CallOptions(NamedTuple):
     base_url: str
     max_workers: int = MAX_WORKERS
     cooldown: tuple[float, float] = COOLDOWN_SECONDS
-    retry: RetryPolicy = RetryPolicy()
+    retry: Retries = Retries()
+    # Which errors of the transport are tried again, for clients with error classes of their own.
+    transient: Transient = is_connection_error
 
 
 class StageReport(NamedTuple):
@@ -101,7 +109,7 @@ class Settled(NamedTuple):
         return sum(self.totals.values()) - self.kept
 
 
-def settle(requests: DataFrame, calls: CallOptions) -> Settled:
+def settle(requests: DataFrame, calls: CallOptions, group_rows: int = PAGE_GROUP_ROWS) -> Settled:
     """
     Make every call until it succeeds, fails for good or runs out of tries.
 
@@ -111,11 +119,13 @@ def settle(requests: DataFrame, calls: CallOptions) -> Settled:
     spark = requests.sparkSession
     landing = scratch_path(spark, "landing")
     pending, totals = with_attempts(requests), {}
-    for attempt in range(1, calls.retry.max_tries + 1):
+    for attempt in range(1, calls.retry.tries + 1):
         landed = f"{landing}/try={attempt}"
-        replies = fetch_requests(pending, calls.connect, calls.max_workers, calls.cooldown)
+        replies = fetch_requests(
+            pending, calls.connect, calls.max_workers, calls.cooldown, calls.transient
+        )
         judged = classify(replies, calls.retry)
-        judged.write.option("parquet.block.row.count.limit", PAGE_GROUP_ROWS).parquet(landed)
+        judged.write.option("parquet.block.row.count.limit", group_rows).parquet(landed)
         tried = spark.read.schema(judged.schema).parquet(landed)
         counts = {one["outcome"]: one["count"] for one in tried.groupBy("outcome").count().collect()}
         again = counts.pop(RETRIABLE, 0)
@@ -186,10 +196,10 @@ def plan_stage(
         return pages.withColumn("batch_no", batch_number(place, batch_size))
     if endpoint.by_id:
         ids = stage_ids(spark, request_type, ids_source, directory, force, workset)
-        if limit is not None and limit <= TOP_N_BOUND:
-            ids = ids.orderBy("id").limit(limit)
         numbered = number_rows(ids, "id")
         if limit is not None:
+            if not numbered.where(F.col("n") > limit).isEmpty():
+                logger.warning("Only the first %s ids are fetched", limit)
             numbered = numbered.where(F.col("n") <= limit)
         return plan_ids(
             numbered.withColumn("batch_no", batch_number("n", batch_size)),
@@ -199,8 +209,9 @@ def plan_stage(
             keep=("batch_no",),
         )
     single = plan_single(spark, calls.base_url, request_type, display_columns)
-    if limit is not None:
-        single = single.limit(limit)
+    if limit is not None and limit < 1:
+        logger.warning("The only call is not made, as the limit is %s", limit)
+        single = single.limit(0)
     return single.withColumn("batch_no", F.lit(1).cast("bigint"))
 
 
@@ -219,9 +230,23 @@ def run_stage(
     The plan is written once, a folder per `CHUNK_BATCHES` batches, so picking a batch opens
     that folder's files and no others. Each batch is settled, then its successes are
     appended in one write and its failures go to the dead-letter table beside the ledger; an
-    interrupted run loses one batch. The ledger is the only resume state. Raises after the
+    interrupted run loses one batch. Scratch tables go with the run, also when it fails. The
+    ledger is the only resume state. Raises after the
     last batch if any request failed; a stage with nothing left to fetch writes nothing.
     """
+    with scratch(spark):
+        return _run_stage(spark, request_type, run_id, dest, calls, display_columns, **options)
+
+
+def _run_stage(
+    spark: SparkSession,
+    request_type: str,
+    run_id: str,
+    dest: str,
+    calls: CallOptions,
+    display_columns: list[str],
+    **options,
+) -> StageReport:
     directory = target_path(dest, request_type, run_id)
     plan_path = scratch_path(spark, "plan")
     # The source of the ids may be the work of another writer, see READER_BATCH.
@@ -236,7 +261,7 @@ def run_stage(
     first = None
     for batch_no in range(1, batches + 1):
         chunk = plan.where(F.col("chunk") == batch_no // CHUNK_BATCHES).drop("chunk")
-        settled = settle(chunk.where(F.col("batch_no") == batch_no), calls)
+        settled = settle(chunk.where(F.col("batch_no") == batch_no), calls, group_rows)
         kept, lost = settled.kept, settled.lost
         if kept:
             append_ledger(to_ledger(settled.outcomes), directory, group_rows)
@@ -249,7 +274,6 @@ def run_stage(
         delete_path(spark, settled.landing)
         written, failed = written + kept, failed + lost
         logger.info("%s batch %s of %s: %s kept, %s lost", request_type, batch_no, batches, kept, lost)
-    delete_path(spark, plan_path)
     if not batches:
         logger.info("%s holds all of %s already", directory, request_type)
     if failed:
@@ -276,6 +300,19 @@ def run_stages(
     The pages are the bulk of a run, so the ids of all by-id stages are drawn in one pass
     when the first of them is reached, and kept as a narrow table for the others.
     """
+    with scratch(spark):
+        return _run_stages(spark, run_id, dest, calls, vocabulary, stages, **options)
+
+
+def _run_stages(
+    spark: SparkSession,
+    run_id: str,
+    dest: str,
+    calls: CallOptions,
+    vocabulary: dict[str, list[str]],
+    stages: tuple[str, ...],
+    **options,
+) -> dict[str, StageReport]:
     id_columns = sorted({ENDPOINTS[one].id_column for one in stages if ENDPOINTS[one].by_id})
     worksets, reports = None, {}
     for request_type in stages:

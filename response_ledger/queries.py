@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from response_ledger.functions.text import (
     split_columns,
 )
 from response_ledger.operators import audit
+from response_ledger.operators.fetch import Reply, Send
 from response_ledger.operators.outcomes import (
     classify,
     dead_letters,
@@ -37,12 +39,10 @@ from response_ledger.operators.workset import (
 )
 from response_ledger.plans.job import CallOptions, run_stage, run_stages
 from response_ledger.plans.requests import plan_ids, plan_pages
-from response_ledger.schemas import LEDGER
 from response_ledger.session import scratch_path
 from response_ledger.sources.ledger import (
     PAGE_GROUP_ROWS,
     append_ledger,
-    hadoop_uri,
     read_ledger,
     read_runs,
     required_violations,
@@ -52,18 +52,19 @@ from response_ledger.streaming.worksets import read_emitted, stream_workset
 from response_ledger.table_ledgers import (
     BASE_URL,
     PAGE_ROWS,
-    NumberedService,
     customers_ledger,
     documents_ledger,
     event_replies,
     events_ledger,
+    fetched_twice,
     ledger_rows,
     marked_documents,
-    older_schema,
     once,
     order_specs,
+    paged_runs,
     pages_ledger,
     table,
+    united_ledger,
 )
 
 
@@ -280,6 +281,22 @@ def current_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.select("request_type", "path_id", "content")
 
 
+def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+    Which pages of a ledger of several runs, filters and page sizes are current: under one
+    filter the second run's, under the other the second page size's.
+    """
+    current = audit.current_responses(read_ledger(spark, paged_runs(spark, sf_dir)))
+    records = explode_records(current, ["productid"], keep=("filters", "start", "rows"))
+    return records.groupBy(
+        F.get(F.element_at(F.get("filters", F.lit(0)), "centercd"), F.lit(0)).alias("status"), "rows", "start"
+    ).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min(F.col("productid").cast("bigint")).alias("first_id"),
+        F.max(F.col("productid").cast("bigint")).alias("last_id"),
+    )
+
+
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event per type and user, over a frame that is no ledger."""
     events = table(spark, sf_dir, "events")
@@ -294,11 +311,18 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bodies that are not one JSON object: view events lost their last character."""
+    """
+    Bodies that are not one JSON object: cut off, with text behind, or closing a list that is
+    not theirs, with and without text behind.
+    """
     props = F.col("props")
-    cut = F.when(
-        F.col("event_type") == "view", F.substring(props, F.lit(1), F.length(props) - 1)
-    ).when(F.col("event_type") == "click", F.concat(props, F.lit(" trailing"))).otherwise(props)
+    cut = (
+        F.when(F.col("event_type") == "view", F.substring(props, F.lit(1), F.length(props) - 1))
+        .when(F.col("event_type") == "click", F.concat(props, F.lit(" trailing")))
+        .when(F.col("event_type") == "signup", F.concat(props, F.lit(",{}]")))
+        .when(F.col("event_type") == "error", F.concat(props, F.lit(",{}] tail")))
+        .otherwise(props)
+    )
     events = table(spark, sf_dir, "events").withColumn("content", cut)
     rows = ledger_rows(
         events, request_type=F.upper("event_type"), path_id=F.col("event_id"), content=F.col("content")
@@ -308,25 +332,14 @@ def malformed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported against found records, per run: one fetched once, one fetched twice."""
-    dest = scratch_path(spark, "coverage")
-    pages = _pages(spark, sf_dir)
-    append_ledger(pages, target_path(dest, "RECALLS", "plain"), PAGE_GROUP_ROWS)
-    append_ledger(pages, target_path(dest, "RECALLS", "forced"), PAGE_GROUP_ROWS)
-    append_ledger(pages, target_path(dest, "RECALLS", "forced"), PAGE_GROUP_ROWS)
-    return audit.coverage(read_runs(spark, dest, "RECALLS"), "productid", run=("run_id",))
+    runs = read_runs(spark, fetched_twice(spark, sf_dir), "RECALLS")
+    return audit.coverage(runs, "productid", run=("run_id",))
 
 
 def united_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A directory whose older files lack a column, in two subdirectories, read as one."""
-    directory = scratch_path(spark, "united")
-    customers = _customers(spark, sf_dir).withColumn(
-        "filters", F.array(F.create_map(F.lit("centercd"), F.array(F.lit("CBER"))))
-    )
-    old = [one.name for one in older_schema()]
-    customers.select(*old).write.parquet(f"{directory}/run_id=1")
-    append_ledger(customers.select(*LEDGER.names), f"{directory}/run_id=2")
     return (
-        read_ledger(spark, directory)
+        read_ledger(spark, united_ledger(spark, sf_dir))
         .groupBy("request_type", F.col("filters").isNull().alias("without_filters"))
         .agg(F.count(F.lit(1)).alias("responses"), F.count("path_id").alias("with_id"))
     )
@@ -424,7 +437,7 @@ def vocabulary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_workset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Remaining event ids found by a file stream over the raw pages, a file at a time."""
+    """Remaining event ids found by a file stream over the raw pages, four files at a time."""
     emitted = scratch_path(spark, "emitted")
     query = stream_workset(
         spark,
@@ -439,37 +452,51 @@ def streamed_workset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_emitted(spark, emitted).select("id")
 
 
-def _service(spark: SparkSession, sf_dir: str) -> tuple[str, CallOptions]:
-    total = table(spark, sf_dir, "orders").count()
-    return scratch_path(spark, "run"), CallOptions(NumberedService(total), BASE_URL, cooldown=(0.0, 0.0))
+def answer_with_the_id() -> Send:
+    """A transport that needs no network: a by-id call is answered with the id it asks for."""
+
+    def send(call: dict) -> Reply:
+        asked = call["url"].split("?")[0].rsplit("/", 1)[-1]
+        body = {
+            "MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400,
+            "RESULT": {"COLUMNS": ["ID"], "DATA": [[asked]]},
+        }
+        return Reply(200, json.dumps(body).encode(), "application/json;charset=UTF-8")
+
+    return send
+
+
+CALLS = CallOptions(answer_with_the_id, BASE_URL, cooldown=(0.0, 0.0))
 
 
 def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
-    A paged stage, a by-id stage limited to a batch, and the same stage resumed, against a
-    service with one record per order: every id is fetched exactly once.
+    A by-id stage over the ids of the raw pages, limited to a third, and the same stage
+    resumed: every product is fetched exactly once.
     """
-    dest, calls = _service(spark, sf_dir)
+    dest, source = scratch_path(spark, "run"), pages_ledger(spark, sf_dir)
     total = table(spark, sf_dir, "orders").count()
-    columns = {"RECALLS": ["productid"], "PRODUCT": ["productid"]}
-    run_stages(spark, "r1", dest, calls, columns, tuple(columns), batch_size=total // 4, limit=total // 3)
-    run_stages(spark, "r1", dest, calls, columns, ("PRODUCT",), batch_size=total // 2)
+    for size, limit in ((total // 4, total // 3), (total // 2, None)):
+        run_stage(
+            spark, "PRODUCT", "r1", dest, CALLS, ["productid"],
+            ids_source=source, batch_size=max(1, size), limit=limit,
+        )
     fetched = read_ledger(spark, target_path(dest, "PRODUCT", "r1"))
     return fetched.select("path_id", "url", "content_length", "content")
 
 
 def forced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stage run twice with force: every id is appended a second time."""
-    dest, calls = _service(spark, sf_dir)
+    """Two by-id stages after a paged one, run twice with force: every id is appended twice."""
+    dest = scratch_path(spark, "run")
+    append_ledger(_pages(spark, sf_dir), target_path(dest, "RECALLS", "r1"), PAGE_GROUP_ROWS)
     total = table(spark, sf_dir, "orders").count()
-    run_stage(spark, "RECALLS", "r1", dest, calls, ["productid"])
+    columns = {"PRODUCT": ["productid"], "EVENT": ["recalleventid"]}
     for _ in range(2):
-        run_stage(
-            spark, "PRODUCT", "r1", dest, calls, ["productid"],
-            ids_source=hadoop_uri(target_path(dest, "RECALLS", "r1")), batch_size=total, force=True,
-        )
-    fetched = read_ledger(spark, target_path(dest, "PRODUCT", "r1"))
-    return fetched.groupBy("path_id").agg(F.count(F.lit(1)).alias("copies"))
+        run_stages(spark, "r1", dest, CALLS, columns, tuple(columns), batch_size=total, force=True)
+    found = [read_ledger(spark, target_path(dest, name, "r1")) for name in columns]
+    return found[0].unionByName(found[1]).groupBy("request_type", "path_id").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -479,7 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         remaining_events, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
         page_sizes, page_counts, call_outcomes, kept_responses, failed_calls, retry_schedule,
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
-        flattened_records, flattened_tables, current_responses, latest_events, integrity_report,
+        flattened_records, flattened_tables, current_responses, current_pages, latest_events, integrity_report,
         malformed_bodies, coverage_report, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
         endpoint_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, forced_run,

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +51,16 @@ def local_session(cores: str = "8", app: str = "response_ledger") -> SparkSessio
     return spark
 
 
-# Scratch folders this process wrote and has not removed yet.
-_written: set[str] = set()
+# Scratch folders this process wrote and has not removed yet, with the session to do it by.
+_written: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _remove_written() -> None:
+    for path, spark in list(_written.items()):
+        # Whatever is gone by now, the session or the folder, is no reason to stop.
+        with suppress(Exception):
+            delete_path(spark, path)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -80,10 +88,11 @@ def _local_root() -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """
     A new path in the scratch folder. Whoever reads the table written there calls
-    `delete_path` when done; `scratch` does it for all that is written inside its block.
+    `delete_path` when done; `scratch` does it for all that is written inside its block, and
+    what is left goes when the process ends.
     """
     path = f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
-    _written.add(path)
+    _written[path] = spark
     return path
 
 
@@ -91,7 +100,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table this library wrote."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-    _written.discard(path)
+    _written.pop(path, None)
 
 
 @contextmanager
@@ -101,7 +110,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _written - before:
+        for path in _written.keys() - before:
             delete_path(spark, path)
 
 

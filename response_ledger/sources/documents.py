@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from response_ledger.sources.ledger import hadoop_uri
+
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as (`url`, `text`)."""
-    return spark.read.text(path, wholetext=True).select(
+    return spark.read.text(hadoop_uri(path), wholetext=True).select(
         F.col("_metadata.file_path").alias("url"), F.col("value").alias("text")
     )

@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from response_ledger.operators.workset import record_ids, remaining
+from response_ledger.operators.workset import id_value, record_ids, remaining
 from response_ledger.schemas import ENDPOINTS, LEDGER
 from response_ledger.session import READER_BATCH, READER_BATCH_ROWS, setting
 from response_ledger.sources.ledger import hadoop_uri, ledger_is_empty, read_ledger
 
-EMITTED = T.StructType([T.StructField("id", T.LongType()), T.StructField("epoch", T.LongType())])
+EMITTED = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("epoch", T.LongType()),
+    ]
+)
 
 
 def read_emitted(spark: SparkSession, directory: str) -> DataFrame:
-    """The ids a stream has emitted so far, each with the micro-batch that found it."""
-    return spark.read.schema(EMITTED).parquet(directory)
+    """The ids streams have emitted so far, each with the stream and micro-batch that found it."""
+    if ledger_is_empty(spark, directory):
+        return spark.createDataFrame([], EMITTED)
+    return spark.read.schema(EMITTED).parquet(hadoop_uri(directory))
+
+
+def stream_name(checkpoint_directory: str) -> str:
+    """What a stream's folders are called: its checkpoint makes it the same stream."""
+    return hashlib.sha256(checkpoint_directory.rstrip("/").encode()).hexdigest()[:16]
 
 
 def stream_workset(
@@ -33,11 +48,12 @@ def stream_workset(
     """
     Emit every id the target does not hold yet, once, as source files arrive.
 
-    Each micro-batch is reduced to distinct ids and anti-joined with the target ledger and
-    with the ids emitted by earlier micro-batches, since an id may recur in a later file
-    before it is fetched. A micro-batch owns its `epoch=` folder and overwrites it, so one
-    that is replayed after a failure emits the same ids once. The stream's checkpoint only
-    knows source files: what is fetched, the ledger tells.
+    The stream's own state knows the ids it has seen, so a micro-batch has new ids only and
+    does not read what earlier ones emitted. They are anti-joined with the target ledger and
+    with what other streams emitted. A micro-batch owns its `stream=/epoch=` folder and
+    overwrites it, so one that is replayed after a failure emits the same ids once, and a
+    stream with a new checkpoint touches no folder of an earlier one. For many ids set the
+    RocksDB state store provider.
     """
     id_column = ENDPOINTS[request_type].id_column
     if id_column is None:
@@ -50,22 +66,23 @@ def stream_workset(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     ids = record_ids(reader.parquet(hadoop_uri(pages_directory)), id_column).select(
-        F.col(id_column.lower()).cast("bigint").alias("id")
+        id_value(F.col(id_column.lower())).alias("id")
     )
+    stream = stream_name(checkpoint_directory)
 
     def emit(batch: DataFrame, epoch: int) -> None:
-        session = batch.sparkSession
-        fresh = batch.distinct()
+        session, fresh = batch.sparkSession, batch
         if not force and not ledger_is_empty(session, target_directory):
             fresh = remaining(fresh, read_ledger(session, target_directory), request_type)
-        if not ledger_is_empty(session, emitted_directory):
-            earlier = read_emitted(session, emitted_directory).where(F.col("epoch") < epoch)
-            fresh = fresh.join(earlier.select("id"), "id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{emitted_directory}/epoch={epoch}")
+        others = read_emitted(session, emitted_directory).where(F.col("stream") != stream)
+        fresh = fresh.join(others.select("id"), "id", "left_anti")
+        own = f"{hadoop_uri(emitted_directory)}/stream={stream}/epoch={epoch}"
+        fresh.write.mode("overwrite").parquet(own)
 
     writer = (
-        ids.writeStream.foreachBatch(emit)
-        .option("checkpointLocation", checkpoint_directory)
+        ids.dropDuplicates(["id"])
+        .writeStream.foreachBatch(emit)
+        .option("checkpointLocation", hadoop_uri(checkpoint_directory))
         .trigger(availableNow=True)
     )
     # A stream keeps the settings it was started with.

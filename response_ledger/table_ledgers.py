@@ -8,18 +8,15 @@ Ledgers, bodies and replies rendered from the test tables.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from response_ledger.operators.fetch import Reply
 from response_ledger.operators.numbering import number_rows
 from response_ledger.plans.requests import filter_maps
 from response_ledger.schemas import DEFAULT_FILTERS, LARGE_TEXT_PAGE_CAP, LEDGER, REPLY_FIELDS, REQUEST
 from response_ledger.session import scratch_path
-from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger
+from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger, target_path
 
 BASE_URL = "https://service.example/rest"
 PAGE_ROWS = LARGE_TEXT_PAGE_CAP
@@ -58,9 +55,16 @@ def ledger_rows(frame: DataFrame, **given: Column) -> DataFrame:
     )
 
 
-def page_rows_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` as list-shaped pages of at most 2,500 records in key order."""
-    orders = table(spark, sf_dir, "orders")
+def page_rows_of_orders(
+    spark: SparkSession,
+    sf_dir: str,
+    size: int = PAGE_ROWS,
+    filters: list[dict[str, list[str]]] = DEFAULT_FILTERS,
+    statuses: tuple[str, ...] = ("F", "O", "P"),
+    **given: Column,
+) -> DataFrame:
+    """`orders` of some statuses as list-shaped pages of at most `size` records in key order."""
+    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin(*statuses))
     total = orders.count()
     record = F.struct(
         F.col("o_orderkey").cast("string").alias("PRODUCTID"),
@@ -71,7 +75,7 @@ def page_rows_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("RECALLINITIATIONDT"),
     )
     numbered = number_rows(orders.select("o_orderkey", record.alias("record")), "o_orderkey")
-    page = F.floor((F.col("n") - 1) / PAGE_ROWS)
+    page = F.floor((F.col("n") - 1) / size)
     pages = numbered.groupBy(page.alias("page")).agg(
         F.sort_array(F.collect_list(F.struct("n", "record"))).alias("members")
     )
@@ -83,16 +87,35 @@ def page_rows_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("members.record").alias("RESULT"),
         )
     )
-    return ledger_rows(
-        pages.select("page", content.alias("content")),
-        request_type=F.lit("RECALLS"),
-        filters=filter_maps(DEFAULT_FILTERS),
-        sort=F.lit("productid"),
-        sort_order=F.lit("asc"),
-        start=F.col("page") * PAGE_ROWS + 1,
-        rows=F.lit(PAGE_ROWS),
-        content=F.col("content"),
-    )
+    columns = {
+        "request_type": F.lit("RECALLS"),
+        "filters": filter_maps(filters),
+        "sort": F.lit("productid"),
+        "sort_order": F.lit("asc"),
+        "start": F.col("page") * size + 1,
+        "rows": F.lit(size),
+        "content": F.col("content"),
+    }
+    return ledger_rows(pages.select("page", content.alias("content")), **{**columns, **given})
+
+
+def paged_runs(spark: SparkSession, sf_dir: str) -> str:
+    """
+    Pages of `orders` under two filters: status F in two runs, status O twice in one run, the
+    second time in larger pages.
+    """
+
+    def write(path: str) -> None:
+        for hour, (run, status, size) in enumerate(
+            (("r1", "F", 300), ("r2", "F", 300), ("r1", "O", 200), ("r1", "O", 500))
+        ):
+            at = F.timestamp_micros(F.lit(1_787_227_200_000_000 + hour * 3_600_000_000))
+            rows = page_rows_of_orders(
+                spark, sf_dir, size, [{"centercd": [status]}], (status,), fetched_at=at
+            )
+            append_ledger(rows, f"{path}/run_id={run}", PAGE_GROUP_ROWS)
+
+    return once(spark, sf_dir, "paged_runs", write)
 
 
 def pages_ledger(spark: SparkSession, sf_dir: str) -> str:
@@ -187,7 +210,8 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     `events` as one try each of the call with id event_id, `$.k` of the props being the
     tries before it. By type: error a failure in the body, signup HTTP 503, view HTTP 404,
-    purchase no answer, click a body - cut off below value 10, with a bad last byte below 20.
+    purchase no answer, click a body - cut off below value 10, with a bad last byte below 20, closing a list that
+    is not its own below 30, half of these with text behind.
     """
     kind, value = F.col("event_type"), F.col("value")
     good = tabular_body(["VALUE"], [value])
@@ -197,6 +221,9 @@ def event_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(good)
     cut = F.when(
         (kind == "click") & (value < 10), F.substring(whole, F.lit(1), F.length(whole) - 1)
+    ).when(
+        (kind == "click") & (value >= 20) & (value < 30),
+        F.concat(whole, F.when(value < 25, ",{}]").otherwise(',{}] junk')),
     ).otherwise(whole)
     raw = F.when(
         (kind == "click") & (value >= 10) & (value < 20),
@@ -293,34 +320,31 @@ def order_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "specs", orders)
 
 
-class NumberedService:
-    """
-    A service whose products are the numbers 1 to `total`; ids of `failing` answer 404.
-    Needs no network: replies are computed from the call alone.
-    """
+def older_schema() -> T.StructType:
+    """A ledger from before filters were kept."""
+    return T.StructType([one for one in LEDGER if one.name != "filters"])
 
-    def __init__(self, total: int, failing: tuple[int, ...] = ()):
-        self.total, self.failing = total, failing
 
-    def __call__(self):
-        return self.reply
+def fetched_twice(spark: SparkSession, sf_dir: str) -> str:
+    """The raw pages as two runs under one destination: one fetched once, one twice."""
 
-    def reply(self, call: dict) -> Reply:
-        path = call["url"].split("?", 1)[0].removeprefix(BASE_URL)
-        if call["method"] == "POST":
-            asked = json.loads(call["body"].removeprefix("payload="))
-            last = min(asked["start"] + asked["rows"], self.total + 1)
-            result = [{"PRODUCTID": str(one)} for one in range(asked["start"], last)]
-            body = {"MESSAGE": "success", "RESULTCOUNT": self.total, "STATUSCODE": 400, "RESULT": result}
-        else:
-            number = path.rsplit("/", 1)[-1]
-            if not number.isdigit() or int(number) in self.failing:
-                return Reply(404, b"")
-            result = {"COLUMNS": ["PRODUCTID"], "DATA": [[number]]}
-            body = {"MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400, "RESULT": result}
-        return Reply(200, json.dumps(body).encode(), "application/json;charset=UTF-8")
+    def write(path: str) -> None:
+        pages = spark.read.schema(LEDGER).parquet(pages_ledger(spark, sf_dir))
+        for run in ("plain", "forced", "forced"):
+            append_ledger(pages, target_path(path, "RECALLS", run), PAGE_GROUP_ROWS)
 
+    return once(spark, sf_dir, "fetched_twice", write)
 
-def older_schema() -> T.StructType:
-    """A ledger from before filters were kept."""
-    return T.StructType([one for one in LEDGER if one.name != "filters"])
+
+def united_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """The customers' responses twice: as an older writer left them, and with filters."""
+
+    def write(path: str) -> None:
+        customers = spark.read.schema(LEDGER).parquet(customers_ledger(spark, sf_dir)).withColumn(
+            "filters", F.array(F.create_map(F.lit("centercd"), F.array(F.lit("CBER"))))
+        )
+        old = [one.name for one in older_schema()]
+        customers.select(*old).write.parquet(f"{path}/run_id=1")
+        append_ledger(customers.select(*LEDGER.names), f"{path}/run_id=2")
+
+    return once(spark, sf_dir, "united", write)

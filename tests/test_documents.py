@@ -205,3 +205,9 @@ def test_vocabulary(spark, tmp_path):
         documented_columns(specs.union(specs), "RECALLS")
     with pytest.raises(ValueError, match="not in the spec"):
         documented_columns(specs, "EVENT")
+
+
+def test_an_unknown_endpoint_is_an_error(spark):
+    specs = spark.createDataFrame([("{}",)], "text string")
+    with pytest.raises(ValueError, match="TYPO"):
+        documented_columns(specs, "TYPO")

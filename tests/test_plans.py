@@ -18,7 +18,7 @@ from response_ledger.plans.requests import (
     plan_single,
     rows_for,
 )
-from response_ledger.schemas import DEFAULT_FILTERS, ENDPOINTS, REQUEST, RetryPolicy, endpoints
+from response_ledger.schemas import DEFAULT_FILTERS, ENDPOINTS, REQUEST, Retries, endpoints
 
 BASE = "https://service.example/rest"
 
@@ -38,16 +38,19 @@ def test_catalogue(spark):
     assert all(one["needs_ids"] == (one["id_column"] is not None) for one in rows.values())
 
 
-@pytest.mark.parametrize(
-    "total, starts",
-    [(49096, list(range(1, 49097, 2500))), (2500, [1]), (2501, [1, 2501]), (0, [])],
-)
-def test_pages_step_by_record_offset(spark, total, starts):
-    rows = plan_pages(spark, BASE, total, ["productid"], 2500).collect()
-    assert [one["start"] for one in rows] == starts
-    assert all(one["rows"] == 2500 and one["path_id"] is None for one in rows)
-    assert all(one["filters"] == DEFAULT_FILTERS for one in rows)
-    assert all((one["sort"], one["sort_order"]) == ("productid", "asc") for one in rows)
+@pytest.mark.parametrize("size", [1, 7, 40])
+@pytest.mark.parametrize("total", [0, 1, 39, 40, 41, 283])
+def test_every_record_is_in_exactly_one_page(spark, total, size):
+    pages = plan_pages(spark, BASE, total, ["rid"], size).collect()
+    records = [one["start"] + place for one in pages for place in range(one["rows"])]
+    assert [one for one in records if one <= total] == list(range(1, total + 1))
+    assert len(records) - total < size
+
+
+def test_a_page_says_what_it_was_asked_for(spark):
+    (page,) = plan_pages(spark, BASE, 3, ["rid"], 9, [{"phase": ["Ongoing"]}]).collect()
+    assert page["filters"] == [{"phase": ["Ongoing"]}] and page["path_id"] is None
+    assert (page["sort"], page["sort_order"], page["display_columns"]) == ("productid", "asc", ["rid"])
 
 
 def test_page_body_is_a_form_field_of_json(spark):
@@ -82,29 +85,17 @@ def test_probe_asks_for_one_row_and_no_columns(spark):
     assert (sent["rows"], sent["start"], sent["displaycolumns"]) == (1, 1, "")
 
 
-def test_id_requests_carry_no_payload(spark):
-    ids = spark.createDataFrame([(1,), (2,)], "id bigint")
-    rows = plan_ids(ids, BASE, "PRODUCT", ["productid"]).orderBy("path_id").collect()
-    assert [one["url"] for one in rows] == [f"{BASE}/recalls/product/1", f"{BASE}/recalls/product/2"]
-    assert [one["path_id"] for one in rows] == [1, 2]
-    for name in ("filters", "sort", "sort_order", "start", "rows", "body"):
-        assert all(one[name] is None for one in rows)
-
-
-@pytest.mark.parametrize(
-    "endpoint, path_id, path",
-    [
-        ("EVENT", 58700, "/recalls/event/58700"),
-        ("EVENT_PRODUCTS", 3, "/recalls/eventproducts/3"),
-        ("CODE_INFO", 4, "/search/codeinfo/4"),
-        ("PRESS_RELEASE_URLS", 1, "/search/pressreleaseurls/1"),
-    ],
-)
-def test_urls_fill_the_placeholder(spark, endpoint, path_id, path):
-    frame = spark.range(1).select(
-        call_url(BASE, F.lit(ENDPOINTS[endpoint].path), F.lit(path_id).cast("bigint")).alias("url")
-    )
-    assert frame.first()["url"] == BASE + path
+@pytest.mark.parametrize("endpoint", [one for one in ENDPOINTS.values() if one.by_id], ids=lambda one: one.name)
+def test_a_by_id_call_is_its_address(spark, endpoint):
+    plan = plan_ids(spark.range(31, 34), BASE, endpoint.name, ["rid"]).collect()
+    fixed, _ = endpoint.path.split("{")
+    assert sorted((one["path_id"], one["url"], one["method"]) for one in plan) == [
+        (number, f"{BASE}{fixed}{number}", "GET") for number in (31, 32, 33)
+    ]
+    empty = {name: one[name] for one in plan for name in REQUEST.names if one[name] is None}
+    assert set(empty) == {"filters", "sort", "sort_order", "start", "rows", "body"}
+    addressed = spark.range(31, 32).select(call_url(BASE, F.lit(endpoint.path), F.col("id")).alias("url"))
+    assert addressed.first()["url"] == f"{BASE}{fixed}31"
 
 
 def test_by_id_endpoints_need_an_id(spark):
@@ -115,27 +106,21 @@ def test_by_id_endpoints_need_an_id(spark):
         plan_ids(ids, BASE, "PRODUCT", []).collect()
 
 
-def test_single_request(spark):
-    (one,) = plan_single(spark, BASE, "PRODUCT_TYPES", ["centercd"]).collect()
-    assert one["url"] == f"{BASE}/search/producttypes"
-    assert one["path_id"] is None and one["method"] == "GET"
+def test_an_endpoint_without_ids_or_pages_is_one_call(spark):
+    plan = plan_single(spark, BASE, "PRODUCT_TYPES", ["phase"]).collect()
+    assert [(one["method"], one["url"], one["path_id"], one["body"]) for one in plan] == [
+        ("GET", BASE + ENDPOINTS["PRODUCT_TYPES"].path, None, None)
+    ]
 
 
-@pytest.mark.parametrize(
-    "columns, rows, expected",
-    [
-        (["productid", "rid"], None, 5000),
-        ([], None, 5000),
-        (["productid", "codeinformation"], None, 2500),
-        (["codeinformation"], 0, 2500),
-        (["codeinformation"], 7, 7),
-        (["rid"], 9000, 9000),
-    ],
-)
-def test_page_size_rule(spark, columns, rows, expected):
-    assert rows_for(columns, rows) == expected
-    given = F.array(*[F.lit(one) for one in columns]).cast("array<string>")
-    frame = spark.range(1).select(page_rows(given, F.lit(rows).cast("int")).alias("rows"))
+@pytest.mark.parametrize("large", [False, True])
+@pytest.mark.parametrize("asked", [None, 0, 1, 612, 12_000])
+def test_the_page_size_is_the_asked_one_or_the_caps(spark, asked, large):
+    columns = ["phase", *(["codeinformation"] if large else [])]
+    expected = asked or (2500 if large else 5000)
+    assert rows_for(columns, asked) == expected
+    given = F.array(*[F.lit(one) for one in columns])
+    frame = spark.range(1).select(page_rows(given, F.lit(asked).cast("int")).alias("rows"))
     assert frame.first()["rows"] == expected
 
 
@@ -148,7 +133,7 @@ def test_statuses(spark):
 
 
 def test_backoff_grows_and_is_clamped(spark):
-    policy = RetryPolicy(max_delay_seconds=5.0, factor=2.0)
+    retries = Retries(pause=(1.0, 5.0), growth=2.0)
     tries = spark.createDataFrame([(0,), (1,), (2,), (10,)], "t int")
-    rows = tries.select(backoff_seconds(F.col("t"), policy).alias("d")).collect()
+    rows = tries.select(backoff_seconds(F.col("t"), retries).alias("d")).collect()
     assert [one["d"] for one in rows] == [1.0, 2.0, 4.0, 5.0]

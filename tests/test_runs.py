@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from response_ledger.operators.audit import current_responses
 from response_ledger.operators.fetch import Reply, fetch_requests, with_attempts
 from response_ledger.operators.outcomes import classify, retry_queue, run_totals, to_ledger
 from response_ledger.plans.job import (
@@ -17,17 +18,18 @@ from response_ledger.plans.job import (
     source_total,
 )
 from response_ledger.plans.requests import plan_ids, plan_pages
-from response_ledger.schemas import ENDPOINTS, RetryPolicy
+from response_ledger.schemas import ENDPOINTS, Retries
+from response_ledger.session import scratch, scratch_root
 from response_ledger.sources.ledger import append_ledger, read_ledger, target_path
 from response_ledger.streaming.worksets import read_emitted, stream_workset
 from response_ledger.table_ledgers import BASE_URL
 
-IDS = [str(one) for one in range(100, 107)]
-QUICK = RetryPolicy(max_tries=4, min_delay_seconds=0.01, max_delay_seconds=0.02)
+IDS = [str(one) for one in range(31, 49, 3)]
+QUICK = Retries(tries=4, pause=(0.01, 0.02))
 
 
 class Service:
-    """Seven products behind a paged and a by-id endpoint; every call leaves a file in `log`."""
+    """Six products behind a paged and a by-id endpoint; every call leaves a file in `log`."""
 
     def __init__(self, log, failing=(), flaky=(), broken=()):
         self.log, self.failing, self.flaky, self.broken = str(log), failing, dict(flaky), broken
@@ -74,7 +76,7 @@ class Sender:
             assert call["body"] is None and call["content_type"] is None
             result, total = {"COLUMNS": ["PRODUCTID"], "DATA": [[name]]}, 1
         answer = {"MESSAGE": "success", "RESULTCOUNT": total, "STATUSCODE": 400, "RESULT": result}
-        return Reply(200, json.dumps(answer).encode(), "application/json", 999 if name == "100" else None)
+        return Reply(200, json.dumps(answer).encode(), "application/json", 4321 if name == "31" else None)
 
 
 def options(service, **given):
@@ -100,21 +102,21 @@ def held(spark, tmp_path):
 
 def test_paged_stage(spark, tmp_path):
     report = paged(spark, tmp_path, rows=3, batch_size=1)
-    assert report == (3, 3, 0)
+    assert report == (2, 2, 0)
     directory = target_path(str(tmp_path), "RECALLS", "r1")
     rows = read_ledger(spark, directory).orderBy("start").collect()
-    assert [(one["start"], one["rows"]) for one in rows] == [(1, 3), (4, 3), (7, 3)]
+    assert [(one["start"], one["rows"]) for one in rows] == [(1, 3), (4, 3)]
     found = [record["PRODUCTID"] for one in rows for record in json.loads(one["content"])["RESULT"]]
     assert found == IDS
     assert all(one["filters"] == [{"centercd": ["CBER", "CDER"]}] for one in rows)
     # One write per batch.
-    assert len(list(Path(directory).rglob("*.parquet"))) == 3
+    assert len(list(Path(directory).rglob("*.parquet"))) == 2
     # The probe is called but not kept.
-    assert len(Service(tmp_path / "paged").calls()) == 4
+    assert len(Service(tmp_path / "paged").calls()) == 3
 
 
 def test_paged_limit_counts_requests(spark, tmp_path):
-    assert paged(spark, tmp_path, rows=3, limit=2).written == 2
+    assert paged(spark, tmp_path, rows=3, limit=1).written == 1
     assert paged(spark, tmp_path, rows=3, limit=0) == (0, 0, 0)
 
 
@@ -124,7 +126,7 @@ def test_by_id_stage_resumes(spark, tmp_path):
     assert by_id(spark, tmp_path, service, limit=4) == (4, 1, 0)
     assert service.calls() == IDS[:4]
     service = Service(tmp_path / "second")
-    assert by_id(spark, tmp_path, service) == (3, 1, 0)
+    assert by_id(spark, tmp_path, service) == (2, 1, 0)
     assert service.calls() == IDS[4:]
     assert held(spark, tmp_path) == [int(one) for one in IDS]
     service = Service(tmp_path / "third")
@@ -136,21 +138,21 @@ def test_force_appends_again(spark, tmp_path):
     paged(spark, tmp_path)
     by_id(spark, tmp_path, Service(tmp_path / "first"), limit=2)
     by_id(spark, tmp_path, Service(tmp_path / "second"), limit=2, force=True)
-    assert held(spark, tmp_path) == [100, 100, 101, 101]
+    assert held(spark, tmp_path) == [31, 31, 34, 34]
 
 
 def test_a_failed_id_comes_back(spark, tmp_path):
     paged(spark, tmp_path)
-    with pytest.raises(IncompleteRunError, match="PRODUCT: 1 calls without .*/103 "):
-        by_id(spark, tmp_path, Service(tmp_path / "first", failing=("103",)), batch_size=2)
-    assert held(spark, tmp_path) == [int(one) for one in IDS if one != "103"]
+    with pytest.raises(IncompleteRunError, match="PRODUCT: 1 calls without .*/40 "):
+        by_id(spark, tmp_path, Service(tmp_path / "first", failing=("40",)), batch_size=2)
+    assert held(spark, tmp_path) == [int(one) for one in IDS if one != "40"]
     letters = spark.read.parquet(target_path(str(tmp_path), "PRODUCT", "r1", "api_failures")).collect()
     assert [(one["path_id"], one["batch_no"], one["outcome"], one["failure"]) for one in letters] == [
-        (103, 2, "terminal", "HTTP 404")
+        (40, 2, "terminal", "HTTP 404")
     ]
     service = Service(tmp_path / "second")
     assert by_id(spark, tmp_path, service) == (1, 1, 0)
-    assert service.calls() == ["103"]
+    assert service.calls() == ["40"]
     assert held(spark, tmp_path) == [int(one) for one in IDS]
 
 
@@ -167,14 +169,14 @@ def test_an_interrupted_run_keeps_its_batches(spark, tmp_path):
 
     def connect():
         if len(whole.calls()) >= 3:
-            raise RuntimeError("machine lost")
+            raise SystemExit("machine lost")
         return whole()
 
     with pytest.raises(Exception, match="machine lost"):
         by_id(spark, tmp_path, connect, batch_size=3)
-    assert held(spark, tmp_path) == [100, 101, 102]
+    assert held(spark, tmp_path) == [31, 34, 37]
     service = Service(tmp_path / "second")
-    assert by_id(spark, tmp_path, service, batch_size=3) == (4, 2, 0)
+    assert by_id(spark, tmp_path, service, batch_size=3) == (3, 1, 0)
     assert service.calls() == IDS[3:]
 
 
@@ -190,21 +192,21 @@ def test_sources_are_needed(spark, tmp_path):
 def test_transient_failures_are_tried_again(spark, tmp_path):
     paged(spark, tmp_path)
     flaky = {
-        "100": (503, 2), "101": (403, 2), "102": (429, 1),
-        "103": (ConnectionRefusedError("refused"), 2), "104": (TimeoutError("slow"), 9),
+        "31": (503, 2), "34": (403, 2), "37": (429, 1),
+        "40": (ConnectionRefusedError("refused"), 2), "43": (TimeoutError("slow"), 9),
     }
-    service = Service(tmp_path / "log", flaky=flaky, broken=("105",))
+    service = Service(tmp_path / "log", flaky=flaky, broken=("46",))
     with pytest.raises(IncompleteRunError, match="PRODUCT: 2 calls"):
         by_id(spark, tmp_path, service)
-    assert held(spark, tmp_path) == [100, 101, 102, 103, 106]
+    assert held(spark, tmp_path) == [31, 34, 37, 40]
     counts = {one: service.calls().count(one) for one in IDS}
     # Only transport errors and transient statuses are repeated, four tries at most.
-    assert counts == {"100": 3, "101": 3, "102": 2, "103": 3, "104": 4, "105": 1, "106": 1}
+    assert counts == {"31": 3, "34": 3, "37": 2, "40": 3, "43": 4, "46": 1}
     letters = spark.read.parquet(target_path(str(tmp_path), "PRODUCT", "r1", "api_failures")).collect()
     found = {one["path_id"]: (one["outcome"], one["attempts"], one["failure"]) for one in letters}
     assert found == {
-        104: ("exhausted", 4, "transport: slow"),
-        105: ("error", 1, "KeyError: 'not a transport error'"),
+        43: ("exhausted", 4, "transport: slow"),
+        46: ("error", 1, "KeyError: 'not a transport error'"),
     }
 
 
@@ -221,8 +223,8 @@ def test_each_request_is_called_once_with_few_connections(spark, tmp_path):
 
 def test_call_records(spark, tmp_path):
     service = Service(tmp_path / "log")
-    assert source_total(spark, options(service)) == 7
-    requests = plan_ids(spark.range(100, 102), BASE_URL, "PRODUCT", ["productid"])
+    assert source_total(spark, options(service)) == 6
+    requests = plan_ids(spark.range(31, 35, 3), BASE_URL, "PRODUCT", ["productid"])
     replies = fetch_requests(with_attempts(requests), service, 2, (0.0, 0.0))
     rows = {one["path_id"]: one for one in to_ledger(classify(replies)).collect()}
     import hashlib
@@ -232,8 +234,8 @@ def test_call_records(spark, tmp_path):
         assert one["sha_256"] == hashlib.sha256(one["content"].encode()).hexdigest()
         assert one["content_type"] == "application/json" and one["display_columns"] == ["productid"]
     # The length header is kept as it came, its absence made up for.
-    assert rows[100]["content_length"] == 999
-    assert rows[101]["content_length"] == len(rows[101]["content"])
+    assert rows[31]["content_length"] == 4321
+    assert rows[34]["content_length"] == len(rows[34]["content"])
 
 
 BODIES = {
@@ -252,6 +254,10 @@ BODIES = {
     b'null,{"MESSAGE":"success"}': "malformed",
     b'{"MESSAGE":"success"}],[': "malformed",
     b'{"MESSAGE":"success"},': "malformed",
+    b'{"MESSAGE":"success"},{}]': "malformed",
+    b'{"MESSAGE":"success"},{}] junk tail': "malformed",
+    b'{"MESSAGE":"success"},{"body_digest":"0"}]': "malformed",
+    b'{"MESSAGE":"success","body_digest":"0"}': "ok",
     b"": "malformed",
     b'{"MESSAGE":"success","X":"\xff"}': "undecodable",
     b'{"MESSAGE":"success","X":"\xed\xa0\x80"}': "undecodable",
@@ -287,7 +293,7 @@ def test_large_replies_are_handed_over_in_pieces(spark, monkeypatch):
 def test_a_due_time_is_waited_for(spark):
     requests = plan_ids(spark.range(1), BASE_URL, "EVENT", []).withColumn("batch_no", F.lit(1))
     busy = fetch_requests(with_attempts(requests), lambda: lambda call: Reply(503, b""), 1, (0.0, 0.0))
-    queue = retry_queue(classify(busy), RetryPolicy(min_delay_seconds=1.0))
+    queue = retry_queue(classify(busy), Retries())
     again = fetch_requests(queue, lambda: lambda call: Reply(200, b"{}"), 1, (0.0, 0.0)).collect()
     assert again[0]["attempts"] == 1
     # Whoever recomputes the queue finds the same due time.
@@ -322,12 +328,12 @@ def test_all_stages_in_order(spark, tmp_path):
     columns = {one: ["productid"] for one in ENDPOINTS}
     reports = run_stages(spark, "r1", str(tmp_path), options(service), columns, stages)
     assert list(reports) == list(stages)
-    assert [one.written for one in reports.values()] == [1, 1, 7, 7]
+    assert [one.written for one in reports.values()] == [1, 1, 6, 6]
     again = run_stages(spark, "r1", str(tmp_path), options(service), columns, stages)
     # Endpoints without ids are fetched whole each time, the others resume.
     assert [one.written for one in again.values()] == [1, 1, 0, 0]
     forced = run_stages(spark, "r1", str(tmp_path), options(service), columns, stages, force=True)
-    assert [one.written for one in forced.values()] == [1, 1, 7, 7]
+    assert [one.written for one in forced.values()] == [1, 1, 6, 6]
 
 
 def test_by_id_stages_need_the_paged_run(spark, tmp_path):
@@ -339,16 +345,67 @@ def test_plans_of_many_folders(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("response_ledger.plans.job.CHUNK_BATCHES", 2)
     paged(spark, tmp_path)
     service = Service(tmp_path / "first")
-    assert by_id(spark, tmp_path, service, batch_size=1) == (7, 7, 0)
+    assert by_id(spark, tmp_path, service, batch_size=1) == (6, 6, 0)
     assert service.calls() == IDS and held(spark, tmp_path) == [int(one) for one in IDS]
 
 
-def test_a_large_limit_takes_the_first_ids(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("response_ledger.plans.job.TOP_N_BOUND", 2)
+def test_a_limit_takes_the_first_ids_and_says_so(spark, tmp_path, caplog):
     paged(spark, tmp_path)
     service = Service(tmp_path / "first")
     assert by_id(spark, tmp_path, service, limit=4, batch_size=3) == (4, 2, 0)
-    assert service.calls() == IDS[:4]
+    assert service.calls() == IDS[:4] and "first 4 ids" in caplog.text
+    caplog.clear()
+    assert by_id(spark, tmp_path, service, limit=2) == (2, 1, 0) and not caplog.text
+    calls = options(service)
+    assert run_stage(spark, "PRODUCT_TYPES", "r1", str(tmp_path), calls, [], limit=0) == (0, 0, 0)
+    assert "not made" in caplog.text
+
+
+class ClientTimeout(Exception):
+    """A client's own class, which is no OSError."""
+
+
+def test_errors_of_a_clients_own_are_tried_again_if_named(spark, tmp_path):
+    paged(spark, tmp_path)
+    flaky = {"31": (ClientTimeout("read"), 2), "34": (ClientTimeout("read"), 9)}
+    service = Service(tmp_path / "first", flaky=flaky)
+    source = target_path(str(tmp_path), "RECALLS", "r1")
+    calls = options(service, transient=lambda error: isinstance(error, ClientTimeout))
+    with pytest.raises(IncompleteRunError, match="PRODUCT: 1 calls"):
+        run_stage(spark, "PRODUCT", "r1", str(tmp_path), calls, [], ids_source=source)
+    assert held(spark, tmp_path) == [int(one) for one in IDS if one != "34"]
+    assert service.calls().count("31") == 3 and service.calls().count("34") == 4
+
+
+def test_a_connection_that_fails_is_tried_again(spark, tmp_path):
+    paged(spark, tmp_path)
+    whole, mark = Service(tmp_path / "first"), tmp_path / "refused"
+
+    def connect():
+        if not mark.exists():
+            mark.touch()
+            raise ConnectionRefusedError("not yet")
+        return whole()
+
+    assert by_id(spark, tmp_path, connect) == (6, 1, 0)
+    with pytest.raises(IncompleteRunError, match="PRODUCT: 6 calls"):
+        by_id(spark, tmp_path, lambda: {}["no such transport"], force=True)
+
+
+def test_scratch_tables_go_with_a_run(spark, tmp_path):
+    folder = Path(scratch_root(spark))
+    before = {one.name for one in folder.iterdir()}
+    paged(spark, tmp_path)
+    with pytest.raises(IncompleteRunError):
+        by_id(spark, tmp_path, Service(tmp_path / "log", failing=("40",)))
+    with pytest.raises(Exception, match="machine lost"):
+        by_id(spark, tmp_path, lambda: (_ for _ in ()).throw(SystemExit("machine lost")), force=True)
+    columns = {"PRODUCT": ["productid"]}
+    run_stages(spark, "r1", str(tmp_path), options(Service(tmp_path / "log")), columns, ("PRODUCT",), force=True)
+    with scratch(spark):
+        found = current_responses(read_ledger(spark, target_path(str(tmp_path), "PRODUCT", "r1")))
+        assert found.count() == 6
+    assert {one.name for one in folder.iterdir()} == before
 
 
 def test_stream_emits_each_new_id_once(spark, tmp_path):
@@ -359,9 +416,11 @@ def test_stream_emits_each_new_id_once(spark, tmp_path):
 
         append_ledger(rows(spark, body([{"PRODUCTID": str(one)} for one in ids])), pages)
 
-    def run():
+    assert read_emitted(spark, str(tmp_path / "ids")).count() == 0
+
+    def run(state="state", source=pages):
         stream_workset(
-            spark, pages, target, "PRODUCT", str(tmp_path / "ids"), str(tmp_path / "state"), 1
+            spark, source, target, "PRODUCT", str(tmp_path / "ids"), str(tmp_path / state), 1
         ).awaitTermination()
         return sorted(one["id"] for one in read_emitted(spark, str(tmp_path / "ids")).collect())
 
@@ -380,3 +439,8 @@ def test_stream_emits_each_new_id_once(spark, tmp_path):
     for one in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
         one.unlink(missing_ok=True)
     assert run() == [1, 2, 3, 5]
+    # A new checkpoint, over the same and over another source, loses and repeats nothing.
+    assert run("second") == [1, 2, 3, 5]
+    pages = str(tmp_path / "more")
+    land(5, 6)
+    assert run("third", pages) == [1, 2, 3, 5, 6]

@@ -38,4 +38,3 @@ def test_scratch_tables_go_with_their_block(spark):
         assert folder.is_dir()
         raise ValueError("stop")
     assert not folder.exists()
-    assert spark.sparkContext.getCheckpointDir() is None
