@@ -317,7 +317,8 @@ def links(documents: DataFrame, classes: DataFrame, families: DataFrame, words:
         ).alias("blocks")
     )
     wanted = landed(rows.join(sizes, "family"), "families")
-    texts = documents.select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
+    # One plan for any size: left to itself Spark broadcasts a small family table.
+    texts = documents.select(F.col("doc_id").alias("node"), "text").join(wanted.hint("merge"), "node")
     schema = "node long, family long, blocks long, shingles binary"
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,4 +392,4 @@ def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85, tex
 def without_near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """`documents` less all but one document of each group; of rows that share a doc_id one stays."""
     dropped = near_duplicates(documents, words, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(dropped, "doc_id", "left_anti").select(*documents.columns)
+    return documents.join(dropped.hint("merge"), "doc_id", "left_anti").select(*documents.columns)
