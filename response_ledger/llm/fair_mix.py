@@ -151,16 +151,18 @@ def mix(
     kept = [c for c in documents.columns if c not in ADDED and (keep_text or c != text)]
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     marked = documents.withColumn("size", n_words(text))
-    # Sizes are counted once; rows equal in all columns may swap places without a trace.
-    rows = landed(
-        marked.select(*kept, "size", key.alias("__key"), F.xxhash64(*kept).alias("__tie")), "sized"
-    )
-    targets = landed(source_targets(rows, weights, share), "targets")
+    # Rows equal in all columns may swap places without a trace.
+    rows = marked.select(*kept, "size", key.alias("__key"), F.xxhash64(*kept).alias("__tie"))
+    # Sizes are counted once and written; where texts are to be kept, they are counted again
+    # instead of writing the texts.
+    narrow = landed(rows.select("source", "size", "__key", "__tie") if keep_text else rows, "sized")
+    rows = rows if keep_text else narrow
+    targets = landed(source_targets(narrow, weights, share), "targets")
     total = targets.agg(F.sum("source_rows").alias("rows"), F.max("budget").alias("budget")).first()
     times = queued(rows, targets)
     if not total["budget"]:
         return times.select(*kept, "size", "source_size", "target", F.lit(0).alias("copies"), F.lit(0).cast("bigint").alias("taken"))
-    last = cut_off(queued(rows.select("source", "size", "__key", "__tie"), targets), total["budget"], total["rows"])
+    last = cut_off(queued(narrow.select("source", "size", "__key", "__tie"), targets), total["budget"], total["rows"])
     if last is None:
         hits = [finish(n).isNotNull() for n in range(PASSES)]
     else:

@@ -120,14 +120,16 @@ def judge(documents: DataFrame, text: str = "text", host: str = "source", keep_t
     `documents` with the `MEASURES`, `base_failed`, the `host_rate` of its host, and `kept`:
     it passes the base rules and its host is not rejected.
 
-    The measured rows are written once. The hosts' table is written, too, so the join sees
-    its true size: Spark broadcasts it below its threshold, and beyond that sorts and splits
-    a host that holds much of all rows.
+    The measures are written once and serve both the rates and the verdicts; where texts are
+    to be kept, they are measured again instead, so that no text is written or moved. The
+    hosts' table is written, so the join sees its true size: Spark broadcasts it below its
+    threshold, and beyond that sorts and splits a host that holds much of all rows.
     """
     measured = measure(documents, text)
-    measured = evaluated(measured if keep_text else measured.drop(text), "measured")
-    rates = landed(host_rates(measured, host).select(F.col(host).alias("__host"), "host_rate"), "rates")
-    joined = measured.join(rates, F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
+    narrow = evaluated(measured.select(host, *MEASURES) if keep_text else measured.drop(text), "measured")
+    rates = landed(host_rates(narrow, host).select(F.col(host).alias("__host"), "host_rate"), "rates")
+    rows = measured if keep_text else narrow
+    joined = rows.join(rates, F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & (F.col("host_rate") <= MAX_HOST_RATE)
     )

@@ -3,8 +3,8 @@ Near-duplicates by MinHash bands, verified by odd sketches and confirmed on full
 
 1. Each whole text becomes its set of word shingles, hashed to 64 bits. Texts with the same
    set are one class from here on, so exact copies cost one row each.
-2. A class gets `SAMPLES` MinHashes: `BANDS` bands of `BAND_ROWS` of them are its buckets, and all
-   of them, folded by parity into `SKETCH_BITS` bits, its odd sketch. The population count of
+2. A class gets `SAMPLES` MinHashes: bands of `band_rows` of them are its buckets, and all of
+   them, folded by parity into `SKETCH_BITS` bits, its odd sketch. The population count of
    the XOR of two sketches tells a high similarity precisely.
 3. Inside a bucket, classes are compared by sketch in blocks of at most some hundred, a pair of
    blocks a task's unit of work. Of the pairs alike enough only a spanning forest is written.
@@ -14,8 +14,8 @@ Near-duplicates by MinHash bands, verified by odd sketches and confirmed on full
 5. The components of the links are the groups.
 
 Nothing is dropped: a bucket or family of any size is worked off in blocks. A pair at the
-similarity threshold shares no band with probability (1 - s^r)^b, and is missed by the sketch
-beyond `SIGMAS` standard deviations: 1e-6 each at 0.85 with the values below.
+similarity threshold shares no band with probability (1 - s^r)^b, which `BAND_MISS` bounds, and
+is missed by the sketch beyond `SIGMAS` standard deviations, 1e-6.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; fewer words
 than a shingle has make one shingle; rows that share a doc_id count as one document and are
@@ -37,8 +37,8 @@ from response_ledger.llm.components import connected_components
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
 
-BANDS, BAND_ROWS = 36, 7
-SAMPLES = BANDS * BAND_ROWS
+SAMPLES = 252
+BAND_MISS = 5e-6
 SKETCH_BITS = 512
 SIGMAS = 4.75
 BUCKET_BLOCK = 512
@@ -116,15 +116,22 @@ class Shingler:
         return found
 
 
+def band_rows(similarity: float) -> int:
+    """The most MinHashes a band can have for pairs of this similarity to share one."""
+    rows = (r for r in range(SAMPLES, 0, -1) if SAMPLES % r == 0)
+    return next(r for r in rows if r == 1 or (1 - similarity**r) ** (SAMPLES // r) <= BAND_MISS)
+
+
 class Sketcher:
     """MinHash bands and odd sketches of shingle sets."""
 
-    def __init__(self) -> None:
+    def __init__(self, rows: int) -> None:
         rng = np.random.default_rng(21)
+        self.rows, self.bands = rows, SAMPLES // rows
         self.turn = rng.integers(0, 1 << 32, (SAMPLES, 1), np.uint32)
         self.factor = rng.integers(0, 1 << 32, (SAMPLES, 1), np.uint32) | np.uint32(1)
-        self.combine = rng.integers(0, 1 << 63, BAND_ROWS, np.uint64) | np.uint64(1)
-        self.band = rng.integers(0, 1 << 63, BANDS, np.uint64)
+        self.combine = rng.integers(0, 1 << 63, rows, np.uint64) | np.uint64(1)
+        self.band = rng.integers(0, 1 << 63, self.bands, np.uint64)
         self.sample = rng.integers(0, 1 << 63, SAMPLES, np.uint64)
 
     def samples(self, hashes: np.ndarray) -> np.ndarray:
@@ -136,7 +143,7 @@ class Sketcher:
         return least
 
     def buckets(self, samples: np.ndarray) -> np.ndarray:
-        rows = samples.astype(np.uint64).reshape(len(samples), BANDS, BAND_ROWS)
+        rows = samples.astype(np.uint64).reshape(len(samples), self.bands, self.rows)
         return mixed((rows * self.combine).sum(2, dtype=np.uint64) + self.band).view(np.int64)
 
     def sketches(self, samples: np.ndarray) -> np.ndarray:
@@ -163,7 +170,7 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     )
 
 
-def features(documents: DataFrame, words: int, text: str = "text") -> DataFrame:
+def features(documents: DataFrame, words: int, rows: int, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, buckets, sketch) of every whole text."""
     source = documents.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     doc_type = source.schema["doc_id"].dataType.simpleString()
@@ -172,7 +179,7 @@ def features(documents: DataFrame, words: int, text: str = "text") -> DataFrame:
     )
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, sketcher = Shingler(words), Sketcher()
+        shingler, sketcher = Shingler(words), Sketcher(rows)
         for batch in batches:
             for first, last, texts in text_portions(batch.column(1), PORTION):
                 sets = shingler.sets(texts)
@@ -185,7 +192,7 @@ def features(documents: DataFrame, words: int, text: str = "text") -> DataFrame:
                     pa.array([a for a, _ in ids], pa.int64()),
                     pa.array([b for _, b in ids], pa.int64()),
                     pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS),
+                        pa.array(np.arange(len(sets) + 1, dtype=np.int32) * sketcher.bands),
                         pa.array(buckets.reshape(-1)),
                     ),
                     pa.array([row.tobytes() for row in sketches], pa.binary()),
@@ -359,7 +366,7 @@ def links(documents: DataFrame, classes: DataFrame, families: DataFrame, words:
 def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85, text: str = "text") -> DataFrame:
     """Per row of `documents`: doc_id, n_shingles, component_id and whether it is the one kept."""
     documents = documents.select("doc_id", F.col(text).alias("text"))
-    rows = evaluated(features(documents, words), "features")
+    rows = evaluated(features(documents, words, band_rows(percent / 100)), "features")
     sets = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     key = ["n_shingles", "set_a", "set_b"]
     least = F.min(F.struct("doc_id", "buckets", "sketch")).alias("one")

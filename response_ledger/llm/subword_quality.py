@@ -61,14 +61,14 @@ def sparse(text: str, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndar
     counts, again = Counter(words), repeats(words)
     total = len(words) + again
     if not total:
-        return np.empty(0, np.int64), np.empty(0, np.float32)
+        return np.empty(0, np.int32), np.empty(0, np.float32)
     for word in counts.keys() - known.keys():
         known[word] = buckets(word)
     parts = [known[word] for word in counts]
     each = np.repeat([n / len(p) / total for n, p in zip(counts.values(), parts)], [len(p) for p in parts])
     places = np.concatenate([*parts, [_REPEAT]])
     distinct, place = np.unique(places, return_inverse=True)
-    return distinct, np.bincount(place, np.append(each, again / total)).astype(np.float32)
+    return distinct.astype(np.int32), np.bincount(place, np.append(each, again / total)).astype(np.float32)
 
 
 @dataclass

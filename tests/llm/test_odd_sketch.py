@@ -72,7 +72,7 @@ def test_one_document_of_each_group_stays(spark):
 
 def test_sketches_estimate_high_similarities():
     rng = np.random.default_rng(5)
-    sketcher = odd_sketch.Sketcher()
+    sketcher = odd_sketch.Sketcher(7)
     for similarity in (0.85, 0.95):
         differ = []
         for _ in range(60):
@@ -110,3 +110,8 @@ def test_forests_reach_all_that_is_connected():
             for j in np.flatnonzero(alike[i]):
                 assert labels[i] == labels[j]
         assert all(min(group) == root for root, group in parent.items())
+
+
+def test_bands_miss_next_to_nothing():
+    assert [odd_sketch.band_rows(similarity) for similarity in (0.95, 0.85, 0.8, 0.5, 0.01)] == [12, 7, 6, 2, 1]
+    assert (1 - 0.8**6) ** 42 <= odd_sketch.BAND_MISS
