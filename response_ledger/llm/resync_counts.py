@@ -28,14 +28,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from response_ledger.llm.splitting import Splitter, portions
+from response_ledger.llm.batches import LONG_TEXT_ROWS, evaluated
+from response_ledger.llm.splitting import Splitter, text_portions
 from response_ledger.session import landed
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 256
 WIDEN = 4
 PORTION = 1 << 20
-KEPT_PIECES = 300_000
+KEPT_PIECES = 150_000
+# Pieces the library encodes at once; its results are large.
+LIBRARY_PIECES = 2_048
 # An ending behind an apostrophe has two letters; one more shows that a run is over.
 LOOK_AHEAD = 4
 
@@ -55,8 +58,13 @@ class PieceCounter:
         if len(self.known) > self.kept:
             self.known.clear()
         new = list(pieces.difference(self.known))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, map(len, found)))
+        for i in range(0, len(new), LIBRARY_PIECES):
+            some = new[i : i + LIBRARY_PIECES]
+            self.known.update(zip(some, self._encoded(some)))
+
+    def _encoded(self, pieces: list[str]) -> list:
+        """What is kept of each piece's encoding."""
+        return list(map(len, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)))
 
     def _sections(self, text: str) -> list[str]:
         """A text cut around special strings: what is between them, and they, in turns."""
@@ -89,15 +97,13 @@ class PieceCounter:
 
     def counts(self, texts: list[str]) -> list[int]:
         """The tokens of whole texts."""
-        counts: list[int] = []
-        for first, last in portions(texts, PORTION):
-            sections = [self._sections(text) for text in texts[first:last]]
-            cut = self.splitter.pieces([part for one in sections for part in one[::2]])
-            self._learn(set().union(*cut))
-            place = iter(cut)
-            for one in sections:
-                plain = sum(sum(map(self.known.__getitem__, next(place))) for _ in one[::2])
-                counts.append(plain + len(one) // 2)
+        sections = [self._sections(text) for text in texts]
+        cut = self.splitter.pieces([part for one in sections for part in one[::2]])
+        self._learn(set().union(*cut))
+        place, counts = iter(cut), []
+        for one in sections:
+            plain = sum(sum(map(self.known.__getitem__, next(place))) for _ in one[::2])
+            counts.append(plain + len(one) // 2)
         return counts
 
 
@@ -212,10 +218,11 @@ def count_long(long_texts: DataFrame, tokenizer_path: str, chunk: int, overlap:
     if overlap > chunk:
         raise ValueError("an overlap can't be wider than a chunk")
     tasks = long_texts.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    chunks = cut_chunks(long_texts, chunk, overlap).repartition(int(tasks), "__row", "start")
+    chunks = evaluated(cut_chunks(long_texts, chunk, overlap), "cut", LONG_TEXT_ROWS)
+    chunks = chunks.repartition(int(tasks), "__row", "start")
     counted = None
     while True:
-        spliced = landed(splice(landed(encode_chunks(chunks, tokenizer_path), "chunks")), "spliced")
+        spliced = landed(splice(evaluated(encode_chunks(chunks, tokenizer_path), "chunks", LONG_TEXT_ROWS)), "spliced")
         failed = spliced.where(F.col("to_tokens").isNull()).select("__row").distinct()
         sums = (
             spliced.join(failed, "__row", "left_anti").groupBy("__row")
@@ -245,7 +252,8 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(tokenizer_path)
         for batch in batches:
-            counts = counter.counts(batch.column(2).to_pylist())
+            texts = text_portions(batch.column(2), PORTION)
+            counts = [n for _, _, some in texts for n in counter.counts(some)]
             columns = [batch.column(0), batch.column(1), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens"])
 
@@ -260,5 +268,6 @@ def count_tokens(
     )
     counted = count_long(long_texts, tokenizer_path, chunk, overlap)
     joined = long_texts.select("__row", "doc_id", n_bytes).join(counted, "__row")
+    short = evaluated(short, "short")
     both = short.unionByName(joined.select("doc_id", "n_bytes", "n_tokens"))
     return both.withColumn("over_limit", F.col("n_tokens") > limit)
