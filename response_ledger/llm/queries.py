@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from response_ledger.llm import (
-    byte_bpe, fair_mix, host_rules, odd_sketch, oracles, prefix_forest, resync_counts,
-    sentence_spans, subword_quality, toxicity_cnn,
+    byte_bpe, fair_mix, host_rules, mixing_coder, odd_sketch, oracles, prefix_forest,
+    resync_counts, sentence_spans, subword_quality, toxicity_cnn,
 )
 from response_ledger.llm.batches import evaluated
 
@@ -44,6 +44,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluated(byte_bpe.digests(byte_bpe.round_trip(documents, ranks)), "digests")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    segments = mixing_coder.write_tokens(documents, public_tokenizers.path("byte_bpe_50k.json"))
+    return mixing_coder.read_tokens(segments, with_ids=False)
+
+
 def op7_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return fair_mix.mix(documents, keep_text=False).select(
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_sentence_spans": op4_sentence_spans,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_token_files": op6_token_files,
     "op7_fair_mix": op7_fair_mix,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
