@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from response_ledger.llm.batches import evaluated
 from response_ledger.llm.labelled import held_out, platt, sample, sigmoid
+from response_ledger.llm.odd_sketch import mixed
 from response_ledger.llm.splitting import text_portions
 
 SAMPLE_ROWS = 2_000
@@ -38,17 +39,31 @@ PORTION = 1 << 20
 KEPT_WORDS = 200_000
 # Bucket 0 is the repeated word's.
 _REPEAT = 0
-
-
-def buckets(word: str) -> np.ndarray:
-    """The buckets of a word and its character n-grams."""
-    marked = f"<{word}>"
-    parts = [marked]
+_FACTOR = np.uint64(0x100000001B3)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """
+    (place of the word, bucket) of every word and of every character n-gram of every word. The
+    n-grams of all words are hashed at once, as sliding windows over their code points.
+    """
+    marked = [f"<{word}>" for word in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(one) for one in marked], np.int64)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    whole = np.fromiter((zlib.crc32(one.encode()) for one in marked), np.uint64, len(words))
+    owners, hashes = [np.arange(len(words))], [whole]
     for n in GRAMS:
-        if len(marked) > n:
-            parts.extend(marked[i : i + n] for i in range(len(marked) - n + 1))
-    crc = zlib.crc32
-    return np.array([1 + crc(part.encode()) % (BUCKETS - 1) for part in parts], np.int64)
+        last = len(codes) - n + 1
+        if last > 0:
+            inside = (owner[:last] == owner[n - 1 :]) & (sizes[owner[:last]] > n)
+            total = np.full(last, n, np.uint64)
+            for k in range(n):
+                total = total * _FACTOR + codes[k : last + k]
+            owners.append(owner[:last][inside])
+            hashes.append(mixed(total[inside]))
+    found = np.concatenate(hashes) % np.uint64(BUCKETS - 1)
+    return np.concatenate(owners), found.astype(np.int64) + 1
 
 
 def repeats(words: list[str]) -> int:
@@ -62,8 +77,10 @@ def sparse(text: str, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndar
     total = len(words) + again
     if not total:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    for word in counts.keys() - known.keys():
-        known[word] = buckets(word)
+    new = list(counts.keys() - known.keys())
+    owner, bucket = features(new)
+    order = np.argsort(owner, kind="stable")
+    known.update(zip(new, np.split(bucket[order], np.cumsum(np.bincount(owner, minlength=len(new)))[:-1])))
     parts = [known[word] for word in counts]
     each = np.repeat([n / len(p) / total for n, p in zip(counts.values(), parts)], [len(p) for p in parts])
     places = np.concatenate([*parts, [_REPEAT]])
@@ -146,11 +163,9 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
                     known.clear()
                 words = [text.split() for text in texts]
                 new = list(set().union(*words).difference(known))
-                parts = [buckets(word) for word in new]
-                if parts:
-                    sizes = np.array([len(part) for part in parts])
-                    sums = np.add.reduceat(model.folded[np.concatenate(parts)], np.cumsum(sizes) - sizes)
-                    known.update(zip(new, (sums / sizes).tolist()))
+                owner, bucket = features(new)
+                sums = np.bincount(owner, model.folded[bucket], len(new))
+                known.update(zip(new, (sums / np.bincount(owner, minlength=len(new))).tolist()))
                 for one in words:
                     again = repeats(one)
                     total = sum(map(known.__getitem__, one)) + again * repeat
