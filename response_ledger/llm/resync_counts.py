@@ -20,6 +20,7 @@ A null text counts as empty. Each row is counted on its own, repeated doc_ids in
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,6 +48,8 @@ class PieceCounter:
     """How many tokens the library makes of a piece; known pieces are kept."""
 
     def __init__(self, tokenizer_path: str, kept: int = KEPT_PIECES) -> None:
+        # A task has one core; the library would start a thread, with memory of its own, for each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.splitter, self.kept = Splitter(), kept
         self.known: dict[str, int] = {}
@@ -139,8 +142,9 @@ def encode_chunks(chunks: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = PieceCounter(tokenizer_path)
+        counter = None
         for batch in batches:
+            counter = counter or PieceCounter(tokenizer_path)  # not for a task without rows
             rows = []
             for one in batch.itertuples(index=False):
                 at, before = counter.boundaries(one.text)
@@ -217,9 +221,9 @@ def count_long(long_texts: DataFrame, tokenizer_path: str, chunk: int, overlap:
     """(__row, text) of huge texts to (__row, n_tokens)."""
     if overlap > chunk:
         raise ValueError("an overlap can't be wider than a chunk")
-    tasks = long_texts.sparkSession.conf.get("spark.sql.shuffle.partitions")
     chunks = evaluated(cut_chunks(long_texts, chunk, overlap), "cut", LONG_TEXT_ROWS)
-    chunks = chunks.repartition(int(tasks), "__row", "start")
+    # Without a number of partitions Spark joins small ones, as those of a later round.
+    chunks = chunks.repartition("__row", "start")
     counted = None
     while True:
         spliced = landed(splice(evaluated(encode_chunks(chunks, tokenizer_path), "chunks", LONG_TEXT_ROWS)), "spliced")
@@ -235,7 +239,7 @@ def count_long(long_texts: DataFrame, tokenizer_path: str, chunk: int, overlap:
         again = long_texts.select("__row", "text").join(ranges, "__row")
         text = F.expr("substring(text, int(start + 1), int(stop + overlap - start))")
         chunks = again.select("__row", "start", "stop", "overlap", "last", text.alias("text"))
-        chunks = chunks.repartition(int(tasks), "__row", "start")
+        chunks = chunks.repartition("__row", "start")
 
 
 def count_tokens(
@@ -250,8 +254,9 @@ def count_tokens(
     is_long = F.length("text") > chunk
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(tokenizer_path)
+        counter = None
         for batch in batches:
+            counter = counter or PieceCounter(tokenizer_path)
             texts = text_portions(batch.column(2), PORTION)
             counts = [n for _, _, some in texts for n in counter.counts(some)]
             columns = [batch.column(0), batch.column(1), pa.array(counts, pa.int64())]
