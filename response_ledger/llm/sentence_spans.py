@@ -120,8 +120,8 @@ class Sentences:
         ((starts, runs),) = self.find([text])
         run_at = np.array(places, np.int64)
         run_at = run_at[(run_at < len(runs))]
-        wanted = dict(zip(places, hashes))
-        run_at = np.array([p for p in run_at.tolist() if runs[p] == wanted[p]], np.int64)
+        wanted = set(zip(places, hashes))
+        run_at = np.array([p for p in run_at.tolist() if (p, int(runs[p])) in wanted], np.int64)
         if not len(run_at):
             return text, len(starts), 0
         _, _, word_starts, _, _ = self.hasher.words_of([raw])
@@ -132,36 +132,43 @@ class Sentences:
 
 
 def runs(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, runs): the hashes of each whole text's runs, by position of their first sentence."""
-    source = documents.where(F.col(text).isNotNull()).select("doc_id", F.col(text).alias("text"))
+    """(doc_id, digest, runs): the hashes of each whole text's runs, by position of their first sentence."""
+    source = documents.where(F.col(text).isNotNull()).select(
+        "doc_id", F.xxhash64(text).alias("digest"), F.col(text).alias("text")
+    )
     doc_type = source.schema["doc_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences = Sentences()
         for batch in batches:
-            for first, last, texts in text_portions(batch.column(1), PORTION):
+            for first, last, texts in text_portions(batch.column(2), PORTION):
                 found = [one for _, one in sentences.find(texts)]
                 offsets = np.zeros(len(found) + 1, np.int32)
                 np.cumsum([len(one) for one in found], out=offsets[1:])
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
-                columns = [batch.column(0).slice(first, last - first), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "runs"])
+                columns = [*batch.slice(first, last - first).columns[:2], lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "runs"])
 
-    return source.mapInArrow(hashed, f"doc_id {doc_type}, runs array<long>")
+    return source.mapInArrow(hashed, f"doc_id {doc_type}, digest long, runs array<long>")
 
 
 def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, places, hashes): the runs of each document that are not the first of their kind."""
+    """
+    (doc_id, digest, places, hashes): the runs of each text that are not the first of their
+    kind. Rows may share a doc_id or have none, so the digest of the text tells them apart.
+    """
     known = evaluated(runs(documents, text), "runs")
-    each = known.select("doc_id", F.posexplode("runs").alias("place", "run"))
+    each = known.select("doc_id", "digest", F.posexplode("runs").alias("place", "run"))
     often = each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
     # Written, so that what follows reads few rows and the joins see its size.
     again = landed(each.join(often.hint("merge"), "run"), "again")
     order = F.struct(F.col("doc_id").isNotNull().alias("a"), F.col("doc_id").alias("b"), F.col("place").alias("c"))
     first = landed(again.groupBy("run").agg(F.min(order).alias("first")), "first")
     later = again.join(first, "run").where(order != F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_list(F.struct("place", "run")).alias("later")).select(
-        "doc_id", F.col("later.place").alias("places"), F.col("later.run").alias("hashes")
+    # Equal rows have equal runs: made distinct first, so that a list is never longer than its text.
+    later = later.select("doc_id", "digest", "place", "run").distinct()
+    return later.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("place", "run")).alias("later")).select(
+        "doc_id", "digest", F.col("later.place").alias("places"), F.col("later.run").alias("hashes")
     )
 
 
@@ -171,10 +178,12 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
     `n_removed` of each text. Rows and other columns stay as they are.
     """
     kept = [c for c in documents.columns if c not in ADDED]
-    later = later_runs(documents, text).withColumnRenamed("doc_id", "__doc")
+    later = later_runs(documents, text).withColumnsRenamed({"doc_id": "__doc", "digest": "__digest"})
     # One plan for any size: left to itself Spark broadcasts a small table of runs.
     joined = documents.select(*kept).join(
-        later.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")), "left"
+        later.hint("merge"),
+        F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__digest")),
+        "left",
     ).select(*kept, "places", "hashes")
     fields = documents.select(*kept).schema.fields
     fields += [T.StructField(name, T.LongType()) for name in ADDED]

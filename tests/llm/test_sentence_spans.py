@@ -92,3 +92,24 @@ def test_emptied_documents_go_and_empty_tables_stay(spark):
     documents = spark.createDataFrame([(1, text), (2, text), (3, ""), (4, None)], "doc_id long, text string")
     assert sorted(row["doc_id"] for row in sentence_spans.cleaned_documents(documents).collect()) == [1, 3, 4]
     assert sentence_spans.without_repeats(documents.limit(0)).collect() == []
+
+
+def test_rows_that_share_an_id_or_have_none_lose_their_own_repeats(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    prose = lambda n: " ".join(word() + (". " if i % 6 == 5 else "") for i in range(n))
+    passages = [prose(30) for _ in range(4)]
+    rows = [(1, " ".join(passages))]
+    rows += [(5, f"{passage} {prose(30)}") for passage in passages[:2]]
+    rows += [(5, rows[1][1])] * 3
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sentence_spans.without_repeats(documents).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(rows)
+    assert sorted(row["n_removed"] for row in found) == [0] + [5] * 5
+    # A row without id comes first, so the passages stand there a second time, at other places.
+    rows = [(None, f"{passages[0]} {passages[1]} {prose(30)} {passages[0]} {prose(30)}")]
+    rows += [(None, f"{prose(30)} {prose(30)} {prose(30)} {passages[1]}"), (7, "x")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sentence_spans.without_repeats(documents).collect()
+    assert sorted(map(tuple, found), key=repr) == expected(rows)
+    assert sorted(row["n_removed"] for row in found) == [0, 5, 5]
