@@ -92,12 +92,16 @@ class Shingler:
         # A word's hash: its bytes' numbers times powers of the base, from prefix sums.
         self._grow(len(buffer))
         sums = np.cumsum(self.of_byte[buffer] * self.powers[: len(buffer)], dtype=np.uint64)
-        edges = np.diff(space.astype(np.int8), prepend=1)
-        starts, stops = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        starts, stops = self.word_edges(buffer, space)
         before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
         hashes = mixed((sums[stops - 1] - before) * self.inverses[starts])
         return buffer, ends, starts, stops, hashes
 
+    def word_edges(self, buffer: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words begin and end: between white space."""
+        edges = np.diff(space.astype(np.int8), prepend=1)
+        return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+
     def sets(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's distinct shingle hashes, sorted."""
         _, ends, starts, _, hashes = self.words_of([t.encode() for t in texts])

@@ -5,10 +5,16 @@ of its kind are removed.
 
 A sentence ends with a word that has a mark of `MARKS` behind its last letter or digit, or at
 a line feed; marks inside sentences count, too, so that a passage pasted into a sentence loses
-little at its edges. A run is at least `RUN` sentences and as many more as make `RUN_WORDS` words;
-a text with fewer sentences is one run if it has the words. Runs are alike if their words are,
-A-Z in either case, whatever white space is between them. The first of a kind is the one
-with the least (doc_id, position).
+little at its edges. A character of a script written without spaces is a word, and so is a
+mark of such a script.
+
+A run is at least `RUN` sentences and as many more as make `RUN_WORDS` words; one or two sentences
+are a run if they have `FEW_WORDS` words; a text with fewer sentences than `RUN` is one run if it has
+`RUN_WORDS`. For passages with fewer whole sentences, any `PASSAGE_WORDS` words that hold no run of
+`RUN` sentences, and do not begin with the same word twice, are a run, too; it counts where no
+repeated run of sentences overlaps it. Runs are alike if their words are, A-Z in either case,
+whatever white space is between them. The first of a kind is the one with the least (doc_id,
+position), and a sentence counts as removed if any word of it is.
 
 Counting comes first, by partial aggregates of hashes alone. Only occurrences of repeated runs
 go on, and these join on the hash, which Spark splits where one run makes up much of all.
@@ -21,6 +27,7 @@ an empty table gives no rows. Input columns with the name of an output column ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +42,88 @@ from response_ledger.session import landed
 
 RUN = 3
 RUN_WORDS = 12
+FEW_WORDS = 40
+PASSAGE_WORDS = 51
 MARKS = b".!?,;:|"
+# Full stops, question marks, commas and the like of other scripts.
+WIDE_MARKS = "。．、，！？：；｡､︒︑؟،؛۔।॥։።፣၊။។៕…"
 PORTION = 1 << 20
 ADDED = ("n_sentences", "n_removed")
 
 _ALNUM = np.array([chr(b).isalnum() or b >= 0x80 for b in range(128)] + [True] * 128)
 _MARK = np.zeros(256, bool)
 _MARK[list(MARKS)] = True
+# Leading bytes, with the least and greatest byte behind them, of the characters that scripts
+# without spaces are written in: Thai and Lao, Burmese, Khmer, then kana, Han and full width.
+_WIDE = (
+    (0xE0, 0xB8, 0xBB), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), *((b, 0x80, 0xBF) for b in range(0xE3, 0xEA)),
+    (0xEF, 0xBC, 0xBF), (0xF0, 0xA0, 0xB3),
+)
+
+
+def wide_marks(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of `WIDE_MARKS`: where each mark begins, and how long it is."""
+    found, sizes = [], []
+    padded = np.append(buffer, np.zeros(3, np.uint8))
+    by_lead: dict[int, list[bytes]] = {}
+    for mark in WIDE_MARKS:
+        by_lead.setdefault(mark.encode()[0], []).append(mark.encode())
+    for lead, marks in by_lead.items():
+        at = np.flatnonzero(buffer == lead)
+        for mark in marks if len(at) else ():
+            same = at
+            for i, byte in enumerate(mark[1:], 1):
+                same = same[padded[same + i] == byte]
+            found.append(same)
+            sizes.append(np.full(len(same), len(mark)))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found), np.concatenate(sizes)
+
+
+class Words(Shingler):
+    """Words between white space, and the single characters of scripts written without it."""
+
+    def word_edges(self, buffer: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts, stops = super().word_edges(buffer, space)
+        if not len(buffer) or buffer.max() < 0xE0:
+            return starts, stops
+        padded = np.append(buffer, np.zeros(1, np.uint8))
+        wide = [np.empty(0, np.int64)]
+        for lead, least, most in _WIDE:
+            at = np.flatnonzero(buffer == lead)
+            wide.append(at[(padded[at + 1] >= least) & (padded[at + 1] <= most)])
+        wide = np.concatenate(wide)
+        if not len(wide):
+            return starts, stops
+        behind = wide + np.where(buffer[wide] >= 0xF0, 4, 3)
+        starts = np.unique(np.concatenate([starts, wide, behind[~space[behind]]]))
+        ends = stops[np.searchsorted(stops, starts, "right")]
+        return starts, np.minimum(ends, np.append(starts[1:], len(buffer)))
+
+
+class Found(NamedTuple):
+    """
+    A text's words (first byte), the first word of each sentence, and the runs: place, hash,
+    first word, the word behind the last, and whether the run is of words, not sentences. The
+    place counts sentences or words, as the run does.
+    """
+
+    starts: np.ndarray
+    sentences: np.ndarray
+    places: np.ndarray
+    hashes: np.ndarray
+    run_at: np.ndarray
+    run_to: np.ndarray
+    of_words: np.ndarray
 
 
 class Sentences:
-    """Where the sentences of a text begin, in bytes, and the hash of the run from each."""
+    """Words, sentences and runs of texts."""
 
-    def __init__(self, run: int = RUN, run_words: int = RUN_WORDS) -> None:
-        self.run, self.run_words = run, run_words
-        self.hasher = Shingler(1)
+    def __init__(self, run: int = RUN, run_words: int = RUN_WORDS, few_words: int = FEW_WORDS) -> None:
+        self.run, self.run_words, self.few_words, self.passage_words = run, run_words, few_words, PASSAGE_WORDS
+        self.hasher = Words(1)
         self.base = self.hasher.base
         self.powers = np.ones(1, np.uint64)
         self.inverses = np.ones(1, np.uint64)
@@ -61,78 +135,104 @@ class Sentences:
                 steps[0] = 1
                 setattr(self, name, np.multiply.accumulate(steps))
 
-    def find(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """
-        Per text (starts, runs): the first byte of each sentence, and the hash of the run
-        from each sentence on, as far as the text has runs.
-        """
+    def find(self, texts: list[str]) -> list[Found]:
+        """Words, sentences and runs of each text."""
         raw = [t.encode() for t in texts]
         buffer, ends, starts, stops, hashes = self.hasher.words_of(raw)
         if not len(starts):
-            return [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in raw]
+            return [Found(*[np.empty(0, np.int64)] * 7) for _ in raw]
         places = np.arange(len(buffer))
-        letter = np.maximum.accumulate(np.where(_ALNUM[buffer], places, -1))[stops - 1]
-        mark = np.maximum.accumulate(np.where(_MARK[buffer], places, -1))[stops - 1]
+        letters, marks = _ALNUM[buffer], _MARK[buffer]
+        if buffer.max() >= 0x80:
+            at, sizes = wide_marks(buffer)
+            for i in range(3):
+                letters[(at + i)[sizes > i]] = False
+            marks[at + sizes - 1] = True
+        letter = np.maximum.accumulate(np.where(letters, places, -1))[stops - 1]
+        mark = np.maximum.accumulate(np.where(marks, places, -1))[stops - 1]
         lines = np.cumsum(buffer == 10)
         following = np.append(starts[1:], len(buffer))
         last = (mark >= starts) & (mark > letter) | (lines[following - 1] > lines[stops - 1])
         cuts = np.searchsorted(starts, ends).tolist()
+        # No sentence goes beyond its text: each text has a line feed behind it.
+        opens = np.append(True, last[:-1])
         self._grow(len(hashes) + 1)
         found = []
         for a, b, begin in zip([0, *cuts], cuts, [0, *ends.tolist()]):
-            first = a + np.flatnonzero(np.r_[True, last[a : b - 1]]) if b > a else np.empty(0, np.int64)
-            found.append((starts[first] - begin, self._runs(hashes[a:b], first - a)))
+            first = np.flatnonzero(opens[a:b])
+            found.append(Found(starts[a:b] - begin, first, *self._runs(hashes[a:b], first)))
         return found
 
-    def _runs(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Hashes of the runs of one text, given its words' hashes and its sentences' first words."""
-        bounds = np.append(first, len(words))
+    def _runs(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The runs of one text, as in `Found`, given its words' hashes and its sentences' first words."""
         count = len(first)
-        if count < self.run:
-            from_, to = np.zeros(int(len(words) >= self.run_words), np.int64), np.full(1, count)
-        else:
-            from_ = np.arange(count - self.run + 1)
-            enough = np.searchsorted(bounds, bounds[from_] + self.run_words)
-            to = np.maximum(from_ + self.run, enough)
-            from_, to = from_[to <= count], to[to <= count]
-        if not len(from_):
-            return np.empty(0, np.int64)
+        if not count:
+            return (np.empty(0, np.int64),) * 5
+        bounds = np.append(first, len(words))
+        spans = [self._spans(bounds)]
+        for few in (1, 2):
+            at = np.flatnonzero(bounds[few:] - bounds[:-few] >= self.few_words)
+            spans.append((at, at + few))
+        codes = np.unique(np.concatenate([a * (count + 1) + b for a, b in spans]))
+        at, to = codes // (count + 1), codes % (count + 1)
+        free = np.arange(max(0, len(words) - self.passage_words + 1))
+        # Where the run of sentences from each sentence on ends, if there is one.
+        end = np.full(count + 1, len(words) + 1)
+        end[spans[0][0]] = bounds[spans[0][1]]
+        holds = end[np.searchsorted(bounds, free)] <= free + self.passage_words
+        free = free[~holds & (words[free] != words[np.minimum(free + 1, len(words) - 1)])]
+        places = np.concatenate([at, free])
+        of_words = np.arange(len(places)) >= len(at)
+        a = np.concatenate([bounds[at], free])
+        b = np.concatenate([bounds[to], free + self.passage_words])
         sums = np.concatenate([[np.uint64(0)], np.cumsum(words * self.powers[: len(words)], dtype=np.uint64)])
-        a, b = bounds[from_], bounds[to[: len(from_)]]
-        return mixed((sums[b] - sums[a]) * self.inverses[a] + (b - a).astype(np.uint64)).view(np.int64)
-
-    def covered(self, starts: np.ndarray, words: int, run_at: np.ndarray, word_starts: np.ndarray) -> np.ndarray:
-        """Which sentences the runs from `run_at` on cover, given the first byte of every word."""
-        first = np.searchsorted(word_starts, starts)
-        bounds = np.append(first, words)
-        hit = np.zeros(len(starts) + 1, np.int64)
-        if len(starts) < self.run:
-            to = np.full(len(run_at), len(starts))
-        else:
-            to = np.maximum(run_at + self.run, np.searchsorted(bounds, bounds[run_at] + self.run_words))
-        np.add.at(hit, run_at, 1)
-        np.add.at(hit, to, -1)
-        return np.cumsum(hit[:-1]) > 0
+        # Runs of words are a kind of their own, for their places are of another kind.
+        kind = (b - a).astype(np.uint64) + (of_words.astype(np.uint64) << np.uint64(63))
+        hashes = mixed((sums[b] - sums[a]) * self.inverses[a] + kind).view(np.int64)
+        return places, hashes, a, b, of_words
+
+    def _spans(self, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First sentence, and the one behind the last, of the runs of `run` sentences."""
+        count = len(bounds) - 1
+        if count < self.run:
+            whole = np.zeros(int(bounds[-1] >= self.run_words), np.int64)
+            return whole, whole + count
+        from_ = np.arange(count - self.run + 1)
+        enough = np.searchsorted(bounds, bounds[from_] + self.run_words)
+        to = np.maximum(from_ + self.run, enough)
+        return from_[to <= count], to[to <= count]
+
+    def _covered(self, one: Found, runs: np.ndarray) -> np.ndarray:
+        """Which words lie in any of these runs."""
+        change = np.zeros(len(one.starts) + 1, np.int64)
+        np.add.at(change, one.run_at[runs], 1)
+        np.add.at(change, one.run_to[runs], -1)
+        return np.cumsum(change[:-1]) > 0
 
     def remove(self, text: str, places: list[int], hashes: list[int]) -> tuple[str, int, int]:
-        """The text less the sentences of the runs at `places` that have these hashes; sentences, removed."""
-        raw = text.encode()
-        ((starts, runs),) = self.find([text])
-        run_at = np.array(places, np.int64)
-        run_at = run_at[(run_at < len(runs))]
+        """
+        The text less the words of the runs at `places` that have these hashes, the number of its
+        sentences, and of those that lost a word.
+        """
+        (one,) = self.find([text])
         wanted = set(zip(places, hashes))
-        run_at = np.array([p for p in run_at.tolist() if (p, int(runs[p])) in wanted], np.int64)
-        if not len(run_at):
-            return text, len(starts), 0
-        _, _, word_starts, _, _ = self.hasher.words_of([raw])
-        gone = self.covered(starts, len(word_starts), run_at, word_starts)
-        bounds = [0, *starts[1:].tolist(), len(raw)]
-        kept = b"".join(raw[a:b] for a, b, out in zip(bounds, bounds[1:], gone.tolist()) if not out)
-        return kept.decode(), len(starts), int(gone.sum())
+        hit = np.array([run in wanted for run in zip(one.places.tolist(), one.hashes.tolist())], bool)
+        if not hit.any():
+            return text, len(one.sentences), 0
+        gone = self._covered(one, hit & ~one.of_words)
+        before = np.append(0, np.cumsum(gone))
+        gone |= self._covered(one, hit & one.of_words & (before[one.run_to] == before[one.run_at]))
+        raw = text.encode()
+        # Stretches of words that stay or go as a whole.
+        turns = np.flatnonzero(np.diff(gone)) + 1
+        bounds = [0, *one.starts[turns].tolist(), len(raw)]
+        outs = [bool(gone[0]), *gone[turns].tolist()]
+        kept = b"".join(raw[a:b] for a, b, out in zip(bounds, bounds[1:], outs) if not out)
+        return kept.decode(), len(one.sentences), int(np.logical_or.reduceat(gone, one.sentences).sum())
 
 
 def runs(documents: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, digest, runs): the hashes of each whole text's runs, by position of their first sentence."""
+    """(doc_id, digest, runs): place and hash of each of a whole text's runs."""
     source = documents.where(F.col(text).isNotNull()).select(
         "doc_id", F.xxhash64(text).alias("digest"), F.col(text).alias("text")
     )
@@ -142,14 +242,16 @@ def runs(documents: DataFrame, text: str = "text") -> DataFrame:
         sentences = Sentences()
         for batch in batches:
             for first, last, texts in text_portions(batch.column(2), PORTION):
-                found = [one for _, one in sentences.find(texts)]
+                found = sentences.find(texts)
                 offsets = np.zeros(len(found) + 1, np.int32)
-                np.cumsum([len(one) for one in found], out=offsets[1:])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                np.cumsum([len(one.hashes) for one in found], out=offsets[1:])
+                places, hashes = (pa.array(np.concatenate([one[i] for one in found])) for i in (2, 3))
+                each = pa.StructArray.from_arrays([places, hashes], names=["place", "run"])
+                lists = pa.ListArray.from_arrays(pa.array(offsets), each)
                 columns = [*batch.slice(first, last - first).columns[:2], lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "runs"])
 
-    return source.mapInArrow(hashed, f"doc_id {doc_type}, digest long, runs array<long>")
+    return source.mapInArrow(hashed, f"doc_id {doc_type}, digest long, runs array<struct<place: long, run: long>>")
 
 
 def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -158,7 +260,7 @@ def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
     kind. Rows may share a doc_id or have none, so the digest of the text tells them apart.
     """
     known = evaluated(runs(documents, text), "runs")
-    each = known.select("doc_id", "digest", F.posexplode("runs").alias("place", "run"))
+    each = known.select("doc_id", "digest", F.inline("runs"))
     often = each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
     # Written, so that what follows reads few rows and the joins see its size.
     again = landed(each.join(often.hint("merge"), "run"), "again")
@@ -196,7 +298,7 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
             for first, last, texts in text_portions(batch.column(at), PORTION):
                 part = batch.slice(first, last - first)
                 places, hashes = (part.column(len(kept) + i).to_pylist() for i in (0, 1))
-                counts = [len(starts) for starts, _ in sentences.find([t or "" for t in texts])]
+                counts = [len(one.sentences) for one in sentences.find([t or "" for t in texts])]
                 rows = [
                     (t, n, 0) if p is None or t is None else sentences.remove(t, p, h)
                     for t, n, p, h in zip(texts, counts, places, hashes)

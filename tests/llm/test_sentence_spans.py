@@ -113,3 +113,46 @@ def test_rows_that_share_an_id_or_have_none_lose_their_own_repeats(spark):
     found = sentence_spans.without_repeats(documents).collect()
     assert sorted(map(tuple, found), key=repr) == expected(rows)
     assert sorted(row["n_removed"] for row in found) == [0, 5, 5]
+
+
+def test_passages_of_any_shape_go(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    plain = lambda n: " ".join(word() for _ in range(n))
+    han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+    # Each passage, with its middle, which has to go, and surroundings that differ from row to row.
+    one, two = plain(60), f"{plain(30)}, {plain(30)}"
+    parts = f"{plain(16)}, {plain(20)}, {plain(16)}"
+    four = f"{plain(13)}; {plain(13)}; {plain(13)}; {plain(13)}"
+    chinese = "。".join(han(14) for _ in range(5))
+    unmarked, unmarked_chinese, arabic = plain(70), han(70), "، ".join(plain(13) for _ in range(5))
+    cases = [
+        (f"{one}.", one, lambda t: f"{plain(8)}. {t} {plain(9)}."),
+        (f"{two}.", two, lambda t: f"{plain(8)}. {t} {plain(9)}."),
+        (parts, parts.split(", ")[1], lambda t: f"{plain(5)} {t} {plain(5)}."),
+        (four, four[100:250], lambda t: f"{plain(5)} {t} {plain(5)}."),
+        (unmarked, " ".join(unmarked.split()[20:50]), lambda t: f"{plain(300)} {t} {plain(300)}"),
+        (chinese, chinese[20:50], lambda t: f"{han(30)}{t}{han(40)}。"),
+        (unmarked_chinese, unmarked_chinese[20:50], lambda t: f"{han(200)}{t}{han(200)}"),
+        (arabic, arabic[150:300], lambda t: f"{plain(5)} {t} {plain(5)}"),
+    ]
+    rows, middles = [], {}
+    for n, (passage, middle, around) in enumerate(cases):
+        for i in range(3):
+            rows.append((10 * n + i, around(passage)))
+            middles[10 * n + i] = middle
+    # Short documents that stand whole inside longer ones.
+    for n, whole in ((100, f"{plain(55)}."), (110, f"{plain(30)}. {plain(25)}.")):
+        rows += [(n, f"{plain(9)}. {whole} {plain(9)}, {plain(4)}, {plain(3)}."), (n + 1, whole)]
+        middles |= {n: whole, n + 1: whole}
+    unique = [(200 + i, plain(200)) for i in range(5)]
+    documents = spark.createDataFrame(rows + unique, "doc_id long, text string")
+    clean = {row["doc_id"]: row for row in sentence_spans.without_repeats(documents).collect()}
+    assert [i for i in middles if middles[i] in clean[i]["text"]] == [i for i in middles if i % 10 == 0]
+    assert all(clean[i]["text"] == text and clean[i]["n_removed"] == 0 for i, text in unique)
+    for i, text in rows:
+        if i % 10 == 0:
+            assert clean[i]["text"] == text
+        else:
+            # Nothing of the surroundings goes but what is fused with a part of the passage.
+            assert len(clean[i]["text"]) >= len(text) - len(cases[i // 10][0] if i < 100 else text) - 1
