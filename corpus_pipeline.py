@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five words a shingle, similarity 0.8 or more."""
-    return odd_sketch.without_near_duplicates(docs, words=5, percent=80)
+    return odd_sketch.without_near_duplicates(docs, words=5, percent=80, lone=False)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -400,7 +400,31 @@ def near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85, tex
     )
 
 
-def without_near_duplicates(documents: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
-    """`documents` less all but one document of each group; of rows that share a doc_id one stays."""
-    dropped = near_duplicates(documents, words, percent).where(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(dropped.hint("merge"), "doc_id", "left_anti").select(*documents.columns)
+def without_near_duplicates(
+    documents: DataFrame, words: int = 3, percent: int = 85, lone: bool = True
+) -> DataFrame:
+    """
+    `documents` less all but one row of each group, the one with the least doc_id. Rows that
+    share a doc_id are of one group. Rows without doc_id are not compared with any, or, if not
+    `lone`, as all others are; rows with an id are then kept rather than they.
+    """
+    # Written, so that a row has the same number whenever it is read.
+    numbered = landed(documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    compared = numbered if not lone else numbered.where(F.col("doc_id").isNotNull())
+    alike = near_duplicates(
+        compared.select(F.col("__row").alias("doc_id"), "text"), words, percent
+    ).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    rows = landed(numbered.select("__row", "doc_id").join(alike.hint("merge"), "__row"), "rows")
+    ids = rows.where(F.col("doc_id").isNotNull())
+    # Groups that share a doc_id are one: each hangs on the least group of that doc_id.
+    least = ids.groupBy("doc_id").agg(F.min("__group").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    edges = ids.join(least.hint("merge"), "doc_id").select(F.col("__group").alias("a"), "b").where("a <> b").distinct()
+    joined = connected_components(edges)
+    rows = rows.join(joined.hint("merge"), F.col("__group") == F.col("vertex"), "left")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("__row").alias("row"))
+    kept = rows.groupBy(F.coalesce("component", "__group").alias("g")).agg(F.min(order).alias("one")).select(
+        F.col("one.row").alias("__row")
+    )
+    if lone:
+        kept = kept.unionByName(numbered.where(F.col("doc_id").isNull()).select("__row"))
+    return numbered.join(kept.hint("merge"), "__row", "left_semi").select(*documents.columns)

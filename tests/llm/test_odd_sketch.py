@@ -115,3 +115,21 @@ def test_forests_reach_all_that_is_connected():
 def test_bands_miss_next_to_nothing():
     assert [odd_sketch.band_rows(similarity) for similarity in (0.95, 0.85, 0.8, 0.5, 0.01)] == [12, 7, 6, 2, 1]
     assert (1 - 0.8**6) ** 42 <= odd_sketch.BAND_MISS
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") for _ in range(60)) for _ in range(5)]
+    near = texts[3].rsplit(" ", 1)[0] + " z"
+    # By turns: a copied row, one id with two texts, copies without id, near copies with and without.
+    rows = [(1, texts[0], "x")] * 3 + [(2, texts[1], "x"), (2, texts[2], "y"), (3, texts[2], "z")]
+    rows += [(None, texts[4], "x")] * 3 + [(None, texts[3], "x"), (9, near, "x"), (None, None, "x"), (None, "", "x")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    kept = odd_sketch.without_near_duplicates(documents, 5, 80, lone=False)
+    assert kept.columns == documents.columns
+    found = collections.Counter((row["doc_id"], row["text"]) for row in kept.collect())
+    two = next(one for one in found if one[0] == 2)
+    assert two[1] in texts[1:3]
+    assert found == {(1, texts[0]): 1, two: 1, (None, texts[4]): 1, (9, near): 1, (None, None): 1, (None, ""): 1}
+    alone = collections.Counter(row["doc_id"] for row in odd_sketch.without_near_duplicates(documents, 5, 80).collect())
+    assert alone == {1: 1, 2: 1, 9: 1, None: 6}
