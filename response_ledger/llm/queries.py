@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from response_ledger.llm import (
     byte_bpe, fair_mix, host_rules, mixing_coder, odd_sketch, oracles, prefix_forest,
-    resync_counts, sentence_spans, subword_quality, toxicity_cnn,
+    resync_counts, sentence_spans, spectrum_whitening, subword_quality, toxicity_cnn,
 )
 from response_ledger.llm.batches import evaluated
 
@@ -73,6 +73,10 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spectrum_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_prefix_forest": op2_prefix_forest,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
     "op10_quality": op10_quality,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = oracles.ORACLES
