@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from response_ledger.llm import (
-    byte_bpe, fair_mix, host_rules, mixing_coder, odd_sketch, oracles, prefix_forest,
+    byte_bpe, fair_mix, host_rules, mixing_coder, odd_sketch, oracles, pair_bitmaps, prefix_forest,
     resync_counts, sentence_spans, spectrum_whitening, subword_quality, toxicity_cnn,
 )
 from response_ledger.llm.batches import evaluated
@@ -73,6 +73,12 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return pair_bitmaps.align(documents, *paths)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectrum_whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
     "op10_quality": op10_quality,
+    "op12_alignment": op12_alignment,
     "op13_whitening": op13_whitening,
 }
 
