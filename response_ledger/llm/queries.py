@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from response_ledger.llm import (
     byte_bpe, fair_mix, host_rules, mixing_coder, odd_sketch, oracles, pair_bitmaps, prefix_forest,
-    resync_counts, sentence_spans, spectrum_whitening, subword_quality, toxicity_cnn,
+    resync_counts, robust_graph, sentence_spans, spectrum_whitening, subword_quality, toxicity_cnn,
 )
 from response_ledger.llm.batches import evaluated
 
@@ -73,6 +73,10 @@ def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_host_rules": op9_host_rules,
     "op10_quality": op10_quality,
+    "op11_near_vectors": op11_near_vectors,
     "op12_alignment": op12_alignment,
     "op13_whitening": op13_whitening,
 }
