@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from response_ledger.schemas import (
+    CALL_PAUSES,
     LARGE_TEXT_COLUMN,
     LARGE_TEXT_PAGE_CAP,
     PAGE_CAP,
     RETRIABLE_STATUSES,
-    Retries,
+    PauseSchedule,
 )
 
 
@@ -75,10 +76,10 @@ def http_class(status: Column) -> Column:
     )
 
 
-def backoff_seconds(tries: Column, retries: Retries = Retries()) -> Column:
-    """The pause after this many tries, without jitter."""
-    least, most = (F.lit(bound) for bound in retries.pause)
-    return F.least(F.greatest(least * F.pow(F.lit(retries.growth), tries), least), most)
+def backoff_seconds(tries: Column, pauses: PauseSchedule = CALL_PAUSES) -> Column:
+    """The schedule's pause after this many tries, without jitter; its ends hold beyond them."""
+    place = F.least(F.greatest(tries.cast("int"), F.lit(1)), F.lit(len(pauses)))
+    return F.when(tries.isNotNull(), F.get(F.array(*[F.lit(float(one)) for one in pauses]), place - 1))
 
 
 def body_length(header_length: Column, raw: Column) -> Column:

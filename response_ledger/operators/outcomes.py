@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from response_ledger.functions.calls import backoff_seconds, body_length, http_class, utf8_text
 from response_ledger.operators.records import STRICT_JSON
-from response_ledger.schemas import LEDGER, REQUEST, SUCCESS_MESSAGE, Retries
+from response_ledger.schemas import CALL_PAUSES, LEDGER, REQUEST, SUCCESS_MESSAGE, PauseSchedule
 
 OK = "ok"
 RETRIABLE = "retriable"
@@ -48,7 +48,7 @@ def read_envelopes(bodies: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def classify(replies: DataFrame, retries: Retries = Retries()) -> DataFrame:
+def classify(replies: DataFrame, pauses: PauseSchedule = CALL_PAUSES) -> DataFrame:
     """
     Each reply as a call record: `raw` gives way to its digest, length and text, `attempts`
     is counted on, the envelope fields, `outcome` and, for a failure, `failure` are added.
@@ -69,7 +69,7 @@ def classify(replies: DataFrame, retries: Retries = Retries()) -> DataFrame:
         F.col("error_class") == "transport"
     )
     outcome = (
-        F.when(transient & (F.col("attempts") >= retries.tries), "exhausted")
+        F.when(transient & (F.col("attempts") >= len(pauses)), "exhausted")
         .when(transient, RETRIABLE)
         .when(F.col("error_class").isNotNull(), "error")
         .when(http != OK, "terminal")
@@ -108,7 +108,7 @@ def dead_letters(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def retry_queue(outcomes: DataFrame, retries: Retries = Retries()) -> DataFrame:
+def retry_queue(outcomes: DataFrame, pauses: PauseSchedule = CALL_PAUSES) -> DataFrame:
     """
     Requests to try again, with the tries so far and when the next one is due.
 
@@ -116,7 +116,7 @@ def retry_queue(outcomes: DataFrame, retries: Retries = Retries()) -> DataFrame:
     as a random number would, but a recomputed task finds the same rows again.
     """
     spread = F.pmod(F.xxhash64("url", "start", "attempts"), F.lit(1_000_000)) / 1_000_000
-    pause = backoff_seconds(F.col("attempts"), retries) + spread
+    pause = backoff_seconds(F.col("attempts"), pauses) + spread
     due = F.timestamp_micros(F.unix_micros("fetched_at") + (pause * 1_000_000).cast("bigint"))
     return outcomes.where(F.col("outcome") == RETRIABLE).select(
         *REQUEST.names, "batch_no", "attempts", due.alias("next_attempt_at")

@@ -40,12 +40,13 @@ from response_ledger.plans.requests import (
 )
 from response_ledger.schemas import (
     BATCH_SIZE,
+    CALL_PAUSES,
     COOLDOWN_SECONDS,
     DEFAULT_FILTERS,
     ENDPOINTS,
     MAX_WORKERS,
     SOURCE_TYPE,
-    Retries,
+    PauseSchedule,
 )
 from response_ledger.session import (
     READER_BATCH,
@@ -82,7 +83,8 @@ class CallOptions(NamedTuple):
     base_url: str
     max_workers: int = MAX_WORKERS
     cooldown: tuple[float, float] = COOLDOWN_SECONDS
-    retry: Retries = Retries()
+    # After each try; their number is that of the tries.
+    pauses: PauseSchedule = CALL_PAUSES
     # Which errors of the transport are tried again, for clients with error classes of their own.
     transient: Transient = is_connection_error
 
@@ -119,12 +121,12 @@ def settle(requests: DataFrame, calls: CallOptions, group_rows: int = PAGE_GROUP
     spark = requests.sparkSession
     landing = scratch_path(spark, "landing")
     pending, totals = with_attempts(requests), {}
-    for attempt in range(1, calls.retry.tries + 1):
+    for attempt in range(1, len(calls.pauses) + 1):
         landed = f"{landing}/try={attempt}"
         replies = fetch_requests(
             pending, calls.connect, calls.max_workers, calls.cooldown, calls.transient
         )
-        judged = classify(replies, calls.retry)
+        judged = classify(replies, calls.pauses)
         judged.write.option("parquet.block.row.count.limit", group_rows).parquet(landed)
         tried = spark.read.schema(judged.schema).parquet(landed)
         counts = {one["outcome"]: one["count"] for one in tried.groupBy("outcome").count().collect()}
@@ -133,7 +135,7 @@ def settle(requests: DataFrame, calls: CallOptions, group_rows: int = PAGE_GROUP
             totals[outcome] = totals.get(outcome, 0) + count
         if not again:
             break
-        pending = retry_queue(tried, calls.retry)
+        pending = retry_queue(tried, calls.pauses)
     tries = spark.read.schema(judged.schema).option("recursiveFileLookup", "true").parquet(landing)
     return Settled(tries.where(F.col("outcome") != RETRIABLE), landing, totals)
 

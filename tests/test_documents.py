@@ -154,6 +154,35 @@ def test_heading_errors(spark, fragment, heading, error):
 def test_spec_links(spark):
     pages = ['<script>url = "a.html"; var url = "src/main/spec.json"; url="b.json"</script>', "x = 'a.json'"]
     assert values(spark, pages, spec_link) == ["src/main/spec.json", None]
+
+
+def test_spec_links_in_scripts_of_all_kinds(spark):
+    cases = {
+        # Quotes that do not match, or are escaped, belong to the string.
+        "<script>url = \"a.json'; url = 'b.json'</script>": None,
+        "<script>url = \"a'b.json\"</script>": "a'b.json",
+        "<script>url = 'a\\'b.json'</script>": "a'b.json",
+        '<script>url = "src\\/main\\/x.json"</script>': "src/main/x.json",
+        "<script>url=`t.json`</script>": "t.json",
+        # Comments assign nothing, and no comment begins inside a string.
+        "<script>// url = 'a.json'\nurl = 'b.json'</script>": "b.json",
+        "<script>/* url = 'a.json';\n */ url = 'http://h/b.json'</script>": "http://h/b.json",
+        "<script>url = '/*c.json'; x = '*/'; url = 'd.json'</script>": "/*c.json",
+        "<script>x = \"url = 'a.json'\"; url = 'b.json'</script>": "b.json",
+        # Other names, comparisons and other values.
+        "<script>specurl = 'a.json'; my_url='b.json'; url2 = 'c.json'; $url = 'd.json'</script>": None,
+        "<script>if (url == 'a.json') { window.url = 'b.json' }</script>": "b.json",
+        "<script>url = f('a.json'); url = 'b.html'; url\n =\n'c.json'</script>": "c.json",
+        # Scripts only, the first of them first.
+        "<p>url = 'a.json'</p><SCRIPT type=x>var u</script><script>url = 'b.json'</script>": "b.json",
+        "<script>url = 'a.js</script>on'": None,
+        "<scripts>url = 'a.json'</scripts>": None,
+        "<script>url = 'a" + "x" * 100_000 + ".json'": "a" + "x" * 100_000 + ".json",
+    }
+    assert values(spark, list(cases), spec_link) == list(cases.values())
+
+
+def test_links_are_resolved(spark):
     links = {
         "src/x.json": "https://h.example/docs/src/x.json",
         "/x.json": "https://h.example/x.json",

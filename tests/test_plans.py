@@ -18,7 +18,7 @@ from response_ledger.plans.requests import (
     plan_single,
     rows_for,
 )
-from response_ledger.schemas import DEFAULT_FILTERS, ENDPOINTS, REQUEST, Retries, endpoints
+from response_ledger.schemas import DEFAULT_FILTERS, ENDPOINTS, REQUEST, endpoints
 
 BASE = "https://service.example/rest"
 
@@ -132,8 +132,10 @@ def test_statuses(spark):
     ]
 
 
-def test_backoff_grows_and_is_clamped(spark):
-    retries = Retries(pause=(1.0, 5.0), growth=2.0)
-    tries = spark.createDataFrame([(0,), (1,), (2,), (10,)], "t int")
-    rows = tries.select(backoff_seconds(F.col("t"), retries).alias("d")).collect()
-    assert [one["d"] for one in rows] == [1.0, 2.0, 4.0, 5.0]
+def test_pauses_follow_the_schedule(spark):
+    tries = spark.createDataFrame([(0,), (1,), (2,), (3,), (9,), (None,)], "t int")
+    rows = tries.select(
+        backoff_seconds(F.col("t"), (0.5, 4.0, 7.0)).alias("own"), backoff_seconds(F.col("t")).alias("usual")
+    ).collect()
+    assert [one["own"] for one in rows] == [0.5, 0.5, 4.0, 7.0, 7.0, None]
+    assert [one["usual"] for one in rows] == [1.5, 1.5, 2.25, 3.375, 30.0, None]

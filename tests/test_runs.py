@@ -18,14 +18,14 @@ from response_ledger.plans.job import (
     source_total,
 )
 from response_ledger.plans.requests import plan_ids, plan_pages
-from response_ledger.schemas import ENDPOINTS, Retries
+from response_ledger.schemas import ENDPOINTS
 from response_ledger.session import scratch, scratch_root
 from response_ledger.sources.ledger import append_ledger, read_ledger, target_path
 from response_ledger.streaming.worksets import read_emitted, stream_workset
 from response_ledger.table_ledgers import BASE_URL
 
 IDS = [str(one) for one in range(31, 49, 3)]
-QUICK = Retries(tries=4, pause=(0.01, 0.02))
+QUICK = (0.015, 0.02, 0.02, 0.02)
 
 
 class Service:
@@ -80,7 +80,7 @@ class Sender:
 
 
 def options(service, **given):
-    return CallOptions(service, BASE_URL, cooldown=(0.0, 0.0), retry=QUICK, **given)
+    return CallOptions(service, BASE_URL, cooldown=(0.0, 0.0), pauses=QUICK, **given)
 
 
 def paged(spark, tmp_path, rows=5, **given):
@@ -293,7 +293,7 @@ def test_large_replies_are_handed_over_in_pieces(spark, monkeypatch):
 def test_a_due_time_is_waited_for(spark):
     requests = plan_ids(spark.range(1), BASE_URL, "EVENT", []).withColumn("batch_no", F.lit(1))
     busy = fetch_requests(with_attempts(requests), lambda: lambda call: Reply(503, b""), 1, (0.0, 0.0))
-    queue = retry_queue(classify(busy), Retries())
+    queue = retry_queue(classify(busy))
     again = fetch_requests(queue, lambda: lambda call: Reply(200, b"{}"), 1, (0.0, 0.0)).collect()
     assert again[0]["attempts"] == 1
     # Whoever recomputes the queue finds the same due time.
