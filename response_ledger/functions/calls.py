@@ -30,6 +30,20 @@ def format_filters(filters: Column) -> Column:
     return F.replace(F.coalesce(F.to_json(filters), F.lit("[]")), F.lit('"'), F.lit("'"))
 
 
+def canonical_filters(filters: Column) -> Column:
+    """Filters as a text that does not depend on the order of names and values; '' for none."""
+    entries = F.transform(
+        filters,
+        lambda one: F.array_sort(
+            F.transform(
+                F.map_entries(one),
+                lambda entry: F.struct(entry["key"].alias("name"), F.sort_array(entry["value"]).alias("values")),
+            )
+        ),
+    )
+    return F.coalesce(F.to_json(F.array_sort(entries)), F.lit(""))
+
+
 def form_body(
     display_columns: Column,
     filters: Column,

@@ -34,6 +34,13 @@ _BODY_PREFIX = (
     """payload={"displaycolumns":"productid,codeinformation","filter":"[{''centercd'':[''CBER'',''CDER'']}]","""
 )
 
+_HELD = """held AS (
+          SELECT DISTINCT s + k AS i FROM total, (
+            SELECT s, 100 AS size FROM total, range(1, n + 1, 100) t(s) WHERE s % 700 < 400
+            UNION ALL SELECT s, 75 FROM total, range(1, n + 1, 75) t(s) WHERE s % 1050 > 800
+            UNION ALL SELECT 1, 300
+          ) pages, range(300) r(k) WHERE k < size AND s + k <= n)"""
+
 ORACLES: dict[str, str] = {
     "page_plan": f"""
         SELECT '{_BASE}/recalls/' AS url, CAST(s AS INT) AS start, CAST(2500 AS INT) AS rows,
@@ -149,8 +156,32 @@ ORACLES: dict[str, str] = {
                min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
         FROM (SELECT o_orderstatus AS status, o_orderkey, size,
                      (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // size AS page
-              FROM orders JOIN (VALUES ('F', 300), ('O', 500)) sizes(kind, size) ON o_orderstatus = kind)
+              FROM orders JOIN (VALUES ('F', 300), ('O', 500), ('P', 10)) sizes(kind, size) ON o_orderstatus = kind)
+        WHERE status <> 'P' OR page > 0
+        GROUP BY ALL""",
+    # What is current after each run; the third run of F is never complete.
+    "refreshed_view": """
+        SELECT version, status, CAST(size AS INT) AS rows, CAST(page * size + 1 AS INT) AS start,
+               count(*) AS records, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
+        FROM (SELECT version, o_orderstatus AS status, o_orderkey, size,
+                     (row_number() OVER (PARTITION BY version, o_orderstatus ORDER BY o_orderkey) - 1) // size AS page
+              FROM orders JOIN (
+                VALUES (1, 'F', 300), (2, 'F', 300), (3, 'F', 300), (4, 'F', 300), (5, 'F', 300), (6, 'F', 300),
+                       (3, 'O', 200), (4, 'O', 500), (5, 'O', 500), (6, 'O', 500), (6, 'P', 10)
+              ) seen(version, kind, size) ON o_orderstatus = kind)
+        WHERE status <> 'P' OR page > 0
         GROUP BY ALL""",
+    # Offset by offset: which of them some landed page holds.
+    "missing_pages": f"""
+        WITH total AS (SELECT count(*) AS n FROM orders), {_HELD}
+        SELECT '{_BASE}/recalls/' AS url, CAST(page * 250 + 1 AS INT) AS start, CAST(250 AS INT) AS rows
+        FROM (SELECT DISTINCT (i - 1) // 250 AS page FROM total, range(1, n + 1) t(i)
+              WHERE i NOT IN (SELECT i FROM held))""",
+    "missing_offsets": f"""
+        WITH total AS (SELECT count(*) AS n FROM orders), {_HELD}
+        SELECT min(i) AS low, max(i) AS high
+        FROM (SELECT i, i - row_number() OVER (ORDER BY i) AS island FROM total, range(1, n + 1) t(i)
+              WHERE i NOT IN (SELECT i FROM held)) GROUP BY island""",
     "latest_events": """
         SELECT event_type, user_id, event_id, value FROM events
         QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1""",

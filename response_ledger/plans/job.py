@@ -36,6 +36,8 @@ from response_ledger.plans.requests import (
     plan_pages,
     plan_probe,
     plan_single,
+    landed_spans,
+    plan_missing_pages,
     rows_for,
 )
 from response_ledger.schemas import (
@@ -182,14 +184,24 @@ def plan_stage(
     batch_size: int = BATCH_SIZE,
     force: bool = False,
     limit: int | None = None,
+    resume_pages: bool = False,
 ) -> DataFrame:
     """
     Every call of a stage with its `batch_no`, the limit applied after the resume. The ids
-    come from the paged run at `ids_source`, or ready-made as `workset`.
+    come from the paged run at `ids_source`, or ready-made as `workset`. A paged endpoint is
+    planned whole, unless `resume_pages` asks for the offsets alone that no page in its ledger
+    holds yet.
     """
     endpoint = ENDPOINTS[request_type]
     if endpoint.paged:
         total, size = source_total(spark, calls, filters), rows_for(display_columns, rows)
+        if resume_pages and not force and not ledger_is_empty(spark, directory):
+            spans = landed_spans(read_ledger(spark, directory), total, display_columns, filters)
+            left = plan_missing_pages(spans, calls.base_url, total, display_columns, size, filters)
+            numbered = number_rows(left, "start")
+            if limit is not None:
+                numbered = numbered.where(F.col("n") <= limit)
+            return numbered.withColumn("batch_no", batch_number("n", batch_size)).drop("n")
         pages = plan_pages(spark, calls.base_url, total, display_columns, size, filters)
         if limit is not None and limit * size < total:
             logger.warning("Only the first %s pages are fetched", limit)

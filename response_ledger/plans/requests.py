@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from response_ledger.functions.calls import call_url, form_body
+from response_ledger.functions.calls import call_url, canonical_filters, form_body
+from response_ledger.operators.intervals import holes, merged, pages_touched
+from response_ledger.operators.records import STRICT_JSON
 from response_ledger.schemas import (
     DEFAULT_FILTERS,
     DEFAULT_SORT,
@@ -68,7 +70,21 @@ def plan_pages(
     sort_order: str = DEFAULT_SORT_ORDER,
 ) -> DataFrame:
     """One request per offset page, covering every filtered record; no record, no page."""
-    start = F.col("id").cast("int")
+    starts = spark.range(FIRST_OFFSET, total + FIRST_OFFSET, rows).withColumnRenamed("id", "start")
+    return request_pages(starts, base_url, display_columns, rows, filters, sort, sort_order)
+
+
+def request_pages(
+    starts: DataFrame,
+    base_url: str,
+    display_columns: list[str],
+    rows: int,
+    filters: Filters | None = DEFAULT_FILTERS,
+    sort: str = DEFAULT_SORT,
+    sort_order: str = DEFAULT_SORT_ORDER,
+) -> DataFrame:
+    """One request per page that begins at a `start`."""
+    start = F.col("start").cast("int")
     given = {
         "url": call_url(base_url, F.lit(ENDPOINTS[SOURCE_TYPE].path)),
         "filters": filter_maps(filters),
@@ -85,11 +101,62 @@ def plan_pages(
         given["sort"],
         given["sort_order"],
     )
-    return spark.range(FIRST_OFFSET, total + FIRST_OFFSET, rows).select(
-        *_request(SOURCE_TYPE, display_columns, **given, body=body)
+    return starts.select(*_request(SOURCE_TYPE, display_columns, **given, body=body))
+
+
+def landed_spans(
+    ledger: DataFrame,
+    total: int,
+    display_columns: list[str],
+    filters: Filters | None = DEFAULT_FILTERS,
+    sort: str = DEFAULT_SORT,
+    sort_order: str = DEFAULT_SORT_ORDER,
+) -> DataFrame:
+    """
+    (low, high): the offsets a ledger's pages hold of what is asked for now, in pages of any size.
+
+    A page counts if it was asked for with the same filters, columns and order, and if it reports
+    the total the source has now: under another total the same offset is another record.
+    """
+    asked = (
+        (F.col("request_type") == SOURCE_TYPE)
+        & F.col("start").isNotNull()
+        & (F.col("rows") > 0)
+        & F.col("display_columns").eqNullSafe(_columns(display_columns))
+        & (canonical_filters(F.col("filters")) == canonical_filters(filter_maps(filters)))
+        & F.col("sort").eqNullSafe(sort)
+        & F.col("sort_order").eqNullSafe(sort_order)
+    )
+    reported = F.from_json("content", "struct<RESULTCOUNT:string>", STRICT_JSON)["RESULTCOUNT"].try_cast("bigint")
+    low = F.col("start").cast("bigint")
+    return (
+        ledger.where(asked).where(reported == total)
+        .select(low.alias("low"), F.least(low + F.col("rows") - 1, F.lit(total)).alias("high"))
     )
 
 
+def missing_spans(spans: DataFrame, total: int) -> DataFrame:
+    """(low, high): what `spans` leave open of the offsets 1 to `total`."""
+    key = spans.select(F.lit(0).alias("key"), "low", "high")
+    whole = spans.sparkSession.range(1).select(F.lit(0).alias("key"), F.lit(total).cast("bigint").alias("total"))
+    return holes(merged(key, ["key"]), whole, ["key"]).drop("key")
+
+
+def plan_missing_pages(
+    spans: DataFrame,
+    base_url: str,
+    total: int,
+    display_columns: list[str],
+    rows: int,
+    filters: Filters | None = DEFAULT_FILTERS,
+    sort: str = DEFAULT_SORT,
+    sort_order: str = DEFAULT_SORT_ORDER,
+) -> DataFrame:
+    """The requests of `plan_pages` for those pages of which `spans` leave a part open."""
+    starts = pages_touched(missing_spans(spans, total), rows)
+    return request_pages(starts, base_url, display_columns, rows, filters, sort, sort_order)
+
+
 def plan_ids(
     ids: DataFrame,
     base_url: str,

@@ -38,8 +38,15 @@ from response_ledger.operators.workset import (
     remaining,
 )
 from response_ledger.plans.job import CallOptions, run_stage, run_stages
-from response_ledger.plans.requests import plan_ids, plan_pages
-from response_ledger.session import scratch_path
+from response_ledger.plans.requests import (
+    landed_spans,
+    missing_spans,
+    plan_ids,
+    plan_missing_pages,
+    plan_pages,
+)
+from response_ledger.session import landed, scratch_path
+from response_ledger.sources.current_index import read_current, refresh_index
 from response_ledger.sources.ledger import (
     PAGE_GROUP_ROWS,
     append_ledger,
@@ -52,11 +59,14 @@ from response_ledger.streaming.worksets import read_emitted, stream_workset
 from response_ledger.table_ledgers import (
     BASE_URL,
     PAGE_ROWS,
+    PAGED_RUNS,
+    append_paged_run,
     customers_ledger,
     documents_ledger,
     event_replies,
     events_ledger,
     fetched_twice,
+    holed_pages,
     ledger_rows,
     marked_documents,
     once,
@@ -284,10 +294,14 @@ def current_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     Which pages of a ledger of several runs, filters and page sizes are current: under one
-    filter the second run's, under the other the second page size's.
+    filter the second run's, as the third is not complete, under another the second page size's,
+    under the last what there is of the only run.
     """
-    current = audit.current_responses(read_ledger(spark, paged_runs(spark, sf_dir)))
-    records = explode_records(current, ["productid"], keep=("filters", "start", "rows"))
+    return _records_by_page(audit.current_responses(read_ledger(spark, paged_runs(spark, sf_dir))))
+
+
+def _records_by_page(pages: DataFrame) -> DataFrame:
+    records = explode_records(pages, ["productid"], keep=("filters", "start", "rows"))
     return records.groupBy(
         F.get(F.element_at(F.get("filters", F.lit(0)), "centercd"), F.lit(0)).alias("status"), "rows", "start"
     ).agg(
@@ -297,6 +311,41 @@ def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def refreshed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+    The same ledger, its runs landed one after another, each followed by a refresh of its index
+    that reads the new files alone: the current pages after every run.
+    """
+    ledger, index = scratch_path(spark, "ledger"), scratch_path(spark, "index")
+    views = []
+    for run in PAGED_RUNS:
+        append_paged_run(spark, sf_dir, ledger, *run)
+        version = refresh_index(spark, ledger, index)
+        seen = _records_by_page(read_current(spark, ledger, index))
+        views.append(landed(seen.withColumn("version", F.lit(version)), "view"))
+    whole = views[0]
+    for view in views[1:]:
+        whole = whole.unionByName(view)
+    return whole
+
+
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of 250 orders to fetch yet, given landed pages of other sizes with holes between."""
+    total = table(spark, sf_dir, "orders").count()
+    columns = ["productid", "recalleventid"]
+    spans = landed_spans(read_ledger(spark, holed_pages(spark, sf_dir)), total, columns)
+    return plan_missing_pages(spans, BASE_URL, total, columns, 250).select("url", "start", "rows")
+
+
+def missing_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same holes, as runs of offsets."""
+    total = table(spark, sf_dir, "orders").count()
+    spans = landed_spans(
+        read_ledger(spark, holed_pages(spark, sf_dir)), total, ["productid", "recalleventid"]
+    )
+    return missing_spans(spans, total)
+
+
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event per type and user, over a frame that is no ledger."""
     events = table(spark, sf_dir, "events")
@@ -506,7 +555,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         remaining_events, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
         page_sizes, page_counts, call_outcomes, kept_responses, failed_calls, retry_schedule,
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
-        flattened_records, flattened_tables, current_responses, current_pages, latest_events, integrity_report,
+        flattened_records, flattened_tables, current_responses, current_pages, refreshed_view, missing_pages,
+        missing_offsets, latest_events, integrity_report,
         malformed_bodies, coverage_report, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
         endpoint_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, forced_run,

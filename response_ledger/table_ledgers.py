@@ -101,23 +101,60 @@ def page_rows_of_orders(
 
 def paged_runs(spark: SparkSession, sf_dir: str) -> str:
     """
-    Pages of `orders` under two filters: status F in two runs, status O twice in one run, the
-    second time in larger pages.
+    Pages of `orders` under three filters: status F in two runs and a third that got no further
+    than its first two pages, status O twice in one run, the second time in larger pages, and
+    status P, of which no run has come to its first page yet.
     """
 
     def write(path: str) -> None:
-        for hour, (run, status, size) in enumerate(
-            (("r1", "F", 300), ("r2", "F", 300), ("r1", "O", 200), ("r1", "O", 500))
-        ):
-            at = F.timestamp_micros(F.lit(1_787_227_200_000_000 + hour * 3_600_000_000))
-            rows = page_rows_of_orders(
-                spark, sf_dir, size, [{"centercd": [status]}], (status,), fetched_at=at
-            )
-            append_ledger(rows, f"{path}/run_id={run}", PAGE_GROUP_ROWS)
+        for run in PAGED_RUNS:
+            append_paged_run(spark, sf_dir, path, *run)
 
     return once(spark, sf_dir, "paged_runs", write)
 
 
+# Hour, run, status, page size and how many pages; None stands for all.
+PAGED_RUNS = (
+    (0, "r1", "F", 300, None),
+    (1, "r2", "F", 300, None),
+    (2, "r1", "O", 200, None),
+    (3, "r1", "O", 500, None),
+    (4, "r3", "F", 300, 2),
+    (5, "r3", "P", 10, -1),
+)
+
+
+def append_paged_run(
+    spark: SparkSession, sf_dir: str, path: str, hour: int, run: str, status: str, size: int, pages: int | None
+) -> None:
+    """A run's pages of the orders of one status; of a negative number of pages the first are missing."""
+    at = F.timestamp_micros(F.lit(1_787_227_200_000_000 + hour * 3_600_000_000))
+    rows = page_rows_of_orders(spark, sf_dir, size, [{"centercd": [status]}], (status,), fetched_at=at)
+    if pages is not None:
+        rows = rows.where(F.col("start") <= pages * size if pages >= 0 else F.col("start") > -pages * size)
+    append_ledger(rows, f"{path}/run_id={run}", PAGE_GROUP_ROWS)
+
+
+def holed_pages(spark: SparkSession, sf_dir: str) -> str:
+    """
+    Pages of all `orders` in three sizes that overlap and leave holes, one that was asked for under
+    other filters, and one from when the source had fewer records.
+    """
+
+    def write(path: str) -> None:
+        start = F.col("start")
+        for run, (size, kept) in enumerate(
+            ((100, (start % 700) < 400), (75, (start % 1050) > 800), (300, start <= 300))
+        ):
+            rows = page_rows_of_orders(spark, sf_dir, size).where(kept)
+            append_ledger(rows, f"{path}/run_id=r{run}", PAGE_GROUP_ROWS)
+        others = page_rows_of_orders(spark, sf_dir, 5000, [{"phase": ["Ongoing"]}])
+        fewer = page_rows_of_orders(spark, sf_dir, 5000, statuses=("F", "O"))
+        append_ledger(others.unionByName(fewer), f"{path}/run_id=r9", PAGE_GROUP_ROWS)
+
+    return once(spark, sf_dir, "holed_pages", write)
+
+
 def pages_ledger(spark: SparkSession, sf_dir: str) -> str:
     return once(
         spark, sf_dir, "pages", lambda path: append_ledger(page_rows_of_orders(spark, sf_dir), path, PAGE_GROUP_ROWS)

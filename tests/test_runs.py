@@ -120,6 +120,23 @@ def test_paged_limit_counts_requests(spark, tmp_path):
     assert paged(spark, tmp_path, rows=3, limit=0) == (0, 0, 0)
 
 
+def test_paged_stage_resumes_by_offsets(spark, tmp_path):
+    def starts():
+        found = read_ledger(spark, target_path(str(tmp_path), "RECALLS", "r1")).collect()
+        return sorted((one["start"], one["rows"]) for one in found)
+
+    assert paged(spark, tmp_path, rows=2, limit=1, resume_pages=True).written == 1
+    assert paged(spark, tmp_path, rows=3, limit=1, resume_pages=True).written == 1
+    # Offsets 1 to 3 are held by now, 5 and 6 are not, and 4 is in no page asked for.
+    assert starts() == [(1, 2), (1, 3)]
+    assert paged(spark, tmp_path, rows=2, batch_size=1, resume_pages=True) == (2, 2, 0)
+    assert starts() == [(1, 2), (1, 3), (3, 2), (5, 2)]
+    assert paged(spark, tmp_path, rows=4, resume_pages=True) == (0, 0, 0)
+    # Other filters, and force, know of no page.
+    assert paged(spark, tmp_path, rows=6, resume_pages=True, filters=[{"phase": ["x"]}]).written == 1
+    assert paged(spark, tmp_path, rows=6, resume_pages=True, force=True).written == 1
+
+
 def test_by_id_stage_resumes(spark, tmp_path):
     paged(spark, tmp_path)
     service = Service(tmp_path / "first")
