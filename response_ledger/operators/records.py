@@ -72,8 +72,11 @@ def flatten_records(pages: DataFrame, columns: dict[str, str], keep: tuple[str,
     )
 
 
-def flatten_tabular(pages: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """COLUMNS/DATA bodies as a typed table; a column the body does not name is NULL."""
+def explode_tables(pages: DataFrame, fields: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """
+    One row per row of a COLUMNS/DATA body: `keep`, then the asked fields as text under their
+    lower-cased names; one the body does not name is NULL.
+    """
     body = F.from_json(
         "content",
         "struct<RESULT:struct<COLUMNS:array<string>,DATA:array<array<string>>>>",
@@ -89,6 +92,12 @@ def flatten_tabular(pages: DataFrame, columns: dict[str, str], keep: tuple[str,
         place = F.array_position("names", F.lit(name.upper())).cast("int")
         return F.when(place > 0, F.get("cells", place - 1))
 
+    return rows.select(*keep, *[cell(name).alias(name.lower()) for name in fields])
+
+
+def flatten_tabular(pages: DataFrame, columns: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """COLUMNS/DATA bodies as a typed table; a column the body does not name is NULL."""
+    rows = explode_tables(pages, list(columns), keep)
     return rows.select(
-        *keep, *[cell(name).cast(kind).alias(name.lower()) for name, kind in columns.items()]
+        *keep, *[F.col(name.lower()).cast(kind).alias(name.lower()) for name, kind in columns.items()]
     )

@@ -71,7 +71,7 @@ def remaining(workset: DataFrame, fetched: DataFrame, request_type: str) -> Data
 
 def first_ids(workset: DataFrame, limit: int) -> DataFrame:
     """The first `limit` ids in id order."""
-    return number_rows(workset, "id").where(F.col("n") <= limit).select("id")
+    return workset.select("id").orderBy("id").limit(limit)
 
 
 def batch_number(place: str, batch_size: int) -> Column:

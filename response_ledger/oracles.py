@@ -146,6 +146,30 @@ ORACLES: dict[str, str] = {
                c_custkey AS recalleventid, c_name AS firmlegalnam, c_acctbal AS amount,
                'not in the body' AS phasetxt
         FROM customer""",
+    "documented_types": """
+        WITH counts AS (
+          SELECT count(*) AS n, count(*) FILTER (o_orderpriority = '1-URGENT') AS undated,
+                 count(*) FILTER (o_orderstatus = 'F') AS worded FROM orders)
+        SELECT unnest(['productid', 'quantity', 'feinumber', 'recalleventid', 'recallinitiationdt', 'phasetxt'])
+                 AS "column", unnest([n, n, n, n, n, 0]) AS "values",
+               unnest(['bigint', 'double', 'string', 'string', 'string', 'string']) AS kind,
+               CAST(0 AS BIGINT) AS misfits, CAST(0.0 AS DOUBLE) AS tolerance FROM counts
+        UNION ALL
+        SELECT unnest(['productid', 'quantity', 'feinumber', 'recalleventid', 'recallinitiationdt', 'phasetxt']),
+               unnest([n, n, n, n, n, 0]),
+               unnest(['bigint', 'double', 'string', 'string', 'date', 'string']),
+               unnest([0, 0, 0, 0, undated, 0]), CAST(0.25 AS DOUBLE) FROM counts""",
+    "typed_records": """
+        SELECT o_orderkey AS productid,
+               CASE WHEN o_orderkey % 2 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS quantity,
+               lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS feinumber,
+               CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE CAST(o_custkey AS VARCHAR) END AS recalleventid,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END
+                 AS recallinitiationdt,
+               'none' AS phasetxt,
+               CASE WHEN o_orderpriority = '1-URGENT'
+                 THEN '{"recallinitiationdt":"n/a ' || o_custkey || '"}' ELSE '' END AS rescued
+        FROM orders""",
     "current_responses": """
         SELECT upper(event_type) AS request_type, user_id AS path_id,
                '{"event_id":' || event_id || ',"props":"' || replace(props, '"', '\\"') || '"}' AS content

@@ -28,6 +28,7 @@ from response_ledger.operators.outcomes import (
     to_ledger,
 )
 from response_ledger.operators.records import explode_records, flatten_records, flatten_tabular
+from response_ledger.operators.typed import column_types, flatten_typed, vocabulary_columns
 from response_ledger.operators.vocabulary import vocabulary, vocabulary_errors
 from response_ledger.operators.workset import (
     assign_batches,
@@ -69,6 +70,8 @@ from response_ledger.table_ledgers import (
     holed_pages,
     ledger_rows,
     marked_documents,
+    mixed_pages,
+    mixed_spec,
     once,
     order_specs,
     paged_runs,
@@ -285,6 +288,38 @@ def flattened_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One order in five has no date.
+_DATE_TOLERANCE = 0.25
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    pages = read_ledger(spark, mixed_pages(spark, sf_dir))
+    return pages, vocabulary_columns(vocabulary(mixed_spec(spark)), "RECALLS")
+
+
+def documented_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least type of every documented column, strictly, and with a share of misfits tolerated."""
+    pages, columns = _mixed(spark, sf_dir)
+    records = explode_records(pages, columns)
+    strict, lenient = (
+        column_types(records, columns, share).withColumn("tolerance", F.lit(share))
+        for share in (0.0, _DATE_TOLERANCE)
+    )
+    return strict.unionByName(lenient)
+
+
+def typed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as a table typed by their own values, the texts that do not fit rescued."""
+    pages, columns = _mixed(spark, sf_dir)
+    flat = flatten_typed(pages, columns, _DATE_TOLERANCE)
+    return flat.select(
+        "productid", "quantity", "feinumber", "recalleventid",
+        F.coalesce(F.col("recallinitiationdt").cast("string"), F.lit("")).alias("recallinitiationdt"),
+        F.coalesce("phasetxt", F.lit("none")).alias("phasetxt"),
+        F.coalesce(F.to_json("rescued"), F.lit("")).alias("rescued"),
+    )
+
+
 def current_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest response per endpoint and id out of an append-only ledger."""
     current = audit.current_responses(read_ledger(spark, events_ledger(spark, sf_dir)))
@@ -555,7 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         remaining_events, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
         page_sizes, page_counts, call_outcomes, kept_responses, failed_calls, retry_schedule,
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
-        flattened_records, flattened_tables, current_responses, current_pages, refreshed_view, missing_pages,
+        flattened_records, flattened_tables, documented_types, typed_records, current_responses, current_pages, refreshed_view, missing_pages,
         missing_offsets, latest_events, integrity_report,
         malformed_bodies, coverage_report, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,

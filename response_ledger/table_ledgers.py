@@ -8,6 +8,8 @@ Ledgers, bodies and replies rendered from the test tables.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +137,47 @@ def append_paged_run(
     append_ledger(rows, f"{path}/run_id={run}", PAGE_GROUP_ROWS)
 
 
+def mixed_pages(spark: SparkSession, sf_dir: str) -> str:
+    """
+    `orders` as pages of records whose fields are of mixed types: whole numbers among
+    fractions, numbers with leading zeros, words among numbers, and for urgent orders no date.
+    """
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    record = F.struct(
+        key.cast("string").alias("PRODUCTID"),
+        F.when(key % 2 == 0, F.floor(price).cast("string")).otherwise(price.cast("string")).alias("QUANTITY"),
+        F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("FEINUMBER"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_orderstatus"))
+        .otherwise(F.col("o_custkey").cast("string")).alias("RECALLEVENTID"),
+        F.when(urgent, F.concat(F.lit("n/a "), F.col("o_custkey").cast("string")))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("RECALLINITIATIONDT"),
+    )
+    body = F.to_json(
+        F.struct(F.lit("success").alias("MESSAGE"), F.array_sort(F.collect_list(record)).alias("RESULT"))
+    )
+
+    def write(path: str) -> None:
+        pages = table(spark, sf_dir, "orders").groupBy(F.expr("o_orderkey div 2000").alias("page"))
+        rows = pages.agg(body.alias("content"))
+        append_ledger(
+            ledger_rows(rows, request_type=F.lit("RECALLS"), start=F.col("page"), content=F.col("content")),
+            path, PAGE_GROUP_ROWS,
+        )
+
+    return once(spark, sf_dir, "mixed_pages", write)
+
+
+def mixed_spec(spark: SparkSession) -> DataFrame:
+    """The spec that documents the fields of those records, and one more."""
+    names = "ProductId, Quantity, FEINumber, RecallEventId, RecallInitiationDt, PhaseTxt"
+    text = (
+        f"<b>Display columns</b> <i>{names}</i> <b>Sort</b> <i>ProductId</i> <b>Filter</b> <i>PhaseTxt</i>"
+    )
+    paths = {"/recalls/": {"post": {"description": text}}}
+    return spark.range(1).select(F.lit(json.dumps({"paths": paths})).alias("text"))
+
+
 def holed_pages(spark: SparkSession, sf_dir: str) -> str:
     """
     Pages of all `orders` in three sizes that overlap and leave holes, one that was asked for under
