@@ -11,11 +11,13 @@ up to two times a source.
 Prefix sums over a source, and over all finish times, are taken in two levels: the rows are
 dealt into slices of some thousand rows, the slices' sums are added up, and only inside a
 slice are rows sorted. So neither a source with a third of all rows nor the global order goes
-through one task.
+through one task. A slice that a frequent doc_id, or the lack of one, has made too large is cut
+further, along the order of its rows: by key, size and a hash of the row, and where equal rows are
+too many, which may swap places without a trace, among them at will.
 
 Defined cases: a null text has size 0 and is never taken; rows with a null source form a
 source of their own, the last; repeated rows are queued each; an empty table gives no rows.
-Columns of the input with the name of an output column are replaced.
+Columns of the input with the name of an output column are replaced; others may have any name.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from response_ledger.llm.batches import put_back, set_aside
 from response_ledger.session import landed
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,25 +80,68 @@ def source_targets(
     )
 
 
-def queued(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """`rows` (source, size, __key, __tie) with their source's columns and `__first`, the finish time."""
-    slices = F.ceil(F.col("source_rows") / SLICE_ROWS).cast("bigint")
+def dealt(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """`rows` (source, size, __key, __tie, __id) with their source's columns and their `__slice`."""
+    slices = F.ceil(F.col("__rows") / SLICE_ROWS).cast("bigint")
     fraction = F.conv(F.substring("__key", 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
-    named = targets.withColumnRenamed("source", "__source")
-    dealt = rows.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    dealt = dealt.withColumn("__slice", F.floor(fraction * slices))
-    sums = dealt.groupBy("place", "__slice").agg(F.sum("size").alias("__words"))
-    before = Window.partitionBy("place").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(
-        "place", "__slice", F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__before")
+    named = targets.select(
+        F.col("source").alias("__source"), "source_size", "target",
+        F.col("source_rows").alias("__rows"), F.col("place").alias("__place"),
+    )
+    joined = rows.join(named, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    return joined.withColumn("__slice", F.floor(fraction * slices)).drop("__rows")
+
+
+def crowded(rows: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """
+    Of dealt rows the slices that are far too large, with the bits of the rows' hash to cut them
+    by, and in them the equal rows that are too many still, with how many ways to part them.
+    """
+    many = F.count(F.lit(1))
+    shift = (64 - F.ceil(F.log2(F.col("__many") / SLICE_ROWS))).cast("int")
+    slices = landed(
+        rows.groupBy("__place", "__slice").agg(many.alias("__many")).where(F.col("__many") > 4 * SLICE_ROWS)
+        .select("__place", "__slice", shift.alias("__shift")),
+        "crowded",
+    )
+    if slices.isEmpty():
+        return None
+    same = ["__place", "__slice", "__key", "size", "__tie"]
+    equal = (
+        rows.join(slices, ["__place", "__slice"], "left_semi").groupBy(*same).agg(many.alias("__many"))
+        .where(F.col("__many") > SLICE_ROWS)
+        .select(*same, F.ceil(F.col("__many") / SLICE_ROWS).cast("bigint").alias("__ways"))
     )
+    return slices, landed(equal, "equal")
+
+
+def queued(rows: DataFrame, targets: DataFrame, cuts: tuple[DataFrame, DataFrame] | None) -> DataFrame:
+    """`rows` with their source's columns and `__done`, the source's words up to and in them."""
+    placed, part = dealt(rows, targets), ["__place", "__slice"]
+    if cuts is not None:
+        slices, equal = cuts
+        met = placed.join(slices, part, "left").join(equal, [*part, "__key", "size", "__tie"], "left")
+        hot, alike = F.col("__shift").isNotNull(), F.col("__ways").isNotNull()
+        finer = {
+            "__a": F.when(hot, F.col("__key")).otherwise(""),
+            "__b": F.when(hot, F.col("size")).otherwise(0),
+            "__c": F.when(hot, F.expr("shiftright(__tie, __shift)")).otherwise(0),
+            # Rows that are alike come after the others of their part.
+            "__d": alike,
+            "__e": F.when(alike, F.col("__tie")).otherwise(0),
+            "__f": F.when(alike, F.pmod("__id", "__ways")).otherwise(0),
+        }
+        placed, part = met.withColumns(finer).drop("__shift", "__ways"), [*part, *finer]
+    sums = placed.groupBy(*part).agg(F.sum("size").alias("__words"))
+    before = Window.partitionBy("__place").orderBy(*part[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*part, F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__before"))
     inside = (
-        Window.partitionBy("place", "__slice").orderBy("__key", "size", "__tie")
+        Window.partitionBy(*part).orderBy("__key", "size", "__tie")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    summed = dealt.withColumn("__words", F.sum("size").over(inside)).join(sums, ["place", "__slice"])
+    summed = placed.withColumn("__words", F.sum("size").over(inside)).join(sums, part)
     done = (F.col("__before") + F.col("__words")).cast("double")
-    return summed.withColumn("__done", done).drop("__slice", "__words", "__before")
+    return summed.withColumn("__done", done).drop("__words", "__before", *part[1:])
 
 
 def finish(nth: int) -> Column:
@@ -111,7 +157,8 @@ def cut_off(times: DataFrame, budget: float, rows: int) -> tuple[int, float, int
     """
     per_unit = max(1, -(-rows * PASSES // SLICE_ROWS))
     events = times.select(
-        "place", "size", F.explode(F.array(*[finish(n) for n in range(PASSES)])).alias("finish")
+        F.col("__place").alias("place"), "size",
+        F.explode(F.array(*[finish(n) for n in range(PASSES)])).alias("finish"),
     ).where(F.col("finish").isNotNull()).withColumn("__time", F.floor(F.col("finish") * per_unit))
     running = Window.orderBy("__time").rowsBetween(Window.unboundedPreceding, 0)
     sums = events.groupBy("__time").agg(F.sum("size").alias("words"))
@@ -152,17 +199,22 @@ def mix(
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     marked = documents.withColumn("size", n_words(text))
     # Rows equal in all columns may swap places without a trace.
-    rows = marked.select(*kept, "size", key.alias("__key"), F.xxhash64(*kept).alias("__tie"))
+    rows = marked.select(
+        *kept, "size", key.alias("__key"), F.xxhash64(*kept).alias("__tie"),
+        F.monotonically_increasing_id().alias("__id"),
+    )
+    own = ["source", "size", "__key", "__tie", "__id"]
     # Sizes are counted once and written; where texts are to be kept, they are counted again
     # instead of writing the texts.
-    narrow = landed(rows.select("source", "size", "__key", "__tie") if keep_text else rows, "sized")
+    narrow = landed(rows.select(*own) if keep_text else rows, "sized")
     rows = rows if keep_text else narrow
     targets = landed(source_targets(narrow, weights, share), "targets")
     total = targets.agg(F.sum("source_rows").alias("rows"), F.max("budget").alias("budget")).first()
-    times = queued(rows, targets)
+    cuts = crowded(dealt(narrow.select(*own), targets))
+    times = queued(rows, targets, cuts)
     if not total["budget"]:
         return times.select(*kept, "size", "source_size", "target", F.lit(0).alias("copies"), F.lit(0).cast("bigint").alias("taken"))
-    last = cut_off(queued(narrow.select("source", "size", "__key", "__tie"), targets), total["budget"], total["rows"])
+    last = cut_off(queued(narrow.select(*own), targets, cuts), total["budget"], total["rows"])
     if last is None:
         hits = [finish(n).isNotNull() for n in range(PASSES)]
     else:
@@ -170,7 +222,7 @@ def mix(
         hits = []
         for n in range(PASSES):
             time = F.floor(finish(n) * per_unit)
-            inside = F.struct(finish(n), "place") <= F.struct(F.lit(last[1]), F.lit(last[2]))
+            inside = F.struct(finish(n), "__place") <= F.struct(F.lit(last[1]), F.lit(last[2]))
             hits.append(F.coalesce((time < last[0]) | ((time == last[0]) & inside), F.lit(False)))
     copies = sum((hit.cast("int") for hit in hits), F.lit(0))
     return times.withColumn("copies", copies).select(
@@ -180,7 +232,6 @@ def mix(
 
 def mixed(documents: DataFrame, text: str = "text") -> DataFrame:
     """The documents of the mix themselves: each as often as it is taken."""
-    copies = mix(documents, text).where(F.col("copies") > 0)
-    return copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *documents.columns
-    )
+    copies = mix(set_aside(documents, ADDED), text).where(F.col("copies") > 0)
+    each = copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return put_back(each, documents.columns, ADDED)

@@ -26,7 +26,7 @@ from response_ledger.llm.batches import evaluated
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 ADDED = (*MEASURES, "base_failed", "host_rate", "kept")
 
 # White space between words, and the signs that count as symbols.
@@ -39,14 +39,14 @@ PORTION = 1 << 20
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_SYMBOL_PERCENT = 10
-MAX_DUP_LINES = 5
+MAX_DUP_LINE_PERCENT = 30
 # A host goes when its shrunk share of failing documents is above this.
 MAX_HOST_RATE = 0.5
 # Bounds of the prior's weight, in documents.
 PRIOR_DOCUMENTS = (1.0, 1000.0)
 
 
-def measure_text(text: str) -> tuple[int, int, int, int, int]:
+def measure_text(text: str) -> tuple[int, int, int, int, int, int]:
     """The `MEASURES` of one whole text."""
     raw = text.encode()
     words = raw.split()
@@ -62,7 +62,7 @@ def measure_text(text: str) -> tuple[int, int, int, int, int]:
         for shift in range(3):
             covered[shift : shift + len(starts)] |= starts
         repeated = int(covered.sum())
-    return len(words), len(text) - spaces, symbols, len(lines) - len(set(lines)), repeated
+    return len(words), len(text) - spaces, symbols, len(lines) - len(set(lines)), repeated, len(lines)
 
 
 def measure(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -90,9 +90,12 @@ def base_failed() -> Column:
 
 
 def any_failed() -> Column:
-    """What counts against a host: the base rules, many symbols, or many repeated lines."""
+    """
+    What counts against a host: the base rules, many symbols, or many repeated lines, both as a
+    share of the document itself, so that no length is at a disadvantage.
+    """
     symbols = F.col("n_symbols") * 100 > F.col("word_chars") * MAX_SYMBOL_PERCENT
-    return base_failed() | symbols | (F.col("n_dup_lines") > MAX_DUP_LINES)
+    return base_failed() | symbols | (F.col("n_dup_lines") * 100 > F.col("n_lines") * MAX_DUP_LINE_PERCENT)
 
 
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:

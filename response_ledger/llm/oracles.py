@@ -61,7 +61,7 @@ WITH texts AS (
     SELECT id, doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+        CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
     FROM texts LEFT JOIN covered USING (id)
 ), judged AS (
@@ -71,7 +71,7 @@ WITH texts AS (
 ), hosts AS (
     SELECT source, count(*) AS n, count(*) FILTER (base_failed
         OR 100 * n_symbols > {host_rules.MAX_SYMBOL_PERCENT} * word_chars
-        OR n_dup_lines > {host_rules.MAX_DUP_LINES}) AS k
+        OR 100 * n_dup_lines > {host_rules.MAX_DUP_LINE_PERCENT} * n_lines) AS k
     FROM judged GROUP BY source
 ), moments AS (
     SELECT sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2 AS spread FROM hosts
@@ -86,7 +86,7 @@ WITH texts AS (
 """
 
 OP9 = f"""{MEASURED}
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed,
     NOT base_failed AND host_rate <= {host_rules.MAX_HOST_RATE} AS kept
 FROM judged JOIN verdicts v ON judged.source IS NOT DISTINCT FROM v.source
 """

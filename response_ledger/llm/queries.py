@@ -34,7 +34,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.without_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "text", "n_sentences", "n_removed"
+        "doc_id", "text", "n_sentences", "n_removed", "n_in_spans"
     )
 
 

@@ -13,15 +13,17 @@ are a run if they have `FEW_WORDS` words; a text with fewer sentences than `RUN`
 `RUN_WORDS`. For passages with fewer whole sentences, any `PASSAGE_WORDS` words that hold no run of
 `RUN` sentences, and do not begin with the same word twice, are a run, too; it counts where no
 repeated run of sentences overlaps it. Runs are alike if their words are, A-Z in either case,
-whatever white space is between them. The first of a kind is the one with the least (doc_id,
-position), and a sentence counts as removed if any word of it is.
+whatever white space is between them. The first of a kind is the one with the least (doc_id, digest of the
+text, position), and a sentence counts as removed if any word of it is. `n_in_spans` counts those that
+lie in a repeated run of sentences; the others of `n_removed` went with a run of words alone.
 
 Counting comes first, by partial aggregates of hashes alone. Only occurrences of repeated runs
 go on, and these join on the hash, which Spark splits where one run makes up much of all.
 
 Defined cases: a null text has no sentences and stays null; a row whose doc_id is null comes
-before all others; rows that share doc_id, position and run are all first or all not;
-an empty table gives no rows. Input columns with the name of an output column are replaced.
+before all others; of rows that share a doc_id, or have none, and differ in text one is the first;
+rows that are equal in both are all first or all not. An empty table gives no rows. Input columns
+with the name of an output column are replaced; others may have any name.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from response_ledger.llm.batches import evaluated
+from response_ledger.llm.batches import evaluated, put_back, set_aside
 from response_ledger.llm.odd_sketch import Shingler, mixed
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
@@ -48,7 +50,7 @@ MARKS = b".!?,;:|"
 # Full stops, question marks, commas and the like of other scripts.
 WIDE_MARKS = "。．、，！？：；｡､︒︑؟،؛۔।॥։።፣၊။។៕…"
 PORTION = 1 << 20
-ADDED = ("n_sentences", "n_removed")
+ADDED = ("n_sentences", "n_removed", "n_in_spans")
 
 _ALNUM = np.array([chr(b).isalnum() or b >= 0x80 for b in range(128)] + [True] * 128)
 _MARK = np.zeros(256, bool)
@@ -209,17 +211,18 @@ class Sentences:
         np.add.at(change, one.run_to[runs], -1)
         return np.cumsum(change[:-1]) > 0
 
-    def remove(self, text: str, places: list[int], hashes: list[int]) -> tuple[str, int, int]:
+    def remove(self, text: str, places: list[int], hashes: list[int]) -> tuple[str, int, int, int]:
         """
         The text less the words of the runs at `places` that have these hashes, the number of its
-        sentences, and of those that lost a word.
+        sentences, of those that lost a word, and of those that a run of sentences covers.
         """
         (one,) = self.find([text])
         wanted = set(zip(places, hashes))
         hit = np.array([run in wanted for run in zip(one.places.tolist(), one.hashes.tolist())], bool)
         if not hit.any():
-            return text, len(one.sentences), 0
+            return text, len(one.sentences), 0, 0
         gone = self._covered(one, hit & ~one.of_words)
+        in_spans = int(np.logical_or.reduceat(gone, one.sentences).sum())
         before = np.append(0, np.cumsum(gone))
         gone |= self._covered(one, hit & one.of_words & (before[one.run_to] == before[one.run_at]))
         raw = text.encode()
@@ -228,7 +231,7 @@ class Sentences:
         bounds = [0, *one.starts[turns].tolist(), len(raw)]
         outs = [bool(gone[0]), *gone[turns].tolist()]
         kept = b"".join(raw[a:b] for a, b, out in zip(bounds, bounds[1:], outs) if not out)
-        return kept.decode(), len(one.sentences), int(np.logical_or.reduceat(gone, one.sentences).sum())
+        return kept.decode(), len(one.sentences), int(np.logical_or.reduceat(gone, one.sentences).sum()), in_spans
 
 
 def runs(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -256,28 +259,30 @@ def runs(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
     """
-    (doc_id, digest, places, hashes): the runs of each text that are not the first of their
+    (doc_id, digest, __places, __hashes): the runs of each text that are not the first of their
     kind. Rows may share a doc_id or have none, so the digest of the text tells them apart.
     """
     known = evaluated(runs(documents, text), "runs")
     each = known.select("doc_id", "digest", F.inline("runs"))
-    often = each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
+    # Written, too: a join of two plain exchanges is one that Spark splits where a run is frequent.
+    often = landed(each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run"), "often")
     # Written, so that what follows reads few rows and the joins see its size.
     again = landed(each.join(often.hint("merge"), "run"), "again")
-    order = F.struct(F.col("doc_id").isNotNull().alias("a"), F.col("doc_id").alias("b"), F.col("place").alias("c"))
+    names = ("doc_id", "digest", "place")
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), *[F.col(name) for name in names])
     first = landed(again.groupBy("run").agg(F.min(order).alias("first")), "first")
     later = again.join(first, "run").where(order != F.col("first"))
     # Equal rows have equal runs: made distinct first, so that a list is never longer than its text.
     later = later.select("doc_id", "digest", "place", "run").distinct()
     return later.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("place", "run")).alias("later")).select(
-        "doc_id", "digest", F.col("later.place").alias("places"), F.col("later.run").alias("hashes")
+        "doc_id", "digest", F.col("later.place").alias("__places"), F.col("later.run").alias("__hashes")
     )
 
 
 def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     `documents` with repeated sentences taken out of `text`, and with `n_sentences` and
-    `n_removed` of each text. Rows and other columns stay as they are.
+    `n_removed` and `n_in_spans` of each text. Rows and other columns stay as they are.
     """
     kept = [c for c in documents.columns if c not in ADDED]
     later = later_runs(documents, text).withColumnsRenamed({"doc_id": "__doc", "digest": "__digest"})
@@ -286,7 +291,7 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
         later.hint("merge"),
         F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__digest")),
         "left",
-    ).select(*kept, "places", "hashes")
+    ).select(*kept, "__places", "__hashes")
     fields = documents.select(*kept).schema.fields
     fields += [T.StructField(name, T.LongType()) for name in ADDED]
     names = [field.name for field in fields]
@@ -300,12 +305,12 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
                 places, hashes = (part.column(len(kept) + i).to_pylist() for i in (0, 1))
                 counts = [len(one.sentences) for one in sentences.find([t or "" for t in texts])]
                 rows = [
-                    (t, n, 0) if p is None or t is None else sentences.remove(t, p, h)
+                    (t, n, 0, 0) if p is None or t is None else sentences.remove(t, p, h)
                     for t, n, p, h in zip(texts, counts, places, hashes)
                 ]
                 columns = part.columns[: len(kept)]
                 columns[at] = pa.array([row[0] for row in rows], pa.string())
-                columns += [pa.array([row[i] for row in rows], pa.int64()) for i in (1, 2)]
+                columns += [pa.array([row[i] for row in rows], pa.int64()) for i in (1, 2, 3)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(cleaned, T.StructType(fields))
@@ -313,5 +318,6 @@ def without_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def cleaned_documents(documents: DataFrame, text: str = "text") -> DataFrame:
     """`documents` with repeated sentences removed, less those of which nothing is left."""
-    clean = without_repeats(documents, text)
-    return clean.where((F.col("n_removed") == 0) | (F.trim(text) != "")).select(*documents.columns)
+    clean = without_repeats(set_aside(documents, ADDED), text)
+    left = clean.where((F.col("n_removed") == 0) | (F.trim(text) != ""))
+    return put_back(left, documents.columns, ADDED)

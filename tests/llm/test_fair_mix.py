@@ -55,6 +55,29 @@ def test_takes_against_the_plain_queue(spark, monkeypatch):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(expected(rows), key=repr)
 
 
+def test_hot_keys_are_cut_along_the_order(spark, monkeypatch):
+    monkeypatch.setattr(fair_mix, "SLICE_ROWS", 8)
+    rng = random.Random(4)
+    rows = corpus() + [(None, "a", "w " * rng.randint(1, 9) + str(i)) for i in range(300)]
+    rows += [(5, "b", f"{i} and so on") for i in range(200)] + [(6, "b", "all the same words")] * 150
+    names = "doc_id long, source string, text string, place int, budget string, source_rows int"
+    documents = spark.createDataFrame([(*row, 1, "x", 2) for row in rows], names)
+    cuts = fair_mix.crowded
+    seen = []
+    monkeypatch.setattr(fair_mix, "crowded", lambda dealt: seen.append(cuts(dealt)) or seen[-1])
+    first = fair_mix.mix(documents).collect()
+    # Which of the rows of one key and size are taken is for the hash of the row; the sums are not.
+    found, wanted = (sorted((row[0] or -1, *row[1:4], row[4]) for row in some) for some in (
+        [(r["doc_id"], r["size"], r["source_size"], r["target"], r["taken"]) for r in first], expected(rows)))
+    assert found == wanted
+    assert seen[0][0].count() >= 3 and seen[0][1].count() == 1
+    again = fair_mix.mix(documents.repartition(7)).collect()
+    assert sorted(map(repr, first)) == sorted(map(repr, again))
+    assert {(row["place"], row["budget"], row["source_rows"]) for row in first} == {(1, "x", 2)}
+    clash = spark.createDataFrame([(*row, 3, 4) for row in rows], "doc_id long, source string, text string, size int, taken int")
+    assert {(row["size"], row["taken"]) for row in fair_mix.mixed(clash).collect()} == {(3, 4)}
+
+
 def test_sources_come_near_their_targets_and_reruns_agree(spark):
     documents = spark.createDataFrame(corpus(), "doc_id long, source string, text string")
     first = [row.asDict() for row in fair_mix.mix(documents).orderBy("doc_id", "taken").collect()]

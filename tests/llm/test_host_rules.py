@@ -4,7 +4,10 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+
 from response_ledger.llm import host_rules
+from response_ledger.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -17,7 +20,7 @@ def plain(text):
     seen = Counter(windows)
     covered = {i + k for i, window in enumerate(windows) if seen[window] > 1 for k in range(3)}
     symbols = sum(text.count(sign) for sign in "#*$%&|<>")
-    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), len(lines)
 
 
 def test_measures_against_plain_counts(spark):
@@ -50,6 +53,25 @@ def test_bad_hosts_go_and_small_ones_are_shrunk(spark):
     assert 0 < rate["one"] < 0.3 and rate[None] < 0.6 and 0.5 < rate["bad"] < 0.8
 
 
+def test_hosts_by_the_registered_query(spark, tmp_path):
+    rng = random.Random(5)
+    # Books: long clean texts with a separator between chapters, beside short clean ones.
+    book = lambda: "\n* * *\n".join("\n".join(prose(rng, 12) for _ in range(9)) for _ in range(9))
+    rows = [(i, "books", book() if i < 60 else prose(rng)) for i in range(80)]
+    rows += [(100 + i, "menus", "\n".join([prose(rng, 60)] + ["home | about"] * 3)) for i in range(80)]
+    rows += [(200 + i, None if i % 2 else "blog", prose(rng)) for i in range(120)]
+    documents = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    frame = QUERIES["op9_host_rules"](spark, str(tmp_path))
+    found = {row["doc_id"]: row["kept"] for row in frame.collect()}
+    assert found == {doc_id: source != "menus" for doc_id, source, _ in rows}
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = connection.execute(ORACLES["op9_host_rules"])
+    names = [one[0] for one in expected.description]
+    assert sorted(expected.fetchall()) == sorted(tuple(row) for row in frame.select(*names).collect())
+
+
 def test_empty_table(spark):
     documents = spark.createDataFrame([], "doc_id long, source string, text string")
     assert host_rules.judge(documents).collect() == []

@@ -3,6 +3,8 @@
 import random
 import re
 
+import xxhash
+
 from response_ledger.llm import sentence_spans
 
 SPACE = r"[^ \t\n\x0b\x0c\r]+"
@@ -20,6 +22,12 @@ def sentences(text):
     return words, starts
 
 
+def digest(text):
+    """The signed hash Spark has of a text, which orders rows that share a doc_id."""
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def expected(rows, run=sentence_spans.RUN, least=sentence_spans.RUN_WORDS):
     known, first = [], {}
     for i, (doc_id, text) in enumerate(rows):
@@ -42,21 +50,21 @@ def expected(rows, run=sentence_spans.RUN, least=sentence_spans.RUN_WORDS):
         keyed = {(a, b): tuple(lower[bounds[a] : bounds[b]]) for a, b in runs}
         known.append((text, words, starts, keyed))
         for (a, _), key in keyed.items():
-            place = (doc_id is not None, doc_id or 0, a)
+            place = (doc_id is not None, doc_id or 0, digest(text), a)
             first[key] = min(first.get(key, place), place)
     found = []
     for (doc_id, _), one in zip(rows, known):
         if one is None:
-            found.append((doc_id, None, 0, 0))
+            found.append((doc_id, None, 0, 0, 0))
             continue
         text, words, starts, keyed = one
         gone = set()
         for (a, b), key in keyed.items():
-            if first[key] != (doc_id is not None, doc_id or 0, a):
+            if first[key] != (doc_id is not None, doc_id or 0, digest(text), a):
                 gone.update(range(a, b))
         cuts = [0, *(words[i][0] for i in starts[1:]), len(text)]
         kept = "".join(text[cuts[i] : cuts[i + 1]] for i in range(len(starts)) if i not in gone)
-        found.append((doc_id, kept if gone else text, len(starts), len(gone)))
+        found.append((doc_id, kept if gone else text, len(starts), len(gone), len(gone)))
     return sorted(found, key=repr)
 
 
@@ -87,6 +95,20 @@ def test_a_pasted_passage_goes_from_all_but_the_first(spark):
     assert all(clean[100 + i]["text"] == rows[30 + i][1] for i in range(30))
 
 
+def test_of_rows_without_an_id_one_is_first(spark):
+    rng = random.Random(12)
+    passage = ". ".join(" ".join(rng.choice("abcdefgh") + str(rng.randint(0, 99)) for _ in range(20)) for _ in range(4)) + "."
+    rows = [(None, f"{passage} tail {i} of its own here.") for i in range(3)] + [(7, passage + " one."), (7, passage + " two.")]
+    frame = spark.createDataFrame([(*row, 5, "x") for row in rows], "doc_id long, text string, places int, hashes string")
+    found = sentence_spans.without_repeats(frame).collect()
+    assert len(found) == 5 and sum(passage in row["text"] for row in found) == 1
+    assert {(row["places"], row["hashes"]) for row in found} == {(5, "x")}
+    assert sorted(row["n_removed"] for row in found) == [0, 4, 4, 4, 4]
+    assert all(row["n_in_spans"] == row["n_removed"] for row in found)
+    own = spark.createDataFrame([(*row, 9) for row in rows], "doc_id long, text string, n_removed int")
+    assert {row["n_removed"] for row in sentence_spans.cleaned_documents(own).collect()} == {9}
+
+
 def test_emptied_documents_go_and_empty_tables_stay(spark):
     text = "one two three, four five six, seven eight nine, ten eleven twelve."
     documents = spark.createDataFrame([(1, text), (2, text), (3, ""), (4, None)], "doc_id long, text string")
@@ -106,13 +128,14 @@ def test_rows_that_share_an_id_or_have_none_lose_their_own_repeats(spark):
     found = sentence_spans.without_repeats(documents).collect()
     assert sorted(map(tuple, found), key=repr) == expected(rows)
     assert sorted(row["n_removed"] for row in found) == [0] + [5] * 5
-    # A row without id comes first, so the passages stand there a second time, at other places.
+    # Rows without id come before all others; the passages stand in them at different places.
     rows = [(None, f"{passages[0]} {passages[1]} {prose(30)} {passages[0]} {prose(30)}")]
     rows += [(None, f"{prose(30)} {prose(30)} {prose(30)} {passages[1]}"), (7, "x")]
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     found = sentence_spans.without_repeats(documents).collect()
     assert sorted(map(tuple, found), key=repr) == expected(rows)
-    assert sorted(row["n_removed"] for row in found) == [0, 5, 5]
+    # Of the rows without id the one with the lesser digest is first as a whole.
+    assert sorted(row["n_removed"] for row in found) == [0, 0, 10]
 
 
 def test_passages_of_any_shape_go(spark):
