@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from response_ledger.llm import byte_bpe, fair_mix, host_rules, odd_sketch, sentence_spans
-from response_ledger.llm.batches import evaluated
+from response_ledger.llm.batches import evaluated, put_back, set_aside
 from response_ledger.session import landed
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and whose host is not rejected."""
-    return host_rules.judge(docs).where("kept").select(*docs.columns)
+    judged = host_rules.judge(set_aside(docs, host_rules.ADDED)).where("kept")
+    return put_back(judged, docs.columns, host_rules.ADDED)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
