@@ -16,9 +16,10 @@ with the values below is in the README; vectors without any neighbourhood, sprea
 the sphere, are the hardest case and set `SHARE`.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite component take
-no part, neither do rows without vec_id or of another length than most; a query with fewer
-candidates returns all of them; rows that share a vec_id are candidates each, but none of them
-of its own; an empty table gives no rows.
+no part, neither do rows without vec_id; vectors of different lengths have no cosine, so each
+length has an index of its own and is searched for its own queries; a query with fewer candidates
+returns all of them; rows that share a vec_id are candidates each, but none of them of its own; an
+empty table gives no rows. Other columns are not read, so their names clash with nothing.
 """
 
 from __future__ import annotations
@@ -143,15 +144,29 @@ def nearest_neighbours(
     good = embeddings.select("vec_id", vector.alias("embedding")).where(
         F.col("vec_id").isNotNull() & F.coalesce(usable(F.col("embedding")), F.lit(False))
     )
-    sizes = good.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    dim = sizes.orderBy(F.desc("n"), "dim").first()
-    if dim is None:
+    rows = landed(good, "vectors")
+    sizes = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()
+    best = None
+    for size in sizes:
+        alike = rows.where(F.size("embedding") == size["dim"])
+        found = searched_blocks(alike, size["n"], size["dim"], every, nearest, share)
+        best = found if best is None else best.unionByName(found)
+    if best is None:
         return good.select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         )
-    size = dim["dim"]
-    rows = landed(good.where(F.size("embedding") == size), "vectors")
-    blocks = max(1, -(-dim["n"] // BLOCK_ROWS))
+    order = Window.partitionBy("query_id", "dim").orderBy(F.desc("score"), "vec_id")
+    return (
+        best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def searched_blocks(
+    rows: DataFrame, many: int, size: int, every: int, nearest: int, share: float
+) -> DataFrame:
+    """(query_id, vec_id, score, dim): the best of each block for the queries among vectors of one length."""
+    blocks = max(1, -(-many // BLOCK_ROWS))
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     query_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
 
@@ -183,9 +198,5 @@ def nearest_neighbours(
                 )
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
-    best = together.mapInArrow(searched, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    found = together.mapInArrow(searched, "query_id long, vec_id long, score double")
+    return found.withColumn("dim", F.lit(size))

@@ -38,6 +38,24 @@ def test_ties_go_to_the_smaller_id_over_all_blocks(spark, monkeypatch):
     assert found[0] == [1, 2, 3, 4, 5] and found[50] == [0, 1, 2, 3, 4] and set(found) == set(range(0, 320, 50))
 
 
+def test_every_length_is_searched_among_its_own(spark, monkeypatch):
+    monkeypatch.setattr(prefix_forest, "BLOCK_ROWS", 60)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=3 if i % 3 == 0 else 8 if i % 3 == 1 else 1).tolist(), 1, "x") for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, unit string")
+    found = {}
+    for row in prefix_forest.nearest_neighbours(table).orderBy("query_id", "rank").collect():
+        found.setdefault(row["query_id"], []).append(row["vec_id"])
+    for query in range(0, 300, 50):
+        own = np.array(rows[query][1])
+        scores = {
+            i: float(own @ np.array(v)) / (np.linalg.norm(own) * np.linalg.norm(v))
+            for i, v, _, _ in rows if len(v) == len(own) and i != query
+        }
+        best = sorted(scores, key=lambda i: (-round(scores[i], 12), i))[:5]
+        assert found[query] == best
+
+
 def test_defined_cases(spark):
     rows = [
         (1, None), (2, [0.0, 0.0]), (3, [1.0, float("nan")]), (4, [float("inf"), 1.0]), (5, [1.0, None]),
