@@ -293,6 +293,21 @@ ORACLES: dict[str, str] = {
         FROM (SELECT o_orderkey, '{{"MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400, '
                 || '"RESULT": {{"COLUMNS": ["ID"], "DATA": [["' || o_orderkey || '"]]}}}}' AS body
               FROM orders)""",
+    "paged_run": """
+        WITH pages AS (
+          SELECT CAST(page * 250 + 1 AS INT) AS start, md5(CAST(page * 250 + 1 AS VARCHAR)) AS digits,
+                 count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
+          FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 250 AS page FROM orders)
+          GROUP BY page
+        ), judged AS (
+          SELECT *, CASE left(digits, 1) WHEN '0' THEN 'exhausted' WHEN '1' THEN 'terminal'
+                      WHEN '2' THEN 'malformed' ELSE 'ok' END AS outcome FROM pages)
+        SELECT start, outcome, CASE outcome WHEN 'ok' THEN 'kept' WHEN 'exhausted' THEN 'HTTP 503'
+                 WHEN 'terminal' THEN 'HTTP 404' ELSE 'body is not one JSON object' END AS failure,
+               CASE outcome WHEN 'ok' THEN n ELSE 0 END AS records,
+               CASE outcome WHEN 'ok' THEN low ELSE 0 END AS first_id,
+               CASE outcome WHEN 'ok' THEN high ELSE 0 END AS last_id
+        FROM judged""",
     "forced_run": """
         SELECT 'PRODUCT' AS request_type, o_orderkey AS path_id, CAST(2 AS BIGINT) AS copies FROM orders
         UNION ALL

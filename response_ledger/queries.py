@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 from collections.abc import Callable
 
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from response_ledger.functions.calls import backoff_seconds, body_length, page_count, page_rows, utf8_text
 from response_ledger.functions.text import (
@@ -38,7 +43,7 @@ from response_ledger.operators.workset import (
     rejected_ids,
     remaining,
 )
-from response_ledger.plans.job import CallOptions, run_stage, run_stages
+from response_ledger.plans.job import CallOptions, IncompleteRunError, run_stage, run_stages
 from response_ledger.plans.requests import (
     landed_spans,
     missing_spans,
@@ -51,6 +56,7 @@ from response_ledger.sources.current_index import read_current, refresh_index
 from response_ledger.sources.ledger import (
     PAGE_GROUP_ROWS,
     append_ledger,
+    ledger_is_empty,
     read_ledger,
     read_runs,
     required_violations,
@@ -61,6 +67,7 @@ from response_ledger.table_ledgers import (
     BASE_URL,
     PAGE_ROWS,
     PAGED_RUNS,
+    SERVED_ROWS,
     append_paged_run,
     customers_ledger,
     documents_ledger,
@@ -76,6 +83,7 @@ from response_ledger.table_ledgers import (
     order_specs,
     paged_runs,
     pages_ledger,
+    served_pages,
     table,
     united_ledger,
 )
@@ -569,6 +577,81 @@ def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetched.select("path_id", "url", "content_length", "content")
 
 
+class PageServer:
+    """
+    A transport that serves the rendered pages of `orders`, and fails by a hash of the offset: the
+    first digit of its md5 tells a page that is gone (1), cut off (2) or always busy (0); the rest
+    of the second digit by 3 how many tries any other page fails before it is served.
+
+    Each call leaves a file in `log`, in a folder all tasks share, which is how a try is told from
+    the one before it.
+    """
+
+    def __init__(self, pages: str, log: str) -> None:
+        self.pages, self.log = pages, log
+
+    def __call__(self) -> Send:
+        store, pages = pafs.FileSystem.from_uri(self.pages) if "://" in self.pages else (pafs.LocalFileSystem(), self.pages)
+        log = self.log.split("://", 1)[-1] if "://" in self.log else self.log
+
+        def body(start: int) -> bytes:
+            table = pq.read_table(f"{pages}/start={start}", columns=["content"], filesystem=store, partitioning=None)
+            return table.column("content")[0].as_py().encode()
+
+        def send(call: dict) -> Reply:
+            asked = json.loads(call["body"].removeprefix("payload="))
+            start, kind = asked["start"], "application/json"
+            if asked["rows"] == 1:  # the probe
+                return Reply(200, body(1), kind)
+            digits = hashlib.md5(str(start).encode()).hexdigest()
+            mine = f"{log}/start={start}"
+            store.create_dir(mine, recursive=True)
+            earlier = len(store.get_file_info(pafs.FileSelector(mine)))
+            with store.open_output_stream(f"{mine}/{uuid.uuid4().hex}") as file:
+                file.write(b"")
+            if digits[0] == "0" or digits[0] not in "12" and earlier < int(digits[1], 16) % 3:
+                return Reply(503, b"busy")
+            if digits[0] == "1":
+                return Reply(404, b"")
+            whole = body(start)
+            return Reply(200, whole[:-1] if digits[0] == "2" else whole, kind)
+
+        return send
+
+
+def paged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+    A paged stage over all `orders`, through a service that fails: what became of every page, in
+    which try, and the records that the ledger holds of it.
+    """
+    dest, log = scratch_path(spark, "run"), scratch_path(spark, "calls")
+    calls = CallOptions(
+        PageServer(served_pages(spark, sf_dir), log), BASE_URL, cooldown=(0.0, 0.0), pauses=(0.0,) * 4
+    )
+    total = table(spark, sf_dir, "orders").count()
+    try:
+        run_stage(
+            spark, "RECALLS", "r1", dest, calls, ["productid"], rows=SERVED_ROWS,
+            batch_size=max(1, total // SERVED_ROWS // 2),
+        )
+    except IncompleteRunError:
+        pass  # pages that are never served are what the failures below report
+    ledger = read_ledger(spark, target_path(dest, "RECALLS", "r1"))
+    number = F.col("productid").cast("bigint")
+    kept = explode_records(ledger, ["productid"], keep=("start",)).groupBy("start").agg(
+        F.count(F.lit(1)).alias("records"), F.min(number).alias("first_id"), F.max(number).alias("last_id")
+    ).select("start", F.lit("ok").alias("outcome"), F.lit("kept").alias("failure"), "records", "first_id", "last_id")
+    schema = "start int, outcome string, failure string"
+    letters = target_path(dest, "RECALLS", "r1", "api_failures")
+    if ledger_is_empty(spark, letters):
+        return kept
+    none = F.lit(0).cast("bigint")
+    lost = read_ledger(spark, letters, T.StructType.fromDDL(schema)).select(
+        "start", "outcome", "failure", none.alias("records"), none.alias("first_id"), none.alias("last_id")
+    )
+    return kept.unionByName(lost)
+
+
 def forced_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two by-id stages after a paged one, run twice with force: every id is appended twice."""
     dest = scratch_path(spark, "run")
@@ -594,6 +677,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         missing_offsets, latest_events, integrity_report,
         malformed_bodies, coverage_report, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
-        endpoint_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, forced_run,
+        endpoint_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, paged_run, forced_run,
     )
 }

@@ -198,6 +198,19 @@ def holed_pages(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "holed_pages", write)
 
 
+def served_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Bodies of all pages of 250 `orders`, one folder per offset, for a transport to serve."""
+
+    def write(path: str) -> None:
+        pages = page_rows_of_orders(spark, sf_dir, SERVED_ROWS)
+        pages.select("start", "content").repartition("start").write.partitionBy("start").parquet(path)
+
+    return once(spark, sf_dir, "served", write)
+
+
+SERVED_ROWS = 250
+
+
 def pages_ledger(spark: SparkSession, sf_dir: str) -> str:
     return once(
         spark, sf_dir, "pages", lambda path: append_ledger(page_rows_of_orders(spark, sf_dir), path, PAGE_GROUP_ROWS)
