@@ -68,6 +68,10 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT o_custkey AS id FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM customer
                           WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')""",
+    "remaining_by_held_ids": """
+        SELECT DISTINCT o_custkey AS id FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM customer
+                          WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')""",
     "remaining_against_nothing": "SELECT DISTINCT o_custkey AS id FROM orders",
     "remaining_first": """
         SELECT DISTINCT o_custkey AS id FROM orders
@@ -216,6 +220,27 @@ ORACLES: dict[str, str] = {
     "malformed_bodies": """
         SELECT upper(event_type) AS request_type, event_id AS path_id FROM events
         WHERE event_type <> 'purchase'""",
+    "drifted_responses": """
+        WITH calls AS (
+          SELECT 'EVENT' AS request_type, c_custkey AS path_id, * FROM customer
+          UNION ALL SELECT 'EVENT_PRODUCTS', c_nationkey, * FROM customer
+        ), copied AS (
+          SELECT request_type, path_id,
+                 c_custkey || CASE WHEN c_acctbal < 1000 AND c_nationkey BETWEEN 5 AND 8 THEN '!' ELSE '' END AS body
+          FROM calls WHERE NOT (c_acctbal < 1000 AND c_nationkey < 3)
+          UNION ALL SELECT request_type, path_id + 1000000000, c_custkey || '' FROM calls
+          WHERE c_acctbal < 1000 AND c_nationkey > 20
+        ), one AS (
+          SELECT request_type, path_id, list_sort(list(c_custkey || '')) AS bodies FROM calls GROUP BY 1, 2
+        ), two AS (
+          SELECT request_type, path_id, list_sort(list(body)) AS bodies FROM copied GROUP BY 1, 2
+        )
+        SELECT request_type, path_id,
+               CASE WHEN two.bodies IS NULL THEN 'left only' WHEN one.bodies IS NULL THEN 'right only'
+                    ELSE 'changed' END AS state,
+               coalesce(len(one.bodies), 0) AS left_responses, coalesce(len(two.bodies), 0) AS right_responses
+        FROM one FULL JOIN two USING (request_type, path_id)
+        WHERE one.bodies IS DISTINCT FROM two.bodies""",
     "coverage_report": """
         SELECT run_id, count(*) AS reported, count(DISTINCT o_orderkey) AS distinct_ids,
                CASE run_id WHEN 'plain' THEN count(*) ELSE 2 * count(*) END AS records
@@ -274,6 +299,15 @@ ORACLES: dict[str, str] = {
                            unnest(['status_' || lower(o_orderstatus), 'center&cd']) FROM orders
           UNION ALL SELECT o_orderkey, 'PRODUCT_TYPES', 'display', unnest([1, 2]),
                            unnest(['cust_' || o_custkey, 'status_' || lower(o_orderstatus)]) FROM orders)""",
+    "landed_vocabulary": """
+        WITH site AS (SELECT *, 'https://docs.example/s' || s_suppkey || '/a b/' AS site FROM supplier
+                      WHERE s_acctbal >= 0)
+        SELECT site || 'index.html' AS page_url, 'PRODUCT_TYPES' AS request_type, 'display' AS role,
+               unnest([1, 2]) AS ordinal, unnest(['supp_' || s_suppkey, 'nation_' || s_nationkey]) AS "column"
+        FROM site WHERE s_nationkey >= 5
+        UNION ALL
+        SELECT site || 'index.html', 'not landed', '', 0, site || 'spec/s=1&p=' || s_suppkey || '.json'
+        FROM site WHERE s_nationkey < 5""",
     "vocabulary_rejects": """
         SELECT request_type, 'display' AS role, 'endpoint is not in the spec' AS error,
                count(*) AS specs, min(o_orderkey) AS first_key

@@ -23,6 +23,7 @@ from response_ledger.functions.text import (
     split_columns,
 )
 from response_ledger.operators import audit
+from response_ledger.operators.drift import build_tree, depth_for, drift
 from response_ledger.operators.fetch import Reply, Send
 from response_ledger.operators.outcomes import (
     classify,
@@ -53,6 +54,8 @@ from response_ledger.plans.requests import (
 )
 from response_ledger.session import landed, scratch_path
 from response_ledger.sources.current_index import read_current, refresh_index
+from response_ledger.sources.documents import linked_specs, read_landed
+from response_ledger.sources.held_ids import refresh_held_ids, remaining_by_buckets
 from response_ledger.sources.ledger import (
     PAGE_GROUP_ROWS,
     append_ledger,
@@ -84,7 +87,9 @@ from response_ledger.table_ledgers import (
     paged_runs,
     pages_ledger,
     served_pages,
+    supplier_documents,
     table,
+    two_copies,
     united_ledger,
 )
 
@@ -153,6 +158,16 @@ def remaining_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remaining(workset, _customers(spark, sf_dir), "EVENT")
 
 
+def remaining_by_held_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through an index of the held ids, which was refreshed after each of two runs."""
+    target, index = scratch_path(spark, "target"), scratch_path(spark, "held")
+    early = F.col("path_id") % 2 == 0
+    for run, rows in (("r1", _customers(spark, sf_dir).where(early)), ("r2", _customers(spark, sf_dir).where(~early))):
+        append_ledger(rows, f"{target}/run_id={run}")
+        refresh_held_ids(spark, target, index, "EVENT")
+    return remaining_by_buckets(create_workset(_pages(spark, sf_dir), "recalleventid"), index, "EVENT")
+
+
 def remaining_against_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against a target that holds no row of the endpoint the whole workset stands."""
     workset = create_workset(_pages(spark, sf_dir), "recalleventid")
@@ -402,6 +417,17 @@ def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrong.select("request_type", "path_id", "sha_256", "content_sha_256")
 
 
+def drifted_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls that a ledger and a damaged copy of it answer differently, by their trees of digests."""
+    left, right = (landed(one, "copy") for one in two_copies(spark, sf_dir))
+    trees = [scratch_path(spark, "tree") for _ in range(2)]
+    depth = depth_for(left.count())
+    for ledger, tree in zip((left, right), trees):
+        build_tree(ledger, tree, depth)
+    found = drift(spark, *trees, depth)
+    return found.select("request_type", "path_id", "state", "left_responses", "right_responses")
+
+
 def malformed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     Bodies that are not one JSON object: cut off, with text behind, or closing a list that is
@@ -519,6 +545,17 @@ def endpoint_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and specs landed as files, each page's spec found by its link, and what that documents."""
+    specs = linked_specs(read_landed(spark, supplier_documents(spark, sf_dir)))
+    found = vocabulary(specs, keep=("page_url",)).select("page_url", "request_type", "role", "ordinal", "column")
+    lost = specs.where(F.col("text").isNull()).select(
+        "page_url", F.lit("not landed").alias("request_type"), F.lit("").alias("role"), F.lit(0).alias("ordinal"),
+        F.col("url").alias("column"),
+    )
+    return found.unionByName(lost)
+
+
 def vocabulary_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Endpoints those documents do not describe the known way."""
     return (
@@ -670,13 +707,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     one.__name__: one
     for one in (
         page_plan, page_payloads, page_members, workset_events, workset_products, workset_kinds, workset_size,
-        remaining_events, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
+        remaining_events, remaining_by_held_ids, remaining_against_nothing, remaining_first, batch_bounds, id_requests,
         page_sizes, page_counts, call_outcomes, kept_responses, failed_calls, retry_schedule,
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
         flattened_records, flattened_tables, documented_types, typed_records, current_responses, current_pages, refreshed_view, missing_pages,
         missing_offsets, latest_events, integrity_report,
-        malformed_bodies, coverage_report, united_files, missing_values, sentence_names,
+        malformed_bodies, drifted_responses, coverage_report, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
-        endpoint_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, paged_run, forced_run,
+        endpoint_vocabulary, landed_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, paged_run, forced_run,
     )
 }

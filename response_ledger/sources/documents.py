@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from response_ledger.functions.text import resolve_link, spec_link
 from response_ledger.sources.ledger import hadoop_uri
 
 
@@ -13,3 +14,40 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(hadoop_uri(path), wholetext=True).select(
         F.col("_metadata.file_path").alias("url"), F.col("value").alias("text")
     )
+
+
+def land_documents(documents: DataFrame, path: str) -> None:
+    """
+    Append documents (`url`, `text`) as text files, each in a folder named by the address it was
+    fetched from, so that links between landed documents can be followed.
+
+    A row is a file, also where an address occurs again. Null texts become empty ones. Stores
+    that bound the length of a name, most at 255 bytes, bound that of an encoded address.
+    """
+    (
+        documents.select("url", F.col("text").alias("value"))
+        .write.mode("append")
+        .partitionBy("url")
+        .option("maxRecordsPerFile", 1)
+        .text(hadoop_uri(path))
+    )
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """What `land_documents` wrote, as (`url`, `text`)."""
+    files = spark.read.schema("value string, url string").text(hadoop_uri(path), wholetext=True)
+    # The writer ends each text with a line feed of its own.
+    return files.select("url", F.expr("left(value, length(value) - 1)").alias("text"))
+
+
+def linked_specs(landed: DataFrame) -> DataFrame:
+    """
+    The spec each landed page loads: (`page_url`, `url`, `text`), the last two of the spec.
+
+    `text` is null where the page names a spec that was not landed. Documents that name none are
+    no pages. Only addresses are joined on; a spec that many pages load is read for each of them.
+    """
+    pages = landed.select(
+        F.col("url").alias("page_url"), resolve_link(F.col("url"), spec_link(F.col("text"))).alias("url")
+    ).where(F.col("url").isNotNull())
+    return pages.join(landed, "url", "left").select("page_url", "url", "text")

@@ -18,6 +18,7 @@ from response_ledger.operators.numbering import number_rows
 from response_ledger.plans.requests import filter_maps
 from response_ledger.schemas import DEFAULT_FILTERS, LARGE_TEXT_PAGE_CAP, LEDGER, REPLY_FIELDS, REQUEST
 from response_ledger.session import scratch_path
+from response_ledger.sources.documents import land_documents
 from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger, target_path
 
 BASE_URL = "https://service.example/rest"
@@ -413,6 +414,69 @@ def order_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir, "specs", orders)
 
 
+def supplier_documents(spark: SparkSession, sf_dir: str) -> str:
+    """
+    A landed documentation page and a landed spec per supplier. Pages of suppliers with a negative
+    balance name no spec, those of nations below 5 one that was not landed.
+    """
+    key = F.col("s_suppkey").cast("string")
+    site = F.concat(F.lit("https://docs.example/s"), key, F.lit("/a b/"))
+    spec = F.concat(F.lit("spec/s=1&p="), key, F.lit(".json"))
+    script = F.concat(F.lit("<p>\u00e9</p>\n<script>url = '"), spec, F.lit("';</script>\n"))
+    described = F.concat(
+        F.lit("Gets the types in JSON format including the following columns:  Supp_"), key,
+        F.lit(",Nation_"), F.col("s_nationkey").cast("string"), F.lit(".\n"),
+    )
+    paths = F.create_map(
+        F.lit("/search/producttypes"),
+        F.create_map(F.lit("get"), F.struct(described.alias("description"), F.lit("x").alias("summary"))),
+    )
+
+    def write(path: str) -> None:
+        suppliers = table(spark, sf_dir, "supplier")
+        land_documents(
+            suppliers.select(
+                F.concat(site, F.lit("index.html")).alias("url"),
+                F.when(F.col("s_acctbal") < 0, F.lit("<p>none</p>")).otherwise(script).alias("text"),
+            ),
+            path,
+        )
+        land_documents(
+            suppliers.where("s_nationkey >= 5").select(
+                F.concat(site, spec).alias("url"),
+                F.to_json(F.struct(F.lit("2.0").alias("swagger"), paths.alias("paths"))).alias("text"),
+            ),
+            path,
+        )
+
+    return once(spark, sf_dir, "supplier_documents", write)
+
+
+def two_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """
+    The customers' responses by customer and by nation, and a copy of them in which, of customers
+    with a balance below 1,000, those of nations below 3 are missing, those of 5 to 8 have another
+    body, and those beyond 20 were fetched under another id besides.
+    """
+    customers = table(spark, sf_dir, "customer").withColumn(
+        "content", tabular_body(["RECALLEVENTID", "FIRMLEGALNAM"], [F.col("c_custkey"), F.col("c_name")])
+    )
+    nation, low = F.col("c_nationkey"), F.col("c_acctbal") < 1000
+    other = customers.where(~(low & (nation < 3))).withColumn(
+        "content", F.when(low & nation.between(5, 8), F.concat("content", F.lit(" "))).otherwise(F.col("content"))
+    )
+
+    def rows(frame: DataFrame, more: int = 0) -> DataFrame:
+        by = [("EVENT", F.col("c_custkey")), ("EVENT_PRODUCTS", nation)]
+        found = [
+            ledger_rows(frame, request_type=F.lit(kind), path_id=number + more, content=F.col("content"))
+            for kind, number in by
+        ]
+        return found[0].unionByName(found[1])
+
+    return rows(customers), rows(other).unionByName(rows(customers.where(low & (nation > 20)), 1_000_000_000))
+
+
 def older_schema() -> T.StructType:
     """A ledger from before filters were kept."""
     return T.StructType([one for one in LEDGER if one.name != "filters"])

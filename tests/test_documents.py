@@ -240,3 +240,29 @@ def test_an_unknown_endpoint_is_an_error(spark):
     specs = spark.createDataFrame([("{}",)], "text string")
     with pytest.raises(ValueError, match="TYPO"):
         documented_columns(specs, "TYPO")
+
+
+def test_landed_documents_come_back_and_are_linked(spark):
+    from response_ledger.session import scratch_path
+    from response_ledger.sources.documents import land_documents, linked_specs, read_landed
+
+    rows = [
+        ("https://a.example/x/index.html?q=1&r=%2F", "<script>url = '../s.json';</script>\n\n"),
+        ("https://a.example/s.json", "{}\n"),
+        ("https://a.example/lost.html", "<script>url = 'gone.json';</script>"),
+        ("https://a.example/empty", ""),
+        ("https://a.example/twice", "1"),
+        ("https://a.example/twice", "2\r\n3"),
+        (None, "no address"),
+    ]
+    path = scratch_path(spark, "documents")
+    frame = spark.createDataFrame(rows, "url string, text string")
+    land_documents(frame.limit(4), path)
+    land_documents(frame.offset(4).union(spark.createDataFrame([("https://a.example/null", None)], frame.schema)), path)
+    landed = read_landed(spark, path)
+    found = sorted(map(tuple, landed.collect()), key=repr)
+    assert found == sorted([*rows, ("https://a.example/null", "")], key=repr)
+    assert sorted(map(tuple, linked_specs(landed).collect())) == [
+        ("https://a.example/lost.html", "https://a.example/gone.json", None),
+        ("https://a.example/x/index.html?q=1&r=%2F", "https://a.example/s.json", "{}\n"),
+    ]
