@@ -21,13 +21,16 @@ the index, deflated: per document a flag whether it has an id u8, then doc_id i6
 per block: ids u32, bytes u32, crc32 of the bytes u32; the blocks' bytes.
 
 Defined cases: a null text has the end id alone; rows that share a doc_id are stored each, the
-lesser text first; rows without doc_id come first; an empty table gives no rows.
+lesser text first; rows without doc_id come first; an empty table gives no rows; other columns are
+not read, so their names clash with nothing.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,12 @@ SEGMENT = 1 << 18
 LANES = 2_048
 PORTION = 1 << 20
 END_ID = 0
+# Units a task keeps the ids of, and the longest that the library is given whole.
+KEPT_UNITS, LONGEST_UNIT = 300_000, 4_096
+# Characters by which texts of one doc_id are told apart when they are dealt to shards.
+ORDERED_CHARS = 64
+_UNIT_ENDS = re.compile(r"(?<=\S)(?= +[^ ])")
+_BEHIND_SPACE = re.compile("\0(?<=\\s\0)")
 
 _TOTAL_BITS = 28
 _TOTAL = 1 << _TOTAL_BITS
@@ -331,16 +340,36 @@ def unpack(payload: bytes) -> tuple[list[int | None], list[int], list[bytes], li
 
 
 class LibraryEncoder(PieceCounter):
-    """The library's ids of texts; ids of known pieces are kept, packed."""
+    """
+    The library's ids of texts; ids of known units are kept, packed.
+
+    A unit ends where a space follows something else than white space. No piece reaches across, and
+    what a piece is depends on nothing beyond: a piece holds a space only at its start or among
+    white space alone, and only the ends of white space are found by looking ahead.
+    """
+
+    def __init__(self, tokenizer_path: str, kept: int = KEPT_UNITS) -> None:
+        super().__init__(tokenizer_path, kept)
 
     def _encoded(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(one.ids, np.uint16).tobytes() for one in found]
+        return [array("H", one.ids).tobytes() for one in found]
+
+    def _units(self, text: str) -> list[str]:
+        marked = text.replace(" ", "\0 ")
+        # Without other zeros, and without a space behind white space, each space begins a unit.
+        plain = "\0" not in text and _BEHIND_SPACE.search(marked) is None
+        units = marked.split("\0") if plain else _UNIT_ENDS.split(text)
+        if max(map(len, units)) > LONGEST_UNIT:
+            # What the library makes of much text at once takes much memory.
+            cut = [self.splitter.pieces([unit])[0] if len(unit) > LONGEST_UNIT else [unit] for unit in units]
+            units = [piece for pieces in cut for piece in pieces]
+        return units
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's ids and the end id."""
         sections = [self._sections(text) for text in texts]
-        cut_up = self.splitter.pieces([part for one in sections for part in one[::2]])
+        cut_up = [self._units(part) for one in sections for part in one[::2]]
         special = {part for one in sections for part in one[1::2]}
         self._learn(set().union(special, *cut_up))
         place, end = iter(cut_up), np.uint16(END_ID).tobytes()
@@ -390,10 +419,12 @@ def write_tokens(documents: DataFrame, tokenizer_path: str, text: str = "text")
     The segments of all documents in ascending doc_id order, written to the scratch folder and
     read back: (shard, segment, start, n_docs, n_tokens, payload), `start` counted in the shard.
 
-    The texts are range-partitioned by doc_id and sorted; a partition is a shard.
+    The texts are range-partitioned by doc_id and how they begin, so that rows without doc_id or of
+    the same one are no hot key, and sorted; a partition is a shard.
     """
     source = documents.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    begin = F.substring("text", 1, ORDERED_CHARS)
+    ordered = source.repartitionByRange("doc_id", begin).sortWithinPartitions("doc_id", "text")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = LibraryEncoder(tokenizer_path), TaskContext.get().partitionId()

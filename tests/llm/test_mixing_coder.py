@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from response_ledger.llm import mixing_coder
+from response_ledger.session import setting as session_setting
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -65,3 +66,26 @@ def test_stored_documents_come_back(spark, monkeypatch, sizes):
     found = mixing_coder.read_tokens(mixing_coder.write_tokens(documents, PATH)).collect()
     assert sorted(map(tuple, found), key=lambda row: row[1]) == expected
     assert mixing_coder.read_tokens(mixing_coder.write_tokens(documents.limit(0), PATH)).collect() == []
+
+
+def test_units_give_the_ids_of_whole_texts():
+    rng = random.Random(3)
+    signs = [*" \n\t\r\x0b\x1c\x85\xa0\u3000\u2003ab'sltre1.,\0\u00e9\u4e2d\u0301\u180e\u200b", "<|endoftext|>", "  ", " word", "'ll"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 25))) for _ in range(4_000)]
+    texts += ["a" * 9_000, " " * 9_000 + "b", "ab\n" * 4_000, "x " * 3 + "\n" * 5_000]
+    library, encoder = Tokenizer.from_file(PATH), mixing_coder.LibraryEncoder(PATH, kept=500)
+    for i in range(0, len(texts), 100):
+        for text, ids in zip(texts[i : i + 100], encoder.ids(texts[i : i + 100])):
+            assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], text[:80]
+
+
+def test_rows_without_doc_id_are_dealt_to_many_shards(spark):
+    rows = [(None, f"{i * 7919 % 4_001} text") for i in range(4_000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    with_names = documents.withColumn("shard", documents.text).withColumn("start", documents.doc_id)
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        segments = mixing_coder.write_tokens(with_names, PATH)
+    assert segments.select("shard").distinct().count() > 1
+    found = mixing_coder.read_tokens(segments).orderBy("start").collect()
+    library = Tokenizer.from_file(PATH)
+    assert [one["ids"][:-1] for one in found] == [library.encode(text).ids for _, text in sorted(rows)]
