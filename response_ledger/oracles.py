@@ -245,6 +245,12 @@ ORACLES: dict[str, str] = {
         SELECT run_id, count(*) AS reported, count(DISTINCT o_orderkey) AS distinct_ids,
                CASE run_id WHEN 'plain' THEN count(*) ELSE 2 * count(*) END AS records
         FROM (SELECT unnest(['plain', 'forced']) AS run_id, o_orderkey FROM orders) GROUP BY run_id""",
+    "compacted_ledger": """
+        SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'EVENT' WHEN 'MACHINERY' THEN 'EVENT'
+                 WHEN 'AUTOMOBILE' THEN 'CODE_INFO' ELSE 'EVENT_PRODUCTS' END AS request_type,
+               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS path_id,
+               2 * count(*) AS responses, count(*) AS bodies
+        FROM customer GROUP BY 1, 2""",
     "united_files": """
         SELECT CASE c_mktsegment WHEN 'BUILDING' THEN 'EVENT' WHEN 'MACHINERY' THEN 'EVENT'
                  WHEN 'AUTOMOBILE' THEN 'CODE_INFO' ELSE 'EVENT_PRODUCTS' END AS request_type,

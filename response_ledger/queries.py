@@ -53,6 +53,7 @@ from response_ledger.plans.requests import (
     plan_pages,
 )
 from response_ledger.session import landed, scratch_path
+from response_ledger.sources.compaction import compact, read_compacted, vacuum
 from response_ledger.sources.current_index import read_current, refresh_index
 from response_ledger.sources.documents import linked_specs, read_landed
 from response_ledger.sources.held_ids import refresh_held_ids, remaining_by_buckets
@@ -454,6 +455,20 @@ def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.coverage(runs, "productid", run=("run_id",))
 
 
+def compacted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' responses in small files of two runs, compacted after each and vacuumed."""
+    path = scratch_path(spark, "compacted")
+    for run in ("r1", "r2"):
+        append_ledger(_customers(spark, sf_dir).repartition(12), f"{path}/run_id={run}")
+        compact(spark, path)
+        vacuum(spark, path)
+    return (
+        read_compacted(spark, path)
+        .groupBy("request_type", "path_id")
+        .agg(F.count(F.lit(1)).alias("responses"), F.countDistinct("sha_256").alias("bodies"))
+    )
+
+
 def united_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A directory whose older files lack a column, in two subdirectories, read as one."""
     return (
@@ -712,7 +727,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
         flattened_records, flattened_tables, documented_types, typed_records, current_responses, current_pages, refreshed_view, missing_pages,
         missing_offsets, latest_events, integrity_report,
-        malformed_bodies, drifted_responses, coverage_report, united_files, missing_values, sentence_names,
+        malformed_bodies, drifted_responses, coverage_report, compacted_ledger, united_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
         endpoint_vocabulary, landed_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, paged_run, forced_run,
     )

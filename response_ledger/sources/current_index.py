@@ -30,7 +30,7 @@ from response_ledger.operators.audit import (
 )
 from response_ledger.schemas import LEDGER
 from response_ledger.session import delete_path, landed
-from response_ledger.sources.ledger import hadoop_uri, read_ledger
+from response_ledger.sources.ledger import hadoop_uri, read_ledger, scanned_path
 
 FILES = T.StructType([T.StructField("_file", T.StringType())])
 BITMAPS = "_file string, _bucket bigint, rows_out binary"
@@ -83,7 +83,7 @@ def refresh_index(spark: SparkSession, directory: str, index: str) -> int:
     fresh = unread_files(spark, directory, index, version)
     if not fresh:
         return version
-    ledger = spark.read.schema(LEDGER).parquet(*fresh)
+    ledger = spark.read.schema(LEDGER).parquet(*[scanned_path(spark, one) for one in fresh])
     new = landed(located(ledger, paged=False).unionByName(located(ledger, paged=True)), "places")
     key = list(RESPONSE_KEY)
     old = (

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from response_ledger.schemas import LEDGER
 from response_ledger.sources.current_index import FILES, ledger_files
-from response_ledger.sources.ledger import hadoop_uri
+from response_ledger.sources.ledger import hadoop_uri, scanned_path
 
 _IDS = T.StructType([T.StructField("id", T.LongType())])
 # Few ids are looked up with their buckets and Bloom filters, more with the join. Parquet is given
@@ -81,7 +81,7 @@ def refresh_held_ids(
     if not fresh:
         return 0
     name = _declared(spark, folder, number)
-    asked = spark.read.schema(LEDGER).parquet(*fresh).where(
+    asked = spark.read.schema(LEDGER).parquet(*[scanned_path(spark, one) for one in fresh]).where(
         (F.col("request_type") == request_type) & F.col("path_id").isNotNull()
     )
     # Distinct before they are dealt: a hot id is one row a task, and each bucket gets one file.

@@ -31,6 +31,11 @@ def hadoop_uri(path: str) -> str:
     return re.sub(r"^s3://", "s3a://", path)
 
 
+def scanned_path(spark: SparkSession, file: str) -> str:
+    """The path of a file as readers take it; the names that scans report are escaped like addresses."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file)).toString()
+
+
 def read_ledger(spark: SparkSession, directory: str, schema: T.StructType = LEDGER) -> DataFrame:
     """
     Every parquet file below a directory, subdirectories included, as one frame.

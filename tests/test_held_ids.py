@@ -20,8 +20,8 @@ def responses(spark, ids, request_type="PRODUCT"):
 @pytest.fixture
 def target(spark):
     path = scratch_path(spark, "target")
-    append_ledger(responses(spark, [*range(0, 300, 3), None, 6, 6, -4]), f"{path}/run_id=1")
-    append_ledger(responses(spark, [1, 2], "EVENT"), f"{path}/run_id=1")
+    append_ledger(responses(spark, [*range(0, 300, 3), None, 6, 6, -4]), f"{path}/run_id=1 %+")
+    append_ledger(responses(spark, [1, 2], "EVENT"), f"{path}/run_id=1 %+")
     return path
 
 
