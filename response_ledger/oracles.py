@@ -257,6 +257,20 @@ ORACLES: dict[str, str] = {
                without_filters, count(*) AS responses,
                count(*) FILTER (c_mktsegment <> 'MACHINERY') AS with_id
         FROM (SELECT *, unnest([true, false]) AS without_filters FROM customer) GROUP BY 1, 2""",
+    "drifted_files": """
+        WITH held AS (
+          SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'EVENT' WHEN 'MACHINERY' THEN 'EVENT'
+                   WHEN 'AUTOMOBILE' THEN 'CODE_INFO' ELSE 'EVENT_PRODUCTS' END AS request_type,
+                 CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_custkey END AS id FROM customer
+        ), written AS (
+          SELECT *, CASE WHEN writer = 3 AND id % 7 = 0 THEN 'C' || id
+                         WHEN writer = 3 AND id % 11 = 0 THEN '0' || id
+                         WHEN writer = 4 AND id % 5 = 0 THEN id || '.5' END AS id_text
+          FROM held CROSS JOIN (SELECT unnest([1, 2, 3, 4]) AS writer)
+        )
+        SELECT request_type, CAST(CASE WHEN id_text IS NULL THEN id END AS BIGINT) AS path_id, id_text,
+               count(*) AS responses, count(*) AS whole
+        FROM written GROUP BY 1, 2, 3""",
     "missing_values": """
         SELECT c AS "column",
                CASE c WHEN 'request_type' THEN (SELECT count(*) FROM documents WHERE lang = 'de' OR lang IS NULL)
@@ -327,6 +341,11 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT o_custkey AS id FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM customer
                           WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')""",
+    "pending_requests": """
+        SELECT CAST(c_custkey AS BIGINT) AS id, n AS requests, n AS tries
+        FROM (SELECT c_custkey, CAST(CASE c_mktsegment WHEN 'MACHINERY' THEN 3 WHEN 'AUTOMOBILE' THEN 2 ELSE 1 END
+                AS BIGINT) AS n
+              FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders))""",
     "resumed_run": f"""
         SELECT o_orderkey AS path_id, '{_BASE}/recalls/product/' || o_orderkey AS url,
                octet_length(encode(body)) AS content_length, body AS content

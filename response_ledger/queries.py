@@ -56,6 +56,7 @@ from response_ledger.session import landed, scratch_path
 from response_ledger.sources.compaction import compact, read_compacted, vacuum
 from response_ledger.sources.current_index import read_current, refresh_index
 from response_ledger.sources.documents import linked_specs, read_landed
+from response_ledger.sources.drifted import read_drifted
 from response_ledger.sources.held_ids import refresh_held_ids, remaining_by_buckets
 from response_ledger.sources.ledger import (
     PAGE_GROUP_ROWS,
@@ -66,6 +67,7 @@ from response_ledger.sources.ledger import (
     required_violations,
     target_path,
 )
+from response_ledger.streaming.pending import read_requested, stream_pending
 from response_ledger.streaming.worksets import read_emitted, stream_workset
 from response_ledger.table_ledgers import (
     BASE_URL,
@@ -75,8 +77,10 @@ from response_ledger.table_ledgers import (
     append_paged_run,
     customers_ledger,
     documents_ledger,
+    drifted_ledger,
     event_replies,
     events_ledger,
+    failed_rows,
     fetched_twice,
     holed_pages,
     ledger_rows,
@@ -478,6 +482,15 @@ def united_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drifted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose ids are numbers of several types and text, read as one; ids that do not fit as text."""
+    rows = read_drifted(spark, drifted_ledger(spark, sf_dir))
+    return rows.groupBy("request_type", "path_id", F.col("rescued")["path_id"].alias("id_text")).agg(
+        F.count(F.lit(1)).alias("responses"),
+        F.count_if(F.col("content_length") == F.octet_length("content")).alias("whole"),
+    )
+
+
 def missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Breaches of the NOT NULL rule per required column."""
     documents = table(spark, sf_dir, "documents")
@@ -596,6 +609,48 @@ def streamed_workset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_emitted(spark, emitted).select("id")
 
 
+def pending_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """
+    The customers of the raw pages requested by a stream in four runs. After the first the segments
+    BUILDING and FURNITURE land and MACHINERY fails; after the second it fails again, all pages come
+    once more and HOUSEHOLD lands; after the third AUTOMOBILE fails.
+    """
+    root = scratch_path(spark, "pending")
+    pages, target, failures = (f"{root}/{one}" for one in ("pages", "target", "failures"))
+    customers = table(spark, sf_dir, "customer").withColumn("id", F.col("c_custkey").cast("bigint"))
+
+    def of(*segments: str) -> DataFrame:
+        return customers.where(F.col("c_mktsegment").isin(*segments))
+
+    def land(*segments: str) -> None:
+        rows = of(*segments).withColumn("body", F.lit("{}"))
+        append_ledger(ledger_rows(rows, request_type=F.lit("EVENT"), path_id=F.col("id"), content=F.col("body")), target)
+
+    def fail(*segments: str) -> None:
+        failed_rows(of(*segments), "EVENT").write.mode("append").parquet(failures)
+
+    def run() -> None:
+        stream_pending(
+            spark, pages, target, failures, "EVENT", f"{root}/requests", f"{root}/state"
+        ).awaitTermination()
+
+    raw = read_ledger(spark, pages_ledger(spark, sf_dir))
+    append_ledger(raw, pages, PAGE_GROUP_ROWS)
+    run()
+    land("BUILDING", "FURNITURE")
+    fail("MACHINERY")
+    run()
+    fail("MACHINERY")
+    append_ledger(raw, pages, PAGE_GROUP_ROWS)
+    land("HOUSEHOLD")
+    run()
+    fail("AUTOMOBILE")
+    run()
+    return read_requested(spark, f"{root}/requests").groupBy("id").agg(
+        F.count(F.lit(1)).alias("requests"), F.max("tries").alias("tries")
+    )
+
+
 def answer_with_the_id() -> Send:
     """A transport that needs no network: a by-id call is answered with the id it asks for."""
 
@@ -727,8 +782,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         attempt_totals, requeued_ids, body_digests, undecodable_bodies, rejected_id_texts,
         flattened_records, flattened_tables, documented_types, typed_records, current_responses, current_pages, refreshed_view, missing_pages,
         missing_offsets, latest_events, integrity_report,
-        malformed_bodies, drifted_responses, coverage_report, compacted_ledger, united_files, missing_values, sentence_names,
+        malformed_bodies, drifted_responses, coverage_report, compacted_ledger, united_files, drifted_files, missing_values, sentence_names,
         column_lists, normalized_texts, escaped_elements, page_link_texts, spec_links,
-        endpoint_vocabulary, landed_vocabulary, vocabulary_rejects, streamed_workset, resumed_run, paged_run, forced_run,
+        endpoint_vocabulary, landed_vocabulary, vocabulary_rejects, streamed_workset, pending_requests, resumed_run, paged_run, forced_run,
     )
 }

@@ -505,3 +505,29 @@ def united_ledger(spark: SparkSession, sf_dir: str) -> str:
         append_ledger(customers.select(*LEDGER.names), f"{path}/run_id=2")
 
     return once(spark, sf_dir, "united", write)
+
+
+def drifted_ledger(spark: SparkSession, sf_dir: str) -> str:
+    """
+    The customers' responses as four writers left them: ids as numbers of 4 bytes, as they should be,
+    as text (every seventh behind a letter, every eleventh with a zero before it) and as doubles (every
+    fifth with a half), lengths as text by the third, and no filters by the first.
+    """
+
+    def write(path: str) -> None:
+        customers = spark.read.schema(LEDGER).parquet(customers_ledger(spark, sf_dir))
+        held, text = F.col("path_id"), F.col("path_id").cast("string")
+        spelt = F.when(held % 7 == 0, F.concat(F.lit("C"), text)).when(held % 11 == 0, F.concat(F.lit("0"), text))
+        half = F.when(held % 5 == 0, held + F.lit(0.5)).otherwise(held.cast("double"))
+        customers.drop("filters").withColumn("path_id", held.cast("int")).write.parquet(f"{path}/run_id=1")
+        append_ledger(customers, f"{path}/run_id=2")
+        third = customers.withColumn("path_id", F.coalesce(spelt, text))
+        third.withColumn("content_length", F.col("content_length").cast("string")).write.parquet(f"{path}/run_id=3")
+        customers.withColumn("path_id", half).write.parquet(f"{path}/run_id=4")
+
+    return once(spark, sf_dir, "drifted", write)
+
+
+def failed_rows(frame: DataFrame, request_type: str) -> DataFrame:
+    """Ids as rows of a failures table, as far as streams read them."""
+    return frame.select(F.lit(request_type).alias("request_type"), F.col("id").alias("path_id"))
