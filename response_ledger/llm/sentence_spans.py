@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from response_ledger.llm.batches import evaluated, put_back, set_aside
+from response_ledger.llm.hot_keys import join_by_key, most_frequent
 from response_ledger.llm.odd_sketch import Shingler, mixed
 from response_ledger.llm.splitting import text_portions
 from response_ledger.session import landed
@@ -264,14 +265,16 @@ def later_runs(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     known = evaluated(runs(documents, text), "runs")
     each = known.select("doc_id", "digest", F.inline("runs"))
-    # Written, too: a join of two plain exchanges is one that Spark splits where a run is frequent.
-    often = landed(each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run"), "often")
-    # Written, so that what follows reads few rows and the joins see its size.
-    again = landed(each.join(often.hint("merge"), "run"), "again")
+    counted = landed(each.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    hot = most_frequent(counted, "run")
+    # Written, so that what follows reads few rows. Texts' runs of frequent kinds are not moved.
+    often = counted.select("run")
+    again = landed(join_by_key(each, often.hint("merge"), "run", hot), "again")
     names = ("doc_id", "digest", "place")
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), *[F.col(name) for name in names])
     first = landed(again.groupBy("run").agg(F.min(order).alias("first")), "first")
-    later = again.join(first, "run").where(order != F.col("first"))
+    firsts = landed(first.join(F.broadcast(hot.select("run")), "run"), "firsts")
+    later = join_by_key(again, first.hint("merge"), "run", firsts).where(order != F.col("first"))
     # Equal rows have equal runs: made distinct first, so that a list is never longer than its text.
     later = later.select("doc_id", "digest", "place", "run").distinct()
     return later.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("place", "run")).alias("later")).select(
