@@ -575,7 +575,8 @@ def endpoint_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and specs landed as files, each page's spec found by its link, and what that documents."""
-    specs = linked_specs(read_landed(spark, supplier_documents(spark, sf_dir)))
+    # Opening a file takes far longer than its bytes, so each is read once.
+    specs = landed(linked_specs(landed(read_landed(spark, supplier_documents(spark, sf_dir)), "documents")), "specs")
     found = vocabulary(specs, keep=("page_url",)).select("page_url", "request_type", "role", "ordinal", "column")
     lost = specs.where(F.col("text").isNull()).select(
         "page_url", F.lit("not landed").alias("request_type"), F.lit("").alias("role"), F.lit(0).alias("ordinal"),

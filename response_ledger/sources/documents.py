@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from response_ledger.functions.text import resolve_link, spec_link
+from response_ledger.session import setting
 from response_ledger.sources.ledger import hadoop_uri
 
+_LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as (`url`, `text`)."""
@@ -24,8 +27,11 @@ def land_documents(documents: DataFrame, path: str) -> None:
     A row is a file, also where an address occurs again. Null texts become empty ones. Stores
     that bound the length of a name, most at 255 bytes, bound that of an encoded address.
     """
+    # Making a file takes far longer than its bytes, and the rows may all come in one task.
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         documents.select("url", F.col("text").alias("value"))
+        .repartition(tasks)
         .write.mode("append")
         .partitionBy("url")
         .option("maxRecordsPerFile", 1)
@@ -35,7 +41,9 @@ def land_documents(documents: DataFrame, path: str) -> None:
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """What `land_documents` wrote, as (`url`, `text`)."""
-    files = spark.read.schema("value string, url string").text(hadoop_uri(path), wholetext=True)
+    # Folders are listed by a job, of a task each unless told otherwise.
+    with setting(spark, _LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism)):
+        files = spark.read.schema("value string, url string").text(hadoop_uri(path), wholetext=True)
     # The writer ends each text with a line feed of its own.
     return files.select("url", F.expr("left(value, length(value) - 1)").alias("text"))
 

@@ -266,3 +266,13 @@ def test_landed_documents_come_back_and_are_linked(spark):
         ("https://a.example/lost.html", "https://a.example/gone.json", None),
         ("https://a.example/x/index.html?q=1&r=%2F", "https://a.example/s.json", "{}\n"),
     ]
+
+
+def test_documents_of_one_task_are_landed_by_many(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents, read_landed
+
+    rows = [(f"https://a.example/{one}", f"text {one}") for one in range(40)]
+    land_documents(spark.createDataFrame(rows, "url string, text string").coalesce(1), str(tmp_path))
+    files = [one.name for one in tmp_path.rglob("part-*.txt")]
+    assert len(files) == 40 and len({name.split("-")[1] for name in files}) > 1
+    assert sorted(map(tuple, read_landed(spark, str(tmp_path)).collect())) == sorted(rows)
