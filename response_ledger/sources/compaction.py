@@ -2,7 +2,8 @@
 Small files of a ledger merged into few large ones, behind a manifest.
 
 By-id stages leave a file per task and batch. `compact` rewrites the small ones, sorted by what was
-asked for, into files of about `TARGET_BYTES`, and then records in a manifest which files these
+asked for, into files of about `TARGET_BYTES` (less where a
+task would sort more than `SORTED_BYTES` for it), and then records in a manifest which files these
 replace. Readers that follow the manifest, `read_compacted`, see either all old files or the new
 ones. `vacuum` removes what was replaced, once no reader is left that began before.
 
@@ -25,6 +26,10 @@ from response_ledger.session import delete_path
 from response_ledger.sources.ledger import BODY_GROUP_ROWS, PAGE_GROUP_ROWS, append_ledger, hadoop_uri
 
 TARGET_BYTES = 256 << 20
+# Bytes of bodies and rows, not compressed, that one task sorts: small bodies compress to a few
+# hundredths, so that a file of the target's size can be more than a task's memory.
+SORTED_BYTES = 1 << 30
+ROW_BYTES = 512
 # Files of at least this share of the target stay as they are.
 SMALL_SHARE = 0.5
 
@@ -88,8 +93,12 @@ def compact(spark: SparkSession, directory: str, target_bytes: int = TARGET_BYTE
     # Pages and by-id bodies have row groups of their own size, so they are written apart.
     if len(files) <= 2 * number:
         return 0
-    version = manifest_version(spark, directory) + 1
     rows = spark.read.schema(LEDGER).parquet(*sorted(one["file"] for one in files))
+    held = rows.agg(F.sum(F.coalesce(F.octet_length("content"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    number = max(number, -(-held // SORTED_BYTES))
+    if len(files) <= 2 * number:
+        return 0
+    version = manifest_version(spark, directory) + 1
     new = f"{_root(directory)}/_compacted/version={version}"
     delete_path(spark, new)
     for kind, where, group_rows in (

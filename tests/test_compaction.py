@@ -97,3 +97,14 @@ def test_a_ledger_without_files(spark):
     path = scratch_path(spark, "none")
     append(spark, path, 0, rows=0, files=1)
     assert compact(spark, path) == 0 and read_compacted(spark, path).count() == 0
+
+
+def test_a_task_sorts_bounded_bytes(spark, ledger, monkeypatch):
+    """Bodies that compress well fit one file of the target's size, but not one task's memory."""
+    rows = held(read_ledger(spark, ledger))
+    monkeypatch.setattr(compaction, "SORTED_BYTES", 50 * compaction.ROW_BYTES)
+    assert compact(spark, ledger) == 36 and held(read_compacted(spark, ledger)) == rows
+    counts = [one["count"] for one in read_compacted(spark, ledger).groupBy("_metadata.file_path").count().collect()]
+    assert len(counts) > 4 and max(counts) < 120
+    # What was dealt into more files for that is not merged again.
+    assert vacuum(spark, ledger) == 36 and compact(spark, ledger) == 0
