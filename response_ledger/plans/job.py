@@ -64,6 +64,7 @@ from response_ledger.sources.ledger import (
     append_ledger,
     hadoop_uri,
     ledger_is_empty,
+    page_group_rows,
     read_ledger,
     require_ledger,
     target_path,
@@ -270,7 +271,8 @@ def _run_stage(
         chunked.write.partitionBy("chunk").parquet(plan_path)
     plan = spark.read.schema(chunked.schema).parquet(plan_path)
     batches = plan.agg(F.max("batch_no")).first()[0] or 0
-    group_rows = PAGE_GROUP_ROWS if ENDPOINTS[request_type].paged else BODY_GROUP_ROWS
+    size = rows_for(display_columns, options.get("rows"))
+    group_rows = page_group_rows(size) if ENDPOINTS[request_type].paged else BODY_GROUP_ROWS
     written = failed = 0
     first = None
     for batch_no in range(1, batches + 1):

@@ -16,6 +16,16 @@ from response_ledger.session import setting
 # has megabytes, a by-id body kilobytes.
 PAGE_GROUP_ROWS = 8
 BODY_GROUP_ROWS = 1024
+# Records in a row group of pages, as many as `PAGE_GROUP_ROWS` pages of 2,500 have.
+PAGE_GROUP_RECORDS = 20_000
+
+
+def page_group_rows(records: int) -> int:
+    """
+    Rows per row group for pages of at most `records` records. Every reader of a part of a file reads
+    its whole footer, which grows with the row groups, so small pages share one.
+    """
+    return min(BODY_GROUP_ROWS, max(PAGE_GROUP_ROWS, PAGE_GROUP_RECORDS // max(records, 1)))
 
 
 def target_path(dest: str, request_type: str, run_id: str, area: str = "api_responses") -> str:
@@ -111,7 +121,7 @@ def append_ledger(rows: DataFrame, directory: str, group_rows: int = BODY_GROUP_
     Append rows as ZSTD parquet. Nothing is ever cleared: refetching an id adds a row.
 
     Row groups are bounded in rows, not only in compressed bytes, so that a reader's batch
-    of bodies fits in memory; pages take `PAGE_GROUP_ROWS`. Timestamps are written as UTC
+    of bodies fits in memory; pages take `page_group_rows`. Timestamps are written as UTC
     microseconds, which other engines read back with a zone.
     """
     with setting(rows.sparkSession, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):

@@ -19,7 +19,7 @@ from response_ledger.plans.requests import filter_maps
 from response_ledger.schemas import DEFAULT_FILTERS, LARGE_TEXT_PAGE_CAP, LEDGER, REPLY_FIELDS, REQUEST
 from response_ledger.session import scratch_path
 from response_ledger.sources.documents import land_documents
-from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger, target_path
+from response_ledger.sources.ledger import PAGE_GROUP_ROWS, append_ledger, page_group_rows, target_path
 
 BASE_URL = "https://service.example/rest"
 PAGE_ROWS = LARGE_TEXT_PAGE_CAP
@@ -135,7 +135,7 @@ def append_paged_run(
     rows = page_rows_of_orders(spark, sf_dir, size, [{"centercd": [status]}], (status,), fetched_at=at)
     if pages is not None:
         rows = rows.where(F.col("start") <= pages * size if pages >= 0 else F.col("start") > -pages * size)
-    append_ledger(rows, f"{path}/run_id={run}", PAGE_GROUP_ROWS)
+    append_ledger(rows, f"{path}/run_id={run}", page_group_rows(size))
 
 
 def mixed_pages(spark: SparkSession, sf_dir: str) -> str:
@@ -191,7 +191,7 @@ def holed_pages(spark: SparkSession, sf_dir: str) -> str:
             ((100, (start % 700) < 400), (75, (start % 1050) > 800), (300, start <= 300))
         ):
             rows = page_rows_of_orders(spark, sf_dir, size).where(kept)
-            append_ledger(rows, f"{path}/run_id=r{run}", PAGE_GROUP_ROWS)
+            append_ledger(rows, f"{path}/run_id=r{run}", page_group_rows(size))
         others = page_rows_of_orders(spark, sf_dir, 5000, [{"phase": ["Ongoing"]}])
         fewer = page_rows_of_orders(spark, sf_dir, 5000, statuses=("F", "O"))
         append_ledger(others.unionByName(fewer), f"{path}/run_id=r9", PAGE_GROUP_ROWS)
