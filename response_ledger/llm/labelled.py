@@ -36,6 +36,17 @@ def sample(documents: DataFrame, labels: DataFrame, label: str, rows: int, seed:
     return [(one["text"], one["lang"], one["y"]) for one in found.select("text", "lang", "y").collect()]
 
 
+def labelled_rows(documents: DataFrame, labels: DataFrame, label: str, seed: int) -> DataFrame:
+    """
+    (doc_id, text, lang, y) of all labelled documents outside the held-out fold; each partition in an
+    order fixed by hash.
+    """
+    known = labels.where(~held_out() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    texts = documents.where(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
+    # Merged at any size: what is broadcast would grow with the labels.
+    return texts.join(known.hint("merge"), "doc_id").sortWithinPartitions(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "text")
+
+
 def platt(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset that make the sigmoid of a logit the share of ones, by Newton steps."""
     slope, offset = 1.0, 0.0

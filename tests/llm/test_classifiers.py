@@ -118,3 +118,19 @@ def test_the_sample_is_bounded_and_leaves_the_held_out_fold(tables):
     assert len(rows) <= 60 and sum(y for _, _, y in rows) == 30
     held = {row["text"] for row in documents.where(labelled.held_out()).collect()}
     assert not held & {text for text, _, _ in rows}
+
+
+def test_all_labelled_rows_are_learned_from(tables, monkeypatch):
+    """Beyond the rows that fit one place a model still comes from all of them."""
+    documents, labels = tables
+    monkeypatch.setattr(toxicity_cnn, "sample", lambda *a, **k: pytest.fail("a sample was drawn"))
+    documents = documents.repartition(3)
+    found = toxicity_cnn.classify(documents, labels, rows=100).collect()
+    assert len(found) == documents.count() and accuracy(found, labels, "toxic") >= 0.95
+    known = labelled.labelled_rows(documents, labels, "toxic", seed=3).cache()
+    rows = [(row["text"], row["y"]) for row in known.collect()]
+    assert len(rows) == labels.where(~labelled.held_out()).count()
+    texts = toxicity_cnn.bucketed([text.split() for text, _ in rows], {})
+    counts, share = toxicity_cnn.counted(known.select("text", "y"))
+    y = np.array([one for _, one in rows], float)
+    assert share == y.mean() and np.allclose(counts, toxicity_cnn.evidence(texts, y))
