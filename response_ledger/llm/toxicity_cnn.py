@@ -62,6 +62,33 @@ def hashes(word: str) -> list[int]:
     return found + [_PAD] * (1 + len(PREFIXES) - len(found))
 
 
+class _Starts(dict):
+    """The bucket of each beginning of a word, found when first asked for."""
+
+    def __init__(self, n: int) -> None:
+        super().__init__()
+        self.n = n
+
+    def __missing__(self, start: str) -> int:
+        found = self[start] = 1 + zlib.crc32(f"{start}*{self.n}".encode()) % (BUCKETS - 1)
+        return found
+
+
+def hashes_of(words: list[str]) -> np.ndarray:
+    """(word, hash): the `hashes` of words without white space, side by side."""
+    out = np.full((len(words), 1 + len(PREFIXES)), _PAD, np.int64)
+    if not words:
+        return out
+    joined = "\n".join(words).lower()
+    lower = joined.split("\n")
+    out[:, 0] = 1 + np.fromiter(map(zlib.crc32, joined.encode().split(b"\n")), np.int64, len(words)) % (BUCKETS - 1)
+    wide = np.fromiter(map(len, lower), np.int64, len(words))
+    for k, n in enumerate(PREFIXES):
+        starts, long = _Starts(n), wide > n
+        out[long, 1 + k] = [starts[word[:n]] for word in lower if len(word) > n]
+    return out
+
+
 @dataclass
 class Network:
     embedding: np.ndarray  # bucket, dim
@@ -75,8 +102,10 @@ class Network:
 
     def projections(self, words: list[str]) -> np.ndarray:
         """(word, tap, filter) of distinct words."""
-        buckets = np.array([hashes(word) for word in words], np.int64).reshape(-1, 1 + len(PREFIXES))
-        vectors = self.embedding[buckets].sum(1)
+        buckets = hashes_of(words)
+        vectors = self.embedding[buckets[:, 0]]
+        for k in range(len(PREFIXES)):
+            vectors += self.embedding[buckets[:, 1 + k]]
         return (vectors @ self.filters.reshape(DIM, -1)).reshape(-1, TAPS, FILTERS)
 
     def pooled(self, taps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,13 +166,15 @@ def begun(net: Network, found: np.ndarray, share: float) -> tuple[float, float]:
     return min(MOST_WEIGHT, max(1, share / (1 - share))), min(MOST_WEIGHT, max(1, (1 - share) / share))
 
 
-def bucketed(texts: list[list[str]], known: dict[str, list[int]]) -> list[np.ndarray]:
-    """The buckets of each text's words, (word, hash); `known` keeps those of words met before."""
+def bucketed(texts: list[list[str]], known: dict[str, int]) -> list[np.ndarray]:
+    """The buckets of each text's words, (word, hash); `known` keeps those of words met before, a number a word."""
+    new = list(set().union(*texts).difference(known))
+    shifts = np.arange(1 + len(PREFIXES)) * (BUCKETS - 1).bit_length()
+    known.update(zip(new, (hashes_of(new) << shifts).sum(1).tolist()))
     found = []
     for words in texts:
-        for word in set(words).difference(known):
-            known[word] = hashes(word)
-        found.append(padded(np.array([known[word] for word in words], np.int64).reshape(-1, 1 + len(PREFIXES))))
+        numbers = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        found.append(padded(numbers[:, None] >> shifts & (BUCKETS - 1)))
     return found
 
 
@@ -230,13 +261,13 @@ def counted(learn: DataFrame) -> tuple[np.ndarray, float]:
     """`evidence` of all rows (text, y), and their share of positive ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        known: dict[str, int] = {}
         held, positive, rows = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), np.zeros(2, np.int64)
         for batch in batches:
             labels = batch.column(1).to_pylist()
             for begin, end, texts in text_portions(batch.column(0), PORTION):
                 if len(known) > KEPT_WORDS:
-                    known = {}
+                    known: dict[str, int] = {}
                 for y, buckets in zip(labels[begin:end], bucketed([text.split() for text in texts], known)):
                     mine = np.unique(buckets)
                     held[mine] += 1
@@ -268,7 +299,7 @@ def descended(learn: DataFrame, start: Network, weight: tuple[float, float], rat
             labels = batch.column(1).to_pylist()
             for begin, end, texts in text_portions(batch.column(0), PORTION):
                 if len(known) > KEPT_WORDS:
-                    known = {}
+                    known: dict[str, int] = {}
                 for y, buckets in zip(labels[begin:end], bucketed([text.split() for text in texts], known)):
                     rate = rates[0] + (rates[1] - rates[0]) * min(1.0, done / expected)
                     step(net, buckets, y, weight[y], rate, MOST_GRADIENT)
@@ -373,7 +404,8 @@ def logits_of(net: Network, keep: tuple[str, ...]) -> Callable[[Iterator[pa.Reco
                 table = np.concatenate([table, net.projections(new)])
                 for one in words:
                     at = np.fromiter(map(known.__getitem__, one), np.int64, len(one))
-                    at = np.pad(at, (0, max(0, max(WIDTHS) - len(at))))
+                    if len(at) < max(WIDTHS):
+                        at = np.pad(at, (0, max(WIDTHS) - len(at)))
                     found.append(net.logit(net.pooled(table[at])[0]))
             columns = [*(batch.column(name) for name in keep), pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "logit"])

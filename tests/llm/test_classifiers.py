@@ -134,3 +134,15 @@ def test_all_labelled_rows_are_learned_from(tables, monkeypatch):
     counts, share = toxicity_cnn.counted(known.select("text", "y"))
     y = np.array([one for _, one in rows], float)
     assert share == y.mean() and np.allclose(counts, toxicity_cnn.evidence(texts, y))
+
+
+def test_words_hashed_side_by_side_have_the_hashes_they_have_alone():
+    signs = "aAbÄßΣσİΩ中\0é1_😀\u0345'\u00ad."
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list(signs), rng.integers(1, 9))) for _ in range(3_000)]
+    found = toxicity_cnn.hashes_of(words)
+    assert found.tolist() == [toxicity_cnn.hashes(word) for word in words]
+    assert toxicity_cnn.hashes_of([]).shape == (0, 3)
+    known: dict[str, int] = {}
+    for some in (words[:900], words[500:]):
+        assert toxicity_cnn.bucketed([some], known)[0].tolist() == toxicity_cnn.hashes_of(some).tolist()
