@@ -50,11 +50,13 @@ PORTION = 1 << 20
 # Units a task keeps, and the longest of them.
 KEPT_UNITS, KEPT_CHARS = 300_000, 256
 LIBRARY_UNITS = 2_048
+# Units that the first library is given as one text.
+JOINED_UNITS = 512
 _PLACE_BITS = 12
 _BITMAP_BYTES = BLOCK_DOCS // 8
 
 _UNIT_ENDS = re.compile(r"(?<=\S)(?= +[^ ])")
-_DOUBTFUL = re.compile(r"\s |\s$|^\s")
+_SIGN_BEFORE_SPACE = re.compile(r"[^\S ] ")
 
 
 def byte_letters() -> dict[str, int]:
@@ -66,7 +68,8 @@ def byte_letters() -> dict[str, int]:
 
 def units_of(text: str) -> list[str]:
     """A space and the text, cut into units; each less the space that it begins with."""
-    if _DOUBTFUL.search(text) is None:
+    doubtful = text[:1].isspace() or text[-1:].isspace() or "  " in text or _SIGN_BEFORE_SPACE.search(text)
+    if not doubtful:
         return text.split(" ")
     return [unit[1:] for unit in _UNIT_ENDS.split(" " + text)]
 
@@ -128,24 +131,70 @@ class Aligner:
         self.valid = np.empty(0, bool)
         self.first = np.empty(0, np.int64)
         self.codes = np.empty(0, np.int64)
-
-    def library(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        found = self.a.encode_batch_fast([" " + unit for unit in units], add_special_tokens=False)
-        return [one.ids for one in found], self.b.encode(units, num_threads=1)
+        self.again = np.empty(0, bool)
+
+    def _forget_rest(self) -> None:
+        """Keep the units that came again since they were learned; if they are many, none."""
+        kept = {unit: i for unit, i in self.index.items() if self.again[i]}
+        if len(kept) > self.kept // 2:
+            return self._forget()
+        places = np.fromiter(kept.values(), np.int64, len(kept))
+        many = self.stats[places, 3]
+        self.index = dict(zip(kept, range(len(kept))))
+        self.groups = [self.groups[i] for i in places.tolist()]
+        self.codes = self.codes[ragged(self.first[places], many)]
+        self.first = np.cumsum(many) - many
+        self.stats, self.valid = self.stats[places], self.valid[places]
+        self.again = np.zeros(len(kept), bool)
+
+    def first_library(self, units: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """
+        A's ids of all units, and their number by unit. Units that do not end in white space are cut
+        the same in one text as alone, and one text is cut faster; their bytes tell them apart.
+        """
+        alone = [i for i, unit in enumerate(units) if not unit or unit[-1].isspace() or not self.cuts]
+        wide = np.array([len(one) for one in raw])
+        left = np.ones(len(units), bool)
+        left[alone] = False
+        whole, sizes = np.flatnonzero(left), np.zeros(len(units), np.int64)
+        found: list[tuple[np.ndarray, list[int]]] = []
+        for i in range(0, len(whole), JOINED_UNITS):
+            some = whole[i : i + JOINED_UNITS]
+            text = "".join([" " + units[k] for k in some.tolist()])
+            ids = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            ends, stops = np.cumsum(self.a_bytes.lengths[ids]), np.cumsum(wide[some])
+            last = np.minimum(np.searchsorted(ends, stops), len(ids) - 1)
+            if len(ids) and ends[-1] == stops[-1] and (ends[last] == stops).all():
+                sizes[some] = np.diff(last, prepend=-1)
+                found.append((ids, some.tolist()))
+            else:
+                alone.extend(some.tolist())
+        for i in range(0, len(alone), LIBRARY_UNITS):
+            some = alone[i : i + LIBRARY_UNITS]
+            cut = [one.ids for one in self.a.encode_batch_fast([" " + units[k] for k in some], add_special_tokens=False)]
+            sizes[some] = [len(one) for one in cut]
+            found.append((np.fromiter(chain.from_iterable(cut), np.int64, sum(map(len, cut))), some))
+        ids, order = (np.concatenate([np.asarray(one[k], np.int64) for one in found]) for k in (0, 1))
+        at = np.empty(len(units), np.int64)
+        at[order] = np.cumsum(sizes[order]) - sizes[order]
+        return ids[ragged(at, sizes)], sizes
+
+    def second_library(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """B's ids of all units, and their number by unit; that library puts the space before itself."""
+        found = list(chain.from_iterable(
+            self.b.encode(units[i : i + LIBRARY_UNITS], num_threads=1) for i in range(0, len(units), LIBRARY_UNITS)
+        ))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
 
     def learn(self, units: list[str]) -> None:
-        a, b = [], []
-        for i in range(0, len(units), LIBRARY_UNITS):
-            for side, found in zip((a, b), self.library(units[i : i + LIBRARY_UNITS])):
-                side.extend(found)
         if units:
-            self._add(units, a, b)
+            self._add(units)
 
-    def _add(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> None:
+    def _add(self, units: list[str]) -> None:
         raw = [b" " + unit.encode() for unit in units]
         wide = np.array([len(one) for one in raw])
-        sizes = [np.array([len(one) for one in side]) for side in (a, b)]
-        flat = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip((a, b), sizes)]
+        flat, sizes = zip(self.first_library(units, raw), self.second_library(units))
         valid = np.ones(len(units), bool)
         owner = [np.repeat(np.arange(len(units)), n) for n in sizes]
         for side, ids, whose in zip((self.a_bytes, self.b_bytes), flat, owner):
@@ -169,10 +218,13 @@ class Aligner:
         self.codes = np.concatenate([self.codes, codes])
         self.stats = np.concatenate([self.stats, whole])
         self.valid = np.concatenate([self.valid, valid])
-        named = iter(groups)
-        for unit, good in zip(units, valid.tolist()):
-            self.index[unit] = len(self.groups)
-            self.groups.append(next(named) if good else b"")
+        self.again = np.concatenate([self.again, np.zeros(len(units), bool)])
+        self.index.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
+        if valid.all():
+            self.groups.extend(groups)
+        else:
+            named = iter(groups)
+            self.groups.extend([next(named) if good else b"" for good in valid.tolist()])
 
     def _aligned(
         self, a: np.ndarray, b: np.ndarray, wide: np.ndarray
@@ -221,9 +273,12 @@ class Aligner:
         """
         cut = [(units_of(text) if self.cuts else [text]) if text else [] for text in texts]
         wanted = set().union(*cut)
-        if len(self.index) + len(wanted.difference(self.index)) > self.kept and self.index:
-            self._forget()
-        self.learn(list(wanted.difference(self.index)))
+        new = wanted.difference(self.index)
+        if len(self.index) + len(new) > self.kept and self.index:
+            self._forget_rest()
+            new = wanted.difference(self.index)
+        held = len(self.groups)
+        self.learn(list(new))
         known = []
         for text, units in zip(texts, cut):
             places = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
@@ -232,13 +287,14 @@ class Aligner:
             known.append(places)
         sizes = np.array([len(places) for places in known])
         flat = np.concatenate(known)
+        self.again[flat[flat < held]] = True
         owner = np.repeat(np.arange(len(texts)), sizes)
         stats = np.zeros((len(texts), 4), np.int64)
         for column in range(4):
             stats[:, column] = np.bincount(owner, self.stats[flat, column], len(texts)).astype(np.int64)
         digests, at = [], 0
         for n in sizes.tolist():
-            joined = b";".join([self.groups[i] for i in flat[at : at + n].tolist()])
+            joined = b";".join(map(self.groups.__getitem__, flat[at : at + n].tolist()))
             digests.append(hashlib.sha256(joined).hexdigest() if n else "")
             at += n
         many = self.stats[flat, 3]

@@ -94,6 +94,29 @@ def test_few_kept_units_and_small_blocks(spark, monkeypatch):
         assert (*one[0].tolist(), digest[0]) == (*expected[doc_id][1:5], expected[doc_id][7])
 
 
+def test_units_that_came_again_outlive_a_full_cache():
+    aligner = pb.Aligner(A, B, kept=8)
+    texts = ["the cat sat", "the cat ran", "unit after unit fills it up", "the cat fills 你好"]
+    found = [aligner.align([text]) for text in texts[:3]]
+    assert {"the", "cat"} <= set(aligner.index) and "sat" not in aligner.index
+    found.append(aligner.align(texts[3:]))
+    for text, (stats, digests, _, codes) in zip(texts, found):
+        whole = pb.Aligner(A, B).align([text])
+        assert (stats == whole[0]).all() and digests == whole[1] and (codes == whole[3]).all()
+
+
+def test_units_joined_for_the_library_have_the_ids_they_have_alone(monkeypatch):
+    units = [*dict.fromkeys(unit for text in HARD if text for unit in [*pb.units_of(text), text])]
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    expected = [library.encode(" " + unit, add_special_tokens=False).ids for unit in units]
+    aligner = pb.Aligner(A, B)
+    for joined in (1, 5, 512):
+        monkeypatch.setattr(pb, "JOINED_UNITS", joined)
+        ids, sizes = aligner.first_library(units, [b" " + unit.encode() for unit in units])
+        assert [one.tolist() for one in np.split(ids, np.cumsum(sizes)[:-1])] == expected
+
+
 def test_scores_over_blocks_and_planes(spark, monkeypatch):
     monkeypatch.setattr(pb, "BLOCK_BYTES", 2000)
     rows = [(i, " ".join(["the cat sat"] * (1 + i % 37)) + " unbelievably" * (i % 3)) for i in range(700)]
