@@ -2,7 +2,8 @@
 Ids that wait for their response, as the state of a stream over pages, responses and failures.
 
 An id enters the state when a page names it and is requested then. It leaves when its response lands
-in the target, so the state holds what is under way and not all that ever was. A failure that lands in
+in the target, so the state holds what is under way and not all that ever was; a row of it holds the
+waiting ids of one group, and goes with the last of them. A failure that lands in
 the failures table requests the id again, with the tries counted.
 
 An id that is named again after it landed is new to the state; the target still holds it, so the
@@ -27,6 +28,10 @@ from response_ledger.session import READER_BATCH, READER_BATCH_ROWS, setting
 from response_ledger.sources.ledger import hadoop_uri, ledger_is_empty, read_ledger
 from response_ledger.streaming.worksets import stream_name
 
+# The state has a row per group of ids by hash: a call of the state function takes milliseconds for one
+# id or for a thousand. A checkpoint belongs to the number it was begun with.
+GROUPS = 1 << 14
+
 _ASKED, _FAILED, _LANDED = "asked", "failed", "landed"
 
 REQUESTED = T.StructType(
@@ -50,22 +55,25 @@ def read_requested(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _waiting(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One id's news: a response ends its wait, a failure starts the next try, a page the first one."""
-    news: set[str] = set()
+    """A group's news: a response ends an id's wait, a failure starts the next try, a page the first one."""
+    news: dict[str, set[int]] = {_ASKED: set(), _FAILED: set(), _LANDED: set()}
     for part in parts:
-        news.update(part["event"])
-    if _LANDED in news:
-        if state.exists:
-            state.remove()
+        for id_, event in zip(part["id"].tolist(), part["event"].tolist()):
+            news[event].add(id_)
+    waiting = dict(zip(*state.get)) if state.exists else {}
+    landed = news[_LANDED]
+    requested = {id_: waiting[id_] + 1 for id_ in news[_FAILED] - landed if id_ in waiting}
+    requested.update((id_, 1) for id_ in news[_ASKED] - landed if id_ not in waiting)
+    gone = landed & waiting.keys()
+    if not requested and not gone:
         return
-    if state.exists and _FAILED in news:
-        tries = state.get[0] + 1
-    elif not state.exists and _ASKED in news:
-        tries = 1
+    waiting = {id_: tries for id_, tries in waiting.items() if id_ not in gone} | requested
+    if waiting:
+        state.update((list(waiting), list(waiting.values())))
     else:
-        return
-    state.update((tries,))
-    yield pd.DataFrame({"id": [key[0]], "tries": [tries]})
+        state.remove()
+    if requested:
+        yield pd.DataFrame({"id": list(requested), "tries": list(requested.values())})
 
 
 def _folder(spark: SparkSession, path: str) -> str:
@@ -124,9 +132,10 @@ def stream_pending(
     )
     requests = (
         distinct_per_task(news)
-        .groupBy("id")
+        .withColumn("group", F.pmod(F.xxhash64("id"), F.lit(GROUPS)))
+        .groupBy("group")
         .applyInPandasWithState(
-            _waiting, "id long, tries long", "tries long", "append", GroupStateTimeout.NoTimeout
+            _waiting, "id long, tries long", "ids array<long>, tries array<long>", "append", GroupStateTimeout.NoTimeout
         )
     )
 

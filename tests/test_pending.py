@@ -78,3 +78,18 @@ def test_a_replayed_micro_batch_requests_nothing_twice(spark, tmp_path):
     for one in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
         one.unlink(missing_ok=True)
     assert ledgers.run()[0] == found
+
+
+def test_many_ids_share_a_state_row_and_none_is_lost(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("response_ledger.streaming.pending.GROUPS", 3)
+    ledgers, ids = Ledgers(spark, tmp_path), list(range(-50, 50))
+    ledgers.name(*ids)
+    found, rows = ledgers.run()
+    assert found == [(one, 1) for one in ids] and rows == 3
+    ledgers.land(*ids[:40])
+    ledgers.fail(*ids[30:60])
+    ledgers.name(*ids, 1000)
+    again = [(one, 2) for one in ids[40:60]]
+    assert ledgers.run()[0] == sorted([*found, *again, (1000, 1)])
+    ledgers.land(*ids[40:], 1000)
+    assert ledgers.run() == (sorted([*found, *again, (1000, 1)]), 0)
