@@ -71,6 +71,9 @@ from response_ledger.sources.ledger import (
 )
 
 CHUNK_BATCHES = 256
+# Calls handed to Python at a time. So few fit a socket's buffer, and Python makes calls while the
+# JVM lands the replies to those before; of 10,000 each waits for the other.
+CALL_ROWS = 1_000
 
 logger = logging.getLogger(__name__)
 
@@ -119,18 +122,22 @@ def settle(requests: DataFrame, calls: CallOptions, group_rows: int = PAGE_GROUP
     Make every call until it succeeds, fails for good or runs out of tries.
 
     Each try is landed once and read back, so no reply is asked for twice: Spark would call
-    the service again for every use of an unlanded frame.
+    the service again for every use of an unlanded frame. The few tasks that may call only land
+    the replies; all tasks judge them.
     """
     spark = requests.sparkSession
     landing = scratch_path(spark, "landing")
     pending, totals = with_attempts(requests), {}
     for attempt in range(1, len(calls.pauses) + 1):
-        landed = f"{landing}/try={attempt}"
+        landed, answered = f"{landing}/try={attempt}", scratch_path(spark, "replies")
         replies = fetch_requests(
             pending, calls.connect, calls.max_workers, calls.cooldown, calls.transient
         )
-        judged = classify(replies, calls.pauses)
+        with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(CALL_ROWS)):
+            replies.write.option("parquet.block.row.count.limit", group_rows).parquet(answered)
+        judged = classify(spark.read.schema(replies.schema).parquet(answered), calls.pauses)
         judged.write.option("parquet.block.row.count.limit", group_rows).parquet(landed)
+        delete_path(spark, answered)
         tried = spark.read.schema(judged.schema).parquet(landed)
         counts = {one["outcome"]: one["count"] for one in tried.groupBy("outcome").count().collect()}
         again = counts.pop(RETRIABLE, 0)

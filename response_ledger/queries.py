@@ -657,11 +657,9 @@ def answer_with_the_id() -> Send:
 
     def send(call: dict) -> Reply:
         asked = call["url"].split("?")[0].rsplit("/", 1)[-1]
-        body = {
-            "MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400,
-            "RESULT": {"COLUMNS": ["ID"], "DATA": [[asked]]},
-        }
-        return Reply(200, json.dumps(body).encode(), "application/json;charset=UTF-8")
+        result = f'{{"COLUMNS": ["ID"], "DATA": [[{json.dumps(asked)}]]}}'
+        body = f'{{"MESSAGE": "success", "RESULTCOUNT": 1, "STATUSCODE": 400, "RESULT": {result}}}'
+        return Reply(200, body.encode(), "application/json;charset=UTF-8")
 
     return send
 

@@ -461,3 +461,40 @@ def test_stream_emits_each_new_id_once(spark, tmp_path):
     pages = str(tmp_path / "more")
     land(5, 6)
     assert run("third", pages) == [1, 2, 3, 5, 6]
+
+
+def test_python_is_handed_what_a_call_is_made_of(spark, tmp_path):
+    requests = with_attempts(plan_pages(spark, BASE_URL, 10, ["productid"], 5))
+    replies = fetch_requests(requests, lambda: lambda call: Reply(200, call["body"].encode()), 2, (0.0, 0.0))
+    # Lists and maps of a request stay where they are.
+    plan = replies._jdf.queryExecution().optimizedPlan().toString()
+    handed = [line for line in plan.splitlines() if "fetch(" in line]
+    assert handed and not any("display_columns" in line.split("fetch(")[1].split(")")[0] for line in handed)
+    assert "MapInArrow" not in plan
+    rows = replies.orderBy("start").collect()
+    assert [one["raw"].decode() for one in rows] == [one["body"] for one in rows]
+    assert all(one["display_columns"] == ["productid"] and one["filters"] for one in rows)
+
+
+def test_calls_are_made_if_nothing_asks_for_the_replies(spark, tmp_path):
+    service = Service(tmp_path / "log")
+    requests = plan_ids(spark.range(31, 40, 3), BASE_URL, "PRODUCT", ["productid"])
+    assert fetch_requests(with_attempts(requests), service, 2, (0.0, 0.0)).select("path_id").count() == 3
+    assert service.calls() == IDS[:3]
+
+
+def test_all_tasks_judge_what_few_have_called(spark, tmp_path, monkeypatch):
+    from response_ledger.plans import job
+
+    classify, seen = job.classify, []
+
+    def noted(replies, pauses):
+        seen.append(replies._jdf.queryExecution().optimizedPlan().toString())
+        return classify(replies, pauses)
+
+    monkeypatch.setattr(job, "classify", noted)
+    requests = plan_ids(spark.range(100, 140), BASE_URL, "PRODUCT", ["productid"]).withColumn("batch_no", F.lit(1))
+    settled = settle(requests, options(Service(tmp_path / "log"), max_workers=3))
+    assert settled.totals == {"ok": 40}
+    # The replies judged are landed ones, not those of a call under way.
+    assert len(seen) == 1 and "fetch(" not in seen[0]
