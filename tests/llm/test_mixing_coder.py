@@ -89,3 +89,33 @@ def test_rows_without_doc_id_are_dealt_to_many_shards(spark):
     found = mixing_coder.read_tokens(segments).orderBy("start").collect()
     library = Tokenizer.from_file(PATH)
     assert [one["ids"][:-1] for one in found] == [library.encode(text).ids for _, text in sorted(rows)]
+
+
+def test_new_units_reach_the_library_joined():
+    encoder, library = mixing_coder.LibraryEncoder(PATH), Tokenizer.from_file(PATH)
+    given_texts, real = [], encoder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            given_texts.extend(texts)
+            return real.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counting()
+    text = " ".join(f"w{'abcdefghij'[i % 10]}{i}\u00e9, was" for i in range(2_000)) + "\n\n end"
+    (ids,) = encoder.ids([text])
+    assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+    assert len(given_texts) < 100
+
+
+def test_units_end_with_their_text():
+    texts = ["a\n\n", "b", "\n", "\u3000 c", "x ", " ", "y", "", "<|endoftext|>\n", "z"]
+    library = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, mixing_coder.LibraryEncoder(PATH).ids(texts)):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], text
+
+
+def test_groups_hold_all_segments(monkeypatch):
+    monkeypatch.setattr(mixing_coder, "LANES", 4)
+    segments = [(i, [0] * size) for i, size in enumerate([1, 1, 9, 2, 2, 2, 2, 1])]
+    groups = list(mixing_coder._groups(iter(segments), 1))
+    assert [one for group in groups for one in group] == segments and len(groups) > 1
