@@ -2,6 +2,7 @@ import json
 import random
 import re
 from html import unescape
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -276,3 +277,121 @@ def test_documents_of_one_task_are_landed_by_many(spark, tmp_path):
     files = [one.name for one in tmp_path.rglob("part-*.txt")]
     assert len(files) == 40 and len({name.split("-")[1] for name in files}) > 1
     assert sorted(map(tuple, read_landed(spark, str(tmp_path)).collect())) == sorted(rows)
+
+
+def odd_documents(spark):
+    rows = [(f"https://a.example/{chr(one)}x{one}", f"{chr(one)}\n") for one in range(1, 128)]
+    rows += [("", "no address"), (None, None), ("%41", "\r\n"), (".", "1"), ("..", "2"), ("a=b", ""), ("c d", "\n\n")]
+    rows += [("https://a.example/often", f"{one % 3}") for one in range(40)]
+    rows += [("https://a.example/long", "é" * length) for length in (255, 256, 700_000)]
+    return spark.createDataFrame(rows, "url string, text string")
+
+
+def test_documents_are_landed_and_read_as_by_spark(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents, read_landed
+
+    documents, mine, sparks = odd_documents(spark), str(tmp_path / "my own %41"), str(tmp_path / "sparks")
+    for _ in range(2):
+        land_documents(documents, mine)
+        documents.withColumnRenamed("text", "value").write.mode("append").partitionBy("url").option(
+            "maxRecordsPerFile", 1
+        ).text(sparks)
+
+    def bodies(path):
+        files = [one for one in Path(path).rglob("*") if one.is_file() and one.name != "._SUCCESS.crc"]
+        return sorted((one.parent.name if "url=" in str(one) else one.name, one.read_bytes()) for one in files)
+
+    assert bodies(mine) == bodies(sparks) and len(bodies(mine)) == 4 * documents.count() + 1
+    by_spark = spark.read.schema("value string, url string").text(sparks, wholetext=True)
+    expected = sorted(((one["url"], one["value"].removesuffix("\n")) for one in by_spark.collect()), key=repr)
+    assert sorted(map(tuple, read_landed(spark, mine).collect()), key=repr) == expected
+    assert sorted(map(tuple, read_landed(spark, sparks).collect()), key=repr) == expected
+    by_spark = spark.read.schema("value string, url string").text(mine, wholetext=True)
+    assert sorted(((one["url"], one["value"].removesuffix("\n")) for one in by_spark.collect()), key=repr) == expected
+
+
+def test_stores_that_are_not_local_are_left_to_spark(spark, tmp_path, monkeypatch):
+    from response_ledger.sources import documents as module
+
+    monkeypatch.setattr(module, "_local_folder", lambda spark, path: None)
+    rows = [("https://a.example/1", "1"), ("https://a.example/1", "1"), ("https://a.example/2", "")]
+    module.land_documents(spark.createDataFrame(rows, "url string, text string"), str(tmp_path))
+    assert sorted(map(tuple, module.read_landed(spark, str(tmp_path)).collect())) == rows
+
+
+def test_landing_starts_no_process_for_each_file(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents
+
+    def started():
+        (line,) = [one for one in Path("/proc/stat").read_text().splitlines() if one.startswith("processes ")]
+        return int(line.split()[1])
+
+    if not Path("/proc/stat").exists():
+        pytest.skip("processes are counted by /proc/stat")
+    documents = spark.range(1500).selectExpr("concat('https://a.example/', id) url", "string(id) text")
+    before = started()
+    land_documents(documents, str(tmp_path))
+    assert started() - before < 1500
+    assert len(list(tmp_path.glob("url=*/part-*.txt"))) == 1500
+
+
+def test_a_landing_that_fails_lands_none(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents, read_landed
+
+    land_documents(spark.createDataFrame([("a", "1")], "url string, text string"), str(tmp_path))
+    documents = spark.range(100).selectExpr(
+        "concat('https://a.example/', id) url", "if(id = 70, raise_error('lost'), 'x') text"
+    )
+    with pytest.raises(Exception, match="lost"):
+        land_documents(documents, str(tmp_path))
+    documents = spark.range(100).selectExpr("if(id = 70, repeat('x', 300), string(id)) url", "'x' text")
+    with pytest.raises(Exception, match="File name too long"):
+        land_documents(documents, str(tmp_path))
+    assert sorted(one.name for one in tmp_path.iterdir()) == ["_SUCCESS", "url=a"]
+    assert [tuple(one) for one in read_landed(spark, str(tmp_path)).collect()] == [("a", "1")]
+
+
+def test_what_was_landed_before_is_read(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents, read_landed
+
+    documents = spark.createDataFrame([("é", "1"), ("b", "2")], "url string, text string")
+    land_documents(documents.limit(0), str(tmp_path))
+    none = read_landed(spark, str(tmp_path))
+    land_documents(documents, str(tmp_path))
+    (tmp_path / "url=b" / "empty.txt").touch()
+    (tmp_path / "url=b" / "_hidden.txt").write_text("3\n")
+    both = read_landed(spark, str(tmp_path))
+    land_documents(documents, str(tmp_path))
+    assert none.collect() == [] and none.columns == ["url", "text"]
+    assert sorted(map(tuple, both.collect())) == [("b", "2"), ("é", "1")]
+
+
+def test_folders_that_another_try_moved_are_passed_over(tmp_path):
+    from response_ledger.sources.documents import _move, _move_folders
+
+    staged, place = tmp_path / "staged", tmp_path / "place"
+    for folder, file in (("url=a", "1"), ("url=b", "2"), ("url=b", "3")):
+        (staged / folder).mkdir(parents=True, exist_ok=True)
+        (staged / folder / file).touch()
+    (place / "url=b").mkdir(parents=True)
+    (place / "url=b" / "0").touch()
+    for _ in range(2):
+        _move_folders(bytes(staged), bytes(place))
+    _move(bytes(staged / "url=a"), bytes(place / "url=a"))
+    found = sorted(str(one.relative_to(place)) for one in place.rglob("*") if one.is_file())
+    assert found == ["url=a/1", "url=b/0", "url=b/2", "url=b/3"]
+    (staged / "url=c").mkdir()
+    with pytest.raises(FileNotFoundError):
+        _move(bytes(staged / "url=c"), bytes(tmp_path / "none" / "url=c"))
+
+
+def test_a_damaged_file_is_an_error(spark, tmp_path):
+    from response_ledger.sources.documents import land_documents, read_landed
+
+    land_documents(spark.createDataFrame([("a", "x" * 2000)], "url string, text string"), str(tmp_path))
+    (file,) = tmp_path.glob("url=a/part-*.txt")
+    file.write_bytes(b"x" * 1500 + b"y" + b"x" * 499 + b"\n")
+    with pytest.raises(Exception, match="does not match its checksums"):
+        read_landed(spark, str(tmp_path)).collect()
+    (tmp_path / "url=a" / f".{file.name}.crc").unlink()
+    assert [len(one["text"]) for one in read_landed(spark, str(tmp_path)).collect()] == [2000]
